@@ -78,6 +78,11 @@ def trend_label(pace_trend: Column, dead_band: float) -> Column:
     )
 
 
+def row_key(*cols: str) -> Column:
+    """A bigint in [0, 2^62) per row content, for :func:`keep_in_replicate`."""
+    return F.shiftrightunsigned(F.xxhash64(*cols), 2)
+
+
 def keep_in_replicate(key: Column, replicate: int, fraction: float) -> Column:
     """Bernoulli draw that depends on the row key and replicate only.
 

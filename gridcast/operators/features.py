@@ -193,17 +193,22 @@ def _roll_up(stats: DataFrame) -> DataFrame:
     )
 
 
-def trend_by_round(rolled: DataFrame, p: Params) -> DataFrame:
+def trend_by_round(stats: DataFrame, p: Params) -> DataFrame:
     """Each driver's pace trend as of every round, from the rounds before it.
 
-    The range frames run over one row per driver and round.
+    A season has one race per round, so the mean race lap delta of a round is
+    its mean lap minus its best one. The range frames then run over one row
+    per driver and round.
     """
-    gap = F.when(
-        F.col("session_type") == "R", F.col("_laps") * (F.col("_mean") - F.col("_best"))
+
+    def race(c: Column) -> Column:
+        return F.when(F.col("session_type") == "R", c)
+
+    mean_lap = F.try_divide(
+        F.sum(race(F.col("_laps") * F.col("_mean"))), F.sum(race(F.col("_laps")))
     )
-    race_laps = F.when(F.col("session_type") == "R", F.col("_laps"))
-    per_round = rolled.groupBy("driver", "season", "round_number").agg(
-        F.try_divide(F.sum(gap), F.sum(race_laps)).alias("_delta")
+    per_round = stats.groupBy("driver", "season", "round_number").agg(
+        (mean_lap - F.min(race(F.col("_fastest")))).alias("_delta")
     )
     rounds = Window.partitionBy("driver", "season").orderBy("round_number")
     recent = rounds.rangeBetween(-p.recent_rounds, -1)
@@ -231,7 +236,7 @@ def gold(
     takes its trend from the rounds before it in there.
     """
     laps = base_laps(silver, p)
-    stats = measure(lap_statistics(laps))
+    stats = measure(lap_statistics(laps), "lap-statistics")
     # Roll-ups of the statistics have fewer rows and columns than they do.
     size = stats.bytes
 
@@ -241,7 +246,7 @@ def gold(
         "pace_vs_teammate", F.col("_best") - F.col("_team_best")
     )
     if prior is None:
-        trend, on, bound = trend_by_round(rolled, p), ["driver", "season", "round_number"], size
+        trend, on, bound = trend_by_round(stats.df, p), ["driver", "season", "round_number"], size
     else:
         trend = pace_trend(prior, p.season, p.round_number, p.recent_rounds, p.baseline_rounds)
         on, bound = ["driver", "season"], None

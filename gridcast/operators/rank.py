@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.functions.columns import keep_in_replicate, uncertainty_level
-from gridcast.operators.sizing import attach, number_rows
+from gridcast.operators.sizing import attach, measure, number_rows
 from gridcast.params import LIMITS, Limits, Params
 
 EVENT = ("season", "event")
@@ -35,9 +35,14 @@ def driver_prediction(scored: DataFrame) -> DataFrame:
 def normalise_share(
     df: DataFrame, value: str = "win_probability", limits: Limits = LIMITS
 ) -> DataFrame:
-    """``value`` as its share of the event's total; NULL when the total is 0."""
-    totals = df.groupBy(*EVENT).agg(F.sum(value).alias("_total"))
-    out = attach(df, totals, EVENT, "left", limits)
+    """``value`` as its share of the event's total; NULL when the total is 0.
+
+    The drivers are kept first, as they are read for the totals and again for
+    the shares; the totals are a roll-up of them and never larger.
+    """
+    kept = measure(df, "drivers")
+    totals = kept.df.groupBy(*EVENT).agg(F.sum(value).alias("_total"))
+    out = attach(kept.df, totals, EVENT, "left", limits, at_most=kept.bytes)
     return out.withColumn(value, F.try_divide(F.col(value), F.col("_total"))).drop("_total")
 
 
@@ -57,8 +62,9 @@ def subsample_uncertainty(
             for i, n in enumerate(names)
         ]
     )
-    totals = best.groupBy(*EVENT).agg(*[F.sum(n).alias(f"_t{n}") for n in names])
-    shared = attach(best, totals, EVENT, "left", limits)
+    kept = measure(best, "subsamples")
+    totals = kept.df.groupBy(*EVENT).agg(*[F.sum(n).alias(f"_t{n}") for n in names])
+    shared = attach(kept.df, totals, EVENT, "left", limits, at_most=kept.bytes)
     # A subsample without rows, or with total 0, counts for nobody.
     shares = F.array_compact(
         F.array(*[F.when(F.col(f"_t{n}") > 0, F.col(n) / F.col(f"_t{n}")) for n in names])
@@ -186,11 +192,14 @@ def uncertainty_band(df: DataFrame) -> DataFrame:
 
 def recency_table(df: DataFrame, lam: float) -> DataFrame:
     """The decay that applies to each round present, counted from the latest one."""
-    rounds = df.select("season", "round_number").distinct()
-    latest = df.groupBy("season").agg(F.max("round_number").alias("_latest"))
-    ago = F.col("_latest") - F.col("round_number")
-    return rounds.join(latest, "season").select(
-        "season", "round_number", ago.alias("rounds_ago"), F.exp(F.lit(-lam) * ago).alias("decay")
+    # The window sees one row per round.
+    latest = F.max("round_number").over(Window.partitionBy("season"))
+    ago = latest - F.col("round_number")
+    return (
+        df.select("season", "round_number")
+        .distinct()
+        .withColumn("rounds_ago", ago)
+        .withColumn("decay", F.exp(F.lit(-lam) * F.col("rounds_ago")))
     )
 
 

@@ -1,7 +1,7 @@
 """Joins, rankings and quantiles that pick their plan from a measured size.
 
 Every aggregate that is joined back to laps goes through :func:`attach`. The
-aggregate is computed once, kept in the shared checkpoint folder and measured
+aggregate is computed once, written to the shared checkpoint folder and measured
 on the way. Up to ``Limits.broadcast_bytes`` it is broadcast, so laps are not
 shuffled at all; beyond that the join shuffles and spreads hot keys. No window
 ever runs over laps: ordered windows run on aggregates, in one task only up to
@@ -27,8 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local one only where none is configured."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="gridcast-"))
+    if configured is None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridcast-"))
     return configured or context.getCheckpointDir()
 
 
@@ -39,8 +39,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    For a lap table that several passes read: later passes prune columns and
-    do not repeat the joins behind it, and a lost executor costs no lineage.
+    Cuts the lineage: later passes prune columns and do not repeat the joins
+    behind the table, and a lost executor costs them nothing.
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -64,15 +64,17 @@ def _row_bytes(schema: T.StructType) -> Column:
     return width
 
 
-def measure(df: DataFrame) -> Measured:
-    """Checkpoint ``df`` and learn its rows and bytes in the same job."""
-    shared_dir(df.sparkSession)
+def measure(df: DataFrame, name: str = "kept") -> Measured:
+    """:func:`land` ``df`` and learn its rows and bytes in the same job."""
     seen = Observation()
-    kept = df.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(_row_bytes(df.schema)).alias("bytes"),
-    ).checkpoint()
+    kept = land(
+        df.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(_row_bytes(df.schema)).alias("bytes"),
+        ),
+        name,
+    )
     found = seen.get
     return Measured(kept, found["rows"] or 0, found["bytes"] or 0)
 
@@ -164,10 +166,11 @@ def running_total(
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return kept.df.withColumn(name, upto.over(w)).drop("_amount")
 
-    sliced = (
-        kept.df.repartitionByRange(*[F.col(k) for k in by], *order)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
+    sliced = land(
+        kept.df.repartitionByRange(*[F.col(k) for k in by], *order).withColumn(
+            "_slice", F.spark_partition_id()
+        ),
+        "slices",
     )
     inside = (
         Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -76,10 +76,6 @@ def scored_laps(gold: DataFrame) -> DataFrame:
     )
 
 
-def event_rounds(gold: DataFrame) -> DataFrame:
-    return gold.select("season", "event", F.col("round_number").alias("round")).distinct()
-
-
 def ranked(scored: DataFrame) -> DataFrame:
     return rank.rank_drivers(rank.normalise_share(rank.driver_prediction(scored)))
 
@@ -558,7 +554,7 @@ def driver_prediction(spark, sf_dir):
 @query
 def normalise_share(spark, sf_dir):
     df = rank.driver_prediction(scored_laps(gold_laps(spark, sf_dir)))
-    shares = rank.normalise_share(land(df, "drivers"))
+    shares = rank.normalise_share(df)
     return rounded(shares.select(*rank.DRIVER, "win_probability"), "win_probability")
 
 

@@ -22,6 +22,9 @@ LAPS = _schema(
     "event string not null, session string not null"
 )
 
+# As stored: ``session`` is the requested code and a folder, the long name a column of its own.
+BRONZE = StructType([*LAPS.fields, StructField("session_name", StringType())])
+
 RESULTS = _schema(
     "Driver string, TeamName string, Position int, GridPosition int, Status string, "
     "Points float, season int, event string, round_number int"

@@ -18,14 +18,17 @@ def to_storage(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def write_partitions(
+    df: DataFrame, path: str, keys: Sequence[str], rebalance: bool = True
+) -> None:
     """Overwrite the partitions that ``df`` has rows for, and leave all others.
 
-    The rebalance hint makes files of even size: small partitions get one
-    file, and one that holds a third of all rows is split over many tasks.
+    Rows of many partitions are rebalanced first, which makes files of even
+    size: small partitions get one file, and one that holds a third of all
+    rows is split over many tasks. Rows of one partition need no such shuffle.
     """
     (
-        df.hint("rebalance", *keys)
+        (df.hint("rebalance", *keys) if rebalance else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -63,7 +66,8 @@ def replace_partitions(df: DataFrame, path: str, where: Mapping[str, object]) ->
 
     seen = Observation()
     guarded = df.withColumns({k: checked(k, v) for k, v in where.items()})
-    write_partitions(guarded.observe(seen, F.count(F.lit(1)).alias("rows")), path, list(where))
+    counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_partitions(counted, path, list(where), rebalance=False)
     if not seen.get["rows"]:
         fs, target = _file_system(spark, f"{path}/{_folder(where)}")
         fs.delete(target, True)

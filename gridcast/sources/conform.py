@@ -84,14 +84,16 @@ def conform_results(df: DataFrame, p: Params) -> DataFrame:
 def session_coverage(
     laps: DataFrame, keys: Sequence[str], sessions: Sequence[str]
 ) -> DataFrame:
-    """Every expected session of every key: its lap count, and ingested or skipped."""
-    found = laps.groupBy(*keys, "session_type").agg(F.count(F.lit(1)).alias("laps"))
-    expected = found.select(*keys).distinct().withColumn(
-        "session_type", F.explode(F.array(*map(F.lit, sessions)))
+    """Every expected session of every key: its lap count, and ingested or skipped.
+
+    One conditional count per expected session; only its result becomes rows,
+    so sessions without a lap show up without a join.
+    """
+    counted = laps.groupBy(*keys).agg(
+        *[F.count_if(F.col("session_type") == s).alias(f"_{s}") for s in sessions]
     )
-    return expected.join(found, [*keys, "session_type"], "left").select(
-        *keys,
-        "session_type",
-        F.coalesce("laps", F.lit(0)).alias("laps"),
-        F.when(F.col("laps") > 0, "ingested").otherwise("skipped").alias("status"),
+    rows = F.array(
+        *[F.struct(F.lit(s).alias("session_type"), F.col(f"_{s}").alias("laps")) for s in sessions]
     )
+    status = F.when(F.col("laps") > 0, "ingested").otherwise("skipped")
+    return counted.select(*keys, F.inline(rows)).withColumn("status", status)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridcast.operators.sizing import number_rows
 from gridcast.params import LIMITS, Limits
+from gridcast.sources.readers import spread
 
 SEASON, EVENT, ROUND = 2026, "GP7", 7
 
@@ -58,7 +59,7 @@ def laps(spark: SparkSession, sf_dir: str, columns: Sequence[str] = FEATURE_COLU
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    df = table("lineitem").join(
+    df = spread(table("lineitem")).join(
         table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     if "Team" in columns:

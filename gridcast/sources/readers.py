@@ -16,6 +16,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than the cluster has cores, dealt out to all of them.
+
+    For small or unsplittable files; a table with enough splits is left as it
+    is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_laps(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType = LAPS
 ) -> DataFrame:
