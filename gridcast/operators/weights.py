@@ -35,7 +35,8 @@ def sample_weight(df: DataFrame, p: Params, unknown: str = "keep") -> DataFrame:
     if unknown == "drop":
         out = out.filter(F.col("session_weight").isNotNull())
     elif unknown == "fail":
-        message = F.concat(F.lit("no weight for session "), F.col("session_type"))
+        code = F.coalesce(F.col("session_type"), F.lit("NULL"))
+        message = F.concat(F.lit("no weight for session "), code)
         out = out.withColumn(
             "session_weight",
             F.when(F.col("session_weight").isNull(), F.raise_error(message).cast("double")).otherwise(
