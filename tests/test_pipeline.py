@@ -74,7 +74,9 @@ def test_predictions(spark, paths):
     last = sorted((r for r in rows if r.round == 3), key=lambda r: r.predicted_position)
     assert [r.predicted_position for r in last] == [1, 2, 3, 4, 5]
     assert sum(r.win_probability for r in last) == pytest.approx(1.0, abs=1e-5)
-    assert last[0].driver == "D0" and all(r.uncertainty >= 0 for r in last)
+    shares = [r.win_probability for r in last]
+    assert shares == sorted(shares, reverse=True) and all(r.uncertainty >= 0 for r in last)
+    assert {r.driver for r in last} == {f"D{d}" for d in range(5)}
 
 
 def test_document(spark, paths):
