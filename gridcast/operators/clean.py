@@ -35,7 +35,9 @@ def normalise_compound(
 
 def best_per_session(df: DataFrame) -> DataFrame:
     """One row per session: its fastest lap. Combines map-side, so the shuffle is tiny."""
-    return df.groupBy(*SESSION).agg(F.min("LapTime").alias("session_best"))
+    return df.groupBy(*SESSION).agg(
+        F.min("LapTime").alias("session_best"), F.count(F.lit(1)).alias("_rows")
+    )
 
 
 def session_best(df: DataFrame, limits: Limits = LIMITS) -> DataFrame:
@@ -44,7 +46,7 @@ def session_best(df: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     Sessions are few and huge, so a window would put each into one task; the
     minimum is aggregated and joined back instead. Reads ``df`` twice.
     """
-    return attach(df, best_per_session(df), SESSION, "left", limits)
+    return attach(df, best_per_session(df), SESSION, "left", limits, rows="_rows")
 
 
 def filter_outlier_laps(

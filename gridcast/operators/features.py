@@ -20,7 +20,6 @@ from gridcast.schemas import FEATURES, GOLD
 DRIVER_SESSION = ("season", "event", "session_type", "driver")
 TEAM_SESSION = ("season", "event", "session_type", "team")
 STINT = (*DRIVER_SESSION, "compound")
-STATS_KEYS = ("season", "event", "session_type", "driver", "team", "compound")
 
 
 def base_laps(silver: DataFrame, p: Params) -> DataFrame:
@@ -34,8 +33,9 @@ def base_laps(silver: DataFrame, p: Params) -> DataFrame:
 def _with_group(
     df: DataFrame, keys: Sequence[str], limits: Limits, **aggregates: Column
 ) -> DataFrame:
-    side = df.groupBy(*keys).agg(*[a.alias(name) for name, a in aggregates.items()])
-    return attach(df, side, keys, "left", limits)
+    named = [a.alias(name) for name, a in aggregates.items()]
+    side = df.groupBy(*keys).agg(*named, F.count(F.lit(1)).alias("_rows"))
+    return attach(df, side, keys, "left", limits, rows="_rows")
 
 
 def _sector_combo() -> Column:
@@ -148,49 +148,61 @@ def join_results(df: DataFrame, positions: DataFrame, limits: Limits = LIMITS) -
     return attach(df, positions, ["season", "event", "driver"], "left", limits)
 
 
-def lap_statistics(df: DataFrame) -> DataFrame:
-    """The only aggregation over laps that the features need; combines map-side."""
-    return df.groupBy(*STATS_KEYS, "round_number").agg(
-        F.count("LapTime").alias("_laps"),
-        F.avg("LapTime").alias("_mean"),
-        (F.var_pop("LapTime") * F.count("LapTime")).alias("_spread"),
-        F.min("LapTime").alias("_fastest"),
-        F.max("LapTime").alias("_slowest"),
-        F.min("TyreLife").alias("_fresh"),
-        F.max("TyreLife").alias("_worn"),
-        F.min("Sector1Time").alias("_s1"),
-        F.min("Sector2Time").alias("_s2"),
-        F.min("Sector3Time").alias("_s3"),
-    )
+# What each feature needs of a group of laps; every group has its laps and fastest one.
+_STATISTICS = {
+    "consistency_score": {
+        "_mean": F.avg,
+        "_spread": lambda c: F.var_pop(c) * F.count(c),
+    },
+    "pace_trend": {"_mean": F.avg},
+    "tyre_deg_rate": {"_slowest": F.max},
+}
+
 
+def _keys(features: Sequence[str]) -> tuple[str, ...]:
+    """The coarsest grain from which the features can be worked out."""
+    compound = ["compound"] if "tyre_deg_rate" in features else []
+    return (*DRIVER_SESSION, "team", *compound, "round_number")
 
-def _roll_up(stats: DataFrame) -> DataFrame:
+
+def lap_statistics(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """The only aggregation over laps that the features need; combines map-side."""
+    parts = {"_laps": F.count, "_fastest": F.min}
+    for feature in features:
+        parts |= _STATISTICS.get(feature, {})
+    columns = [make("LapTime").alias(name) for name, make in parts.items()]
+    if "tyre_deg_rate" in features:
+        columns += [F.min("TyreLife").alias("_fresh"), F.max("TyreLife").alias("_worn")]
+    if "best_sector_combo" in features:
+        columns += [F.min(f"Sector{i}Time").alias(f"_s{i}") for i in (1, 2, 3)]
+    return df.groupBy(*_keys(features)).agg(F.count(F.lit(1)).alias("_rows"), *columns)
+
+
+def _roll_up(stats: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Driver-session figures from its rows in the statistics.
 
     These windows run over one row per team and compound of a driver-session,
     however many laps it has.
     """
-    session = Window.partitionBy(*DRIVER_SESSION)
-    stint = Window.partitionBy(*STINT)
-    laps, mean = F.sum("_laps").over(session), F.col("_session_mean")
-    # Deviations pool exactly: spread within the parts plus spread between their means.
-    between = F.col("_laps") * (F.col("_mean") - mean) * (F.col("_mean") - mean)
-    spread = F.sum(F.col("_spread") + between).over(session)
-    ranged = {n: F.max(hi).over(stint) - F.min(lo).over(stint)
-              for n, hi, lo in (("lap", "_slowest", "_fastest"), ("life", "_worn", "_fresh"))}
-    return (
-        stats.withColumn("_best", F.min("_fastest").over(session))
-        .withColumn(
-            "_session_mean",
-            F.try_divide(F.sum(F.col("_laps") * F.col("_mean")).over(session), laps),
+    session, stint = Window.partitionBy(*DRIVER_SESSION), Window.partitionBy(*STINT)
+    out = stats.withColumn("_best", F.min("_fastest").over(session))
+    if "consistency_score" in features:
+        laps, mean = F.sum("_laps").over(session), F.col("_session_mean")
+        # Deviations pool exactly: spread within the parts plus spread between their means.
+        between = F.col("_laps") * (F.col("_mean") - mean) * (F.col("_mean") - mean)
+        spread = F.sum(F.col("_spread") + between).over(session)
+        total = F.sum(F.col("_laps") * F.col("_mean")).over(session)
+        out = out.withColumn("_session_mean", F.try_divide(total, laps)).withColumn(
+            "consistency_score", F.when(laps > 1, F.sqrt(spread / (laps - 1)))
         )
-        .withColumn("consistency_score", F.when(laps > 1, F.sqrt(spread / (laps - 1))))
-        .withColumn(
-            "best_sector_combo",
-            F.min("_s1").over(session) + F.min("_s2").over(session) + F.min("_s3").over(session),
-        )
-        .withColumn("tyre_deg_rate", _degradation(ranged["lap"], ranged["life"]))
-    )
+    if "best_sector_combo" in features:
+        sectors = [F.min(f"_s{i}").over(session) for i in (1, 2, 3)]
+        out = out.withColumn("best_sector_combo", sectors[0] + sectors[1] + sectors[2])
+    if "tyre_deg_rate" in features:
+        lap_range = F.max("_slowest").over(stint) - F.min("_fastest").over(stint)
+        life_range = F.max("_worn").over(stint) - F.min("_fresh").over(stint)
+        out = out.withColumn("tyre_deg_rate", _degradation(lap_range, life_range))
+    return out
 
 
 def trend_by_round(stats: DataFrame, p: Params) -> DataFrame:
@@ -227,6 +239,7 @@ def gold(
     positions: DataFrame | None = None,
     prior: DataFrame | None = None,
     limits: Limits = LIMITS,
+    features: Sequence[str] = FEATURES,
 ) -> DataFrame:
     """Feature rows, one per lap, in the Gold column order (doubles; cast at the sink).
 
@@ -234,35 +247,39 @@ def gold(
     ``prior``: Gold rows of earlier rounds, from which ``silver``'s round takes
     its pace trend. Without it ``silver`` holds whole seasons, and every round
     takes its trend from the rounds before it in there.
+    ``features``: what to compute, for a report that needs only some of them.
     """
     laps = base_laps(silver, p)
-    stats = measure(lap_statistics(laps), "lap-statistics")
-    # Roll-ups of the statistics have fewer rows and columns than they do.
+    keys = _keys(features)
+    stats = measure(lap_statistics(laps, features), "lap-statistics")
+    # Roll-ups of the statistics have no more rows and columns than they do.
     size = stats.bytes
 
-    rolled = _roll_up(stats.df)
-    team = stats.df.groupBy(*TEAM_SESSION).agg(F.min("_fastest").alias("_team_best"))
-    rolled = attach(rolled, team, TEAM_SESSION, "left", limits, at_most=size).withColumn(
-        "pace_vs_teammate", F.col("_best") - F.col("_team_best")
-    )
-    if prior is None:
-        trend, on, bound = trend_by_round(stats.df, p), ["driver", "season", "round_number"], size
-    else:
-        trend = pace_trend(prior, p.season, p.round_number, p.recent_rounds, p.baseline_rounds)
-        on, bound = ["driver", "season"], None
-    rolled = attach(rolled, trend, on, "left", limits, at_most=bound)
+    rolled = _roll_up(stats.df, features)
+    if "pace_vs_teammate" in features:
+        team = stats.df.groupBy(*TEAM_SESSION).agg(F.min("_fastest").alias("_team_best"))
+        rolled = attach(rolled, team, TEAM_SESSION, "left", limits, at_most=size).withColumn(
+            "pace_vs_teammate", F.col("_best") - F.col("_team_best")
+        )
+    if "pace_trend" in features:
+        if prior is None:
+            trend, on, bound = trend_by_round(stats.df, p), ["driver", "season", "round_number"], size
+        else:
+            trend = pace_trend(prior, p.season, p.round_number, p.recent_rounds, p.baseline_rounds)
+            on, bound = ["driver", "season"], None
+        rolled = attach(rolled, trend, on, "left", limits, at_most=bound)
     if positions is None:
         rolled = rolled.withColumn("race_position", F.lit(None).cast("int"))
     else:
         rolled = join_results(rolled, positions, limits)
 
-    # Keys and eight numbers per statistics row: again less than the statistics.
-    side = rolled.select(
-        *STATS_KEYS, "round_number", "_best", *FEATURES[1:], "race_position"
-    )
-    df = attach(laps, side, (*STATS_KEYS, "round_number"), "left", limits, at_most=size)
+    made = [f for f in FEATURES[1:] if f in features]
+    side = rolled.select(*keys, "_best", *made, "race_position", "_rows")
+    # The side has the statistics' rows and at most eight bytes a column for these.
+    bound = size + 8 * stats.rows * (len(made) + 2)
+    df = attach(laps, side, keys, "left", limits, at_most=bound, rows="_rows")
     df = df.withColumn("lap_time_delta", F.col("LapTime") - F.col("_best")).withColumns(
         {w: F.lit(None).cast("double") for w in ("recency_weight", "session_weight", "sample_weight")}
     )
-    extra = [c for c in laps.columns if c == "row_key"]
-    return df.select(*GOLD.fieldNames(), *extra)
+    columns = [c for c in GOLD.fieldNames() if c not in FEATURES or c in features]
+    return df.select(*columns, *[c for c in laps.columns if c == "row_key"])

@@ -50,7 +50,7 @@ def row_loss(bronze: DataFrame, p: Params, limits: Limits = LIMITS) -> DataFrame
     total = F.count(F.lit(1))
     kept = F.count_if(quick)
     removed = F.try_divide((total - kept) * 100.0, total)
-    return attach(bronze, best, SESSION, "left", limits).agg(
+    return attach(bronze, best, SESSION, "left", limits, rows="_rows").agg(
         total.alias("bronze_rows"),
         F.count_if(~complete).alias("dropped_nulls"),
         (F.count_if(complete) - kept).alias("dropped_outliers"),

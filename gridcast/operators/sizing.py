@@ -99,30 +99,39 @@ def attach(
     how: str = "left",
     limits: Limits = LIMITS,
     at_most: int | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Join per-key columns of ``side`` (one row per key) onto ``df``; NULL keys match.
 
     ``at_most`` is a proven upper bound of the side's bytes, e.g. the measured
     size of the table it is rolled up from. When it already fits the
-    broadcast limit no measuring job is run.
+    broadcast limit no measuring job is run. ``rows`` names a column of
+    ``side`` that says how many rows of ``df`` have the key, and is dropped;
+    without it a shuffled join counts them first to find hot keys.
     """
     if at_most is None or at_most > limits.broadcast_bytes:
         kept = measure(side)
         side, at_most = kept.df, kept.bytes
     if at_most <= limits.broadcast_bytes:
+        side = side.drop(rows) if rows else side
         return _null_safe_join(df, F.broadcast(side), on, how)
-    return _spread_join(df, side, on, how, limits)
+    if rows:
+        counts, side = side.select(*on, F.col(rows).alias("_rows")), side.drop(rows)
+    else:
+        counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    return _spread_join(df, side, counts, on, how, limits)
 
 
 def _spread_join(
-    df: DataFrame, side: DataFrame, on: Sequence[str], how: str, limits: Limits
+    df: DataFrame,
+    side: DataFrame,
+    counts: DataFrame,
+    on: Sequence[str],
+    how: str,
+    limits: Limits,
 ) -> DataFrame:
     """Shuffled join in which only hot keys are salted, and only their rows repeated."""
-    counted = measure(
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= limits.hot_rows)
-    )
+    counted = measure(counts.filter(F.col("_rows") >= limits.hot_rows), "hot-keys")
     # At most total / hot_rows keys are hot; raise the bar until the list fits a broadcast.
     hot, bar, size = counted.df, limits.hot_rows, counted
     while size.rows > 0 and size.bytes > max(limits.broadcast_bytes, 1 << 20):

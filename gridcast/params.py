@@ -66,7 +66,7 @@ class Limits:
     ``salts``: over how many tasks a hot key is spread.
     """
 
-    broadcast_bytes: int = 32 << 20
+    broadcast_bytes: int = 64 << 20
     task_rows: int = 1_000_000
     hot_rows: int = 5_000_000
     salts: int = 64

@@ -54,15 +54,36 @@ def base(spark: SparkSession, sf_dir: str, columns=fixture.FEATURE_COLUMNS) -> D
     return land(features.base_laps(silver_laps(spark, sf_dir, columns), P), "silver")
 
 
-def gold_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    laps = bronze(spark, sf_dir)
-    positions = readers.result_positions(fixture.results(laps))
-    return features.gold(clean.silver(laps, P), P, positions)
+# Lap columns that single features are made of, beyond those of every lap.
+SOURCES = {
+    "best_sector_combo": ("Sector1Time", "Sector2Time", "Sector3Time"),
+    "tyre_deg_rate": ("TyreLife",),
+}
+
+
+def gold_laps(
+    spark: SparkSession,
+    sf_dir: str,
+    *wanted: str,
+    label: bool = True,
+    row_key: bool = False,
+) -> DataFrame:
+    """Gold with the named features (all of them by default), down from the raw tables."""
+    wanted = wanted or FEATURES
+    extra = [c for f in wanted for c in SOURCES.get(f, ())]
+    columns = (*fixture.LAP_COLUMNS, *extra, *(["row_key"] if row_key else []))
+    laps = bronze(spark, sf_dir, columns)
+    positions = readers.result_positions(fixture.results(laps)) if label else None
+    return features.gold(clean.silver(laps, P), P, positions, features=wanted)
+
+
+def landed_gold(spark: SparkSession, sf_dir: str, *wanted: str, **options: bool) -> DataFrame:
+    """Gold as a table, for queries that read it more than once."""
+    return land(gold_laps(spark, sf_dir, *wanted, **options), "gold")
 
 
-def landed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold as a table, for queries that read it more than once."""
-    return land(gold_laps(spark, sf_dir), "gold")
+# What the stand-in score below is made of.
+SCORE = ("lap_time_delta", "consistency_score", "pace_vs_teammate")
 
 
 def scored_laps(gold: DataFrame) -> DataFrame:
@@ -397,7 +418,7 @@ def label_join(spark, sf_dir):
 
 @query
 def gold(spark, sf_dir):
-    df = gold_laps(spark, sf_dir)
+    df = gold_laps(spark, sf_dir, row_key=True)
     return rounded(df.drop("recency_weight", "session_weight", "sample_weight"), *FEATURES)
 
 
@@ -428,24 +449,25 @@ def sample_weight(spark, sf_dir):
 
 @query
 def weight_audit(spark, sf_dir):
-    train = model.labelled(landed_gold(spark, sf_dir))
+    train = model.labelled(landed_gold(spark, sf_dir, "lap_time_delta"))
     return weights.weight_audit(weights.sample_weight(train, P))
 
 
 @query
 def impute_numeric(spark, sf_dir):
-    df = model.impute_numeric(gold_laps(spark, sf_dir))
+    df = model.impute_numeric(gold_laps(spark, sf_dir, label=False, row_key=True))
     return rounded(df.select("row_key", *FEATURES), *FEATURES)
 
 
 @query
 def impute_label(spark, sf_dir):
-    return model.impute_label(gold_laps(spark, sf_dir)).select("row_key", "driver", "race_position")
+    df = gold_laps(spark, sf_dir, "lap_time_delta", row_key=True)
+    return model.impute_label(df).select("row_key", "driver", "race_position")
 
 
 @query
 def labelled_rows(spark, sf_dir):
-    df = model.labelled(gold_laps(spark, sf_dir))
+    df = model.labelled(gold_laps(spark, sf_dir, "lap_time_delta", row_key=True))
     return df.select("row_key", "driver", "event", "race_position")
 
 
@@ -467,12 +489,12 @@ def predicate_filters(spark, sf_dir):
 
 @query
 def model_version(spark, sf_dir):
-    return model.model_version(gold_laps(spark, sf_dir))
+    return model.model_version(gold_laps(spark, sf_dir, "lap_time_delta"))
 
 
 @query
 def temporal_split(spark, sf_dir):
-    df = model.temporal_split(model.labelled(landed_gold(spark, sf_dir)))
+    df = model.temporal_split(model.labelled(landed_gold(spark, sf_dir, "lap_time_delta")))
     return df.groupBy("split", "round_number").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -494,34 +516,35 @@ def feature_summary_approx(spark, sf_dir):
 
 @query
 def session_profile(spark, sf_dir):
-    return explore.session_profile(gold_laps(spark, sf_dir))
+    return explore.session_profile(gold_laps(spark, sf_dir, *SCORE, "tyre_deg_rate", label=False))
 
 
 @query
 def driver_leaders(spark, sf_dir):
-    current = gold_laps(spark, sf_dir).filter(F.col("event") == P.event)
-    return explore.driver_leaders(current)
+    gold_df = gold_laps(spark, sf_dir, *SCORE, label=False)
+    return explore.driver_leaders(gold_df.filter(F.col("event") == P.event))
 
 
 @query
 def race_leaders(spark, sf_dir):
-    current = gold_laps(spark, sf_dir).filter(F.col("event") == P.event)
-    return explore.race_leaders(current)
+    gold_df = gold_laps(spark, sf_dir, "lap_time_delta", "consistency_score", "tyre_deg_rate")
+    return explore.race_leaders(gold_df.filter(F.col("event") == P.event))
 
 
 @query
 def teammate_gap(spark, sf_dir):
-    return explore.teammate_gap(gold_laps(spark, sf_dir))
+    return explore.teammate_gap(gold_laps(spark, sf_dir, "pace_vs_teammate"))
 
 
 @query
 def compound_effect(spark, sf_dir):
-    return explore.compound_effect(gold_laps(spark, sf_dir))
+    wanted = ("lap_time_delta", "tyre_deg_rate")
+    return explore.compound_effect(gold_laps(spark, sf_dir, *wanted, label=False))
 
 
 @query
 def trend_leaders(spark, sf_dir):
-    return explore.trend_leaders(gold_laps(spark, sf_dir))
+    return explore.trend_leaders(gold_laps(spark, sf_dir, "pace_trend", label=False))
 
 
 @query
@@ -538,7 +561,7 @@ def feature_corr_by_session(spark, sf_dir):
 
 @query
 def top_n(spark, sf_dir):
-    leaders = explore.driver_leaders(gold_laps(spark, sf_dir))
+    leaders = explore.driver_leaders(gold_laps(spark, sf_dir, *SCORE, label=False))
     return explore.top_n(leaders, [F.col("avg_lap_delta"), F.col("driver")], 20)
 
 
@@ -547,26 +570,26 @@ def top_n(spark, sf_dir):
 
 @query
 def driver_prediction(spark, sf_dir):
-    df = rank.driver_prediction(scored_laps(gold_laps(spark, sf_dir)))
+    df = rank.driver_prediction(scored_laps(gold_laps(spark, sf_dir, *SCORE, label=False, row_key=True)))
     return rounded(df, "win_probability")
 
 
 @query
 def normalise_share(spark, sf_dir):
-    df = rank.driver_prediction(scored_laps(gold_laps(spark, sf_dir)))
+    df = rank.driver_prediction(scored_laps(gold_laps(spark, sf_dir, *SCORE, label=False, row_key=True)))
     shares = rank.normalise_share(df)
     return rounded(shares.select(*rank.DRIVER, "win_probability"), "win_probability")
 
 
 @query
 def rank_drivers(spark, sf_dir):
-    df = ranked(scored_laps(gold_laps(spark, sf_dir)))
+    df = ranked(scored_laps(gold_laps(spark, sf_dir, *SCORE, label=False, row_key=True)))
     return rounded(df.drop("common_position", "lap_count"), "win_probability")
 
 
 @query
 def subsample_uncertainty(spark, sf_dir):
-    return rounded(uncertainty_of(scored_laps(gold_laps(spark, sf_dir))), "uncertainty")
+    return rounded(uncertainty_of(scored_laps(gold_laps(spark, sf_dir, *SCORE, label=False, row_key=True))), "uncertainty")
 
 
 def _with_uncertainty(gold_df: DataFrame) -> DataFrame:
@@ -576,7 +599,7 @@ def _with_uncertainty(gold_df: DataFrame) -> DataFrame:
 
 @query
 def uncertainty_join(spark, sf_dir):
-    df = _with_uncertainty(landed_gold(spark, sf_dir))
+    df = _with_uncertainty(landed_gold(spark, sf_dir, *SCORE, label=False, row_key=True))
     return rounded(
         df.select(*rank.DRIVER, "win_probability", "uncertainty"), "win_probability", "uncertainty"
     )
@@ -585,40 +608,41 @@ def uncertainty_join(spark, sf_dir):
 @query
 def uncertainty_band(spark, sf_dir):
     """Bands of the uncertainty relative to the driver's own win share."""
-    df = _with_uncertainty(landed_gold(spark, sf_dir))
+    df = _with_uncertainty(landed_gold(spark, sf_dir, *SCORE, label=False, row_key=True))
     relative = df.withColumn("uncertainty", r6(F.col("uncertainty") / F.col("win_probability")))
     return rank.uncertainty_band(relative.select(*rank.DRIVER, "uncertainty"))
 
 
 @query
 def prediction_rows(spark, sf_dir):
-    current = landed_gold(spark, sf_dir).filter(F.col("event") == P.event)
+    gold_df = landed_gold(spark, sf_dir, *SCORE, label=False, row_key=True)
+    current = gold_df.filter(F.col("event") == P.event)
     df = rank.prediction_rows(_with_uncertainty(current), P, "base_r07").drop("generated_at")
     return rounded(df, "win_probability", "uncertainty")
 
 
 @query
 def session_scores(spark, sf_dir):
-    df = rank.session_scores(gold_laps(spark, sf_dir), P)
+    df = rank.session_scores(gold_laps(spark, sf_dir, "lap_time_delta", label=False), P)
     return rounded(df, *[f"score_{s}" for s in P.scored_sessions])
 
 
 @query
 def winner_history(spark, sf_dir):
-    gold_df = landed_gold(spark, sf_dir)
+    gold_df = landed_gold(spark, sf_dir, *SCORE, row_key=True)
     return rank.winner_history(season_predictions(gold_df), gold_df, P.season)
 
 
 @query
 def season_accuracy(spark, sf_dir):
-    gold_df = landed_gold(spark, sf_dir)
+    gold_df = landed_gold(spark, sf_dir, *SCORE, row_key=True)
     return rank.season_accuracy(
         rank.winner_history(season_predictions(gold_df), gold_df, P.season)
     )
 
 
 def _finishers(spark, sf_dir) -> DataFrame:
-    gold_df = landed_gold(spark, sf_dir)
+    gold_df = landed_gold(spark, sf_dir, *SCORE, row_key=True)
     places = gold_df.select(*rank.DRIVER, "race_position").distinct()
     return attach(ranked(scored_laps(gold_df)), places, rank.DRIVER)
 
@@ -639,7 +663,7 @@ def within_k_accuracy(spark, sf_dir):
 
 @query
 def top3_summary(spark, sf_dir):
-    df = rank.normalise_share(rank.driver_prediction(scored_laps(gold_laps(spark, sf_dir))))
+    df = rank.normalise_share(rank.driver_prediction(scored_laps(gold_laps(spark, sf_dir, *SCORE, label=False, row_key=True))))
     top = rank.top3_summary(df).select(*rank.DRIVER, "team", "win_probability", "place", "label")
     return rounded(top, "win_probability")
 
@@ -677,7 +701,8 @@ def _event_entries(gold_df: DataFrame) -> DataFrame:
 @query
 def export_lines(spark, sf_dir):
     """Fields read back out of the exported JSON lines."""
-    lines = export.export_lines(_event_entries(landed_gold(spark, sf_dir)))
+    gold_df = landed_gold(spark, sf_dir, *SCORE, label=False, row_key=True)
+    lines = export.export_lines(_event_entries(gold_df))
 
     def at(field: str) -> Column:
         return F.get_json_object("value", f"$.{field}")
@@ -696,7 +721,7 @@ def export_lines(spark, sf_dir):
 @query
 def export_document(spark, sf_dir):
     """The document's scalar fields, read back out of its JSON text."""
-    gold_df = landed_gold(spark, sf_dir)
+    gold_df = landed_gold(spark, sf_dir, row_key=True)
     current = gold_df.filter(F.col("event") == P.event)
     history = rank.winner_history(season_predictions(gold_df), gold_df, P.season)
     document = export.export_document(
@@ -731,7 +756,7 @@ def export_document(spark, sf_dir):
 
 
 def _train(spark, sf_dir, kind: str) -> tuple[model.Fitted, DataFrame]:
-    gold_df = landed_gold(spark, sf_dir)
+    gold_df = landed_gold(spark, sf_dir, row_key=True)
     train = land(model.training_frame(gold_df, P), "train")
     return model.fit(train, P, kind), gold_df
 

@@ -16,14 +16,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *row_id: str) -> DataFrame:
     """A scan of fewer splits than the cluster has cores, dealt out to all of them.
 
     For small or unsplittable files; a table with enough splits is left as it
-    is and not shuffled.
+    is and not shuffled. ``row_id`` should tell rows apart.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *row_id)
 
 
 def read_laps(

@@ -53,6 +53,14 @@ def test_spread_join_splits_the_hot_key_only(spark, skewed):
     assert rows_of(cool) == rows_of(attach(skewed, side, ["k"]))
 
 
+@pytest.mark.parametrize("limits", [LIMITS, TINY])
+def test_known_row_counts_are_used_and_dropped(skewed, limits):
+    side = skewed.groupBy("k").agg(F.sum("i").alias("s"), F.count("*").alias("n"))
+    out = attach(skewed, side, ["k"], "left", limits, rows="n")
+    assert out.columns == ["k", "i", "v", "s"]
+    assert rows_of(out) == rows_of(attach(skewed, side.drop("n"), ["k"]))
+
+
 def test_attach_broadcasts_only_below_the_limit(spark, skewed):
     side = skewed.groupBy("k").agg(F.sum("i").alias("s"))
     small = attach(skewed, side, ["k"])._jdf.queryExecution().optimizedPlan().toString()
