@@ -42,6 +42,8 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
+        # Wide generated methods are compiled, too.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods -XX:+UseParallelGC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gridcast-bench-"))
     )
     spark = builder.getOrCreate()
