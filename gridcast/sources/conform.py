@@ -60,6 +60,11 @@ def flag_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({c: F.initcap(F.col(c).cast("string")) for c in cols if c in df.columns})
 
 
+def flag_values(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """Stored flag text back as booleans; any other text gives NULL."""
+    return df.withColumns({c: F.col(c).try_cast("boolean") for c in cols if c in df.columns})
+
+
 def conform_results(df: DataFrame, p: Params) -> DataFrame:
     """Raw classification rows as the results table.
 

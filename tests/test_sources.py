@@ -64,6 +64,9 @@ def test_flags(spark):
     df = spark.createDataFrame([(True, "false"), (None, None)], "FreshTyre boolean, IsPersonalBest string")
     out = conform.flag_text(df, ["FreshTyre", "IsPersonalBest", "absent"]).collect()
     assert [tuple(r) for r in out] == [("True", "False"), (None, None)]
+    text = spark.createDataFrame([("True", "maybe"), ("False", None)], "FreshTyre string, IsPersonalBest string")
+    back = conform.flag_values(text, ["FreshTyre", "IsPersonalBest"]).collect()
+    assert [tuple(r) for r in back] == [(True, None), (False, None)]
 
 
 def test_results(spark):
