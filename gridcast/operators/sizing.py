@@ -10,41 +10,16 @@ ever runs over laps: ordered windows run on aggregates, in one task only up to
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast.params import LIMITS, Limits
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if configured is None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridcast-"))
-    return configured or context.getCheckpointDir()
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/gridcast/{name}-{uuid.uuid4().hex}"
-
-
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage: later passes prune columns and do not repeat the joins
-    behind the table, and a lost executor costs them nothing.
-    """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from gridcast.store import land
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridcast.functions.columns import row_key
 from gridcast.operators import clean, features, model, rank
-from gridcast.operators.sizing import land
+from gridcast.store import land
 from gridcast.params import LIMITS, Limits, Params
 from gridcast.schemas import BRONZE, DURATIONS, FLAGS, GOLD, PREDICTIONS, RESULTS
 from gridcast.sinks import export, tables

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from gridcast.functions.columns import nudged_round
 from gridcast.operators import clean, explore, features, model, quality, rank, weights
-from gridcast.operators.sizing import attach, land, new_path
+from gridcast.operators.sizing import attach
 from gridcast.params import SESSION_NAMES, SESSION_TYPES, Params
 from gridcast.schemas import CRITICAL, FEATURES, LAPS
 from gridcast.sinks import export, tables
 from gridcast.sources import conform, fixture, readers
+from gridcast.store import land, new_path
 
 P = Params(fixture.SEASON, fixture.EVENT, fixture.ROUND, trees=20, label_cap=21)
 LAP = (*fixture.LAP_COLUMNS, "row_key")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridcast.operators import clean, explore, features, quality, rank, weights
-from gridcast.operators.sizing import land
+from gridcast.store import land
 from gridcast.params import Params
 from gridcast.plans import queries as Q
 from gridcast.sinks import tables

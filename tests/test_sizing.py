@@ -15,7 +15,6 @@ from gridcast.operators.sizing import (
     measure,
     number_rows,
     running_total,
-    shared_dir,
 )
 from gridcast.params import LIMITS, Limits, Params
 
@@ -157,30 +156,3 @@ def test_gold_and_rank_do_not_depend_on_the_limits(spark):
         )
 
     assert result(LIMITS) == result(TINY)
-
-
-def test_shared_dir_is_the_sessions(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
-class Unconfigured:
-    """A session without the setting, as far as ``shared_dir`` looks at one."""
-
-    def __init__(self, folder=None):
-        self.folder = folder
-        self.conf = self.sparkContext = self
-
-    def get(self, name, default):
-        return default
-
-    def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
-
-def test_shared_dir_is_made_only_where_none_is_set():
-    assert shared_dir(Unconfigured("s3a://shared/x")) == "s3a://shared/x"
-    fresh = Unconfigured()
-    assert shared_dir(fresh) == fresh.folder == shared_dir(fresh)
