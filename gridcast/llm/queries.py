@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import block_naming, huffman, line_quality, packing, sharding
+from gridcast.llm import (
+    block_naming,
+    bpe,
+    huffman,
+    line_quality,
+    lm_score,
+    packing,
+    sharding,
+    superminhash,
+    toxicity,
+    url_trust,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +69,51 @@ def op10_two_pass_shuffle(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op3_backtracking_bpe(spark, sf_dir):
+    return bpe.round_trip_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
+@query
+def op5_noisy_or(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(~held_out()))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_superminhash(spark, sf_dir):
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), superminhash.Near(percent=85)).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
+@query
+def op1_cross_entropy_difference(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+# The rules of this query.
+RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+@query
+def op2_link_trust(spark, sf_dir):
+    return url_trust.url_verdicts(table(spark, sf_dir, "pages"), RULES)
