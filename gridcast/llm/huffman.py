@@ -125,17 +125,23 @@ class Code:
         return out
 
 
+def id_type(vocabulary: int) -> str:
+    """How ids of a vocabulary are held on their way to the file: little-endian, in 2 bytes if they fit."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 def _tokenise(path: str, end_id: int, size: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(path)
+        width = id_type(encoder.tokenizer.get_vocab_size())
         for part in tx.slices(batches, "text", size):
             ids, offsets = encoder.encode(part.column(1))
             n = np.diff(offsets) + 1
             stops = np.concatenate([[0], np.cumsum(n)])
-            out = np.full(int(stops[-1]), end_id, np.uint32)
+            out = np.full(int(stops[-1]), end_id, width)
             out[tx.ragged(stops[:-1], n - 1)] = ids
             raw = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(n), [None, pa.py_buffer(stops.astype(np.int64) * 4), pa.py_buffer(out)]
+                pa.large_binary(), len(n), [None, pa.py_buffer(stops.astype(np.int64) * out.itemsize), pa.py_buffer(out)]
             )
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), raw.cast(pa.binary())], ["doc_id", "n_tokens", "ids"])
 
@@ -143,16 +149,23 @@ def _tokenise(path: str, end_id: int, size: int) -> Callable:
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int, slice_bytes: int = tokens.SLICE_BYTES) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids with ``end_id`` last, as little-endian unsigned 32-bit numbers."""
+    """(doc_id, n_tokens, ids): ids with ``end_id`` last, in bytes; all ids of a row have the same width."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
     ).mapInArrow(_tokenise(path, end_id, slice_bytes), "doc_id long, n_tokens long, ids binary")
 
 
+def _ids(col: pa.Array, counts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column and the offsets of the rows among them."""
+    data = tx.flat(col)[0]
+    offsets = np.concatenate([[0], np.cumsum(counts.to_numpy())])
+    return data.copy().view("<u2" if len(data) < 4 * offsets[-1] else "<u4"), offsets
+
+
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1, np.int64)
     for batch in batches:
-        ids = tx.flat(batch.column(0))[0].copy().view("<u4")
+        ids = _ids(batch.column(0), batch.column(1))[0]
         found = np.bincount(ids)
         if len(found) > len(total):
             found, total = total, found
@@ -164,7 +177,7 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def global_counts(ids: DataFrame) -> DataFrame:
     """(id, n): how often each id occurs; at most one row per id from each task is shuffled."""
-    return ids.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return ids.select("ids", "n_tokens").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _write(code: Code, block_ids: int, every: int) -> Callable:
@@ -181,8 +194,7 @@ def _write(code: Code, block_ids: int, every: int) -> Callable:
             )
 
         for batch in batches:
-            data, offsets = tx.flat(batch.column(2))
-            ids, offsets = data.copy().view("<u4"), offsets // 4
+            ids, offsets = _ids(batch.column(2), batch.column(1))
             for i, doc in enumerate(batch.column(0).to_pylist()):
                 docs.append(doc)
                 lens.append(int(offsets[i + 1] - offsets[i]))

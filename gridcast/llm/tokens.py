@@ -1,9 +1,10 @@
 """Token ids of whole texts by a tokenizers-library file, with each distinct piece encoded once.
 
 A text is cut at ASCII white space, which no piece of the tokenizer spans: it normalises and
-splits such chunks independently of each other. Chunks of ASCII without an apostrophe or "<"
-are cut further into letter runs, digits and other runs, which is where the tokenizer's own
-pattern cuts them; all other chunks go through the whole tokenizer.
+splits such chunks independently of each other. Chunks of ASCII and Latin-1 letters without an
+apostrophe or "<" are cut further into letter runs, digits and other runs, which is where the tokenizer's own
+pattern cuts them; all other chunks go through the whole tokenizer. Latin-1 letters are
+letters like ASCII ones: composed already, and lower-cased one by one.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 
 from gridcast.llm import text as tx
+from gridcast.llm.bpe import byte_letters
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Distinct pieces a task remembers between slices; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _LETTER, _DIGIT, _OTHER, _WHOLE = 1, 2, 3, 4
 _KIND = np.full(256, _OTHER, np.uint8)
@@ -30,6 +32,11 @@ _HARD[127:] = True
 _HARD[:32] = True
 _HARD[tx.SPACE] = False
 _HARD[[0x27, 0x3C]] = True
+# Latin-1 letters: this byte and a second one that is no multiplication or division sign.
+_LATIN = 0xC3
+_SECOND = np.zeros(256, bool)
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
 
 _loaded: dict[str, Encoder] = {}
 
@@ -55,6 +62,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.known: dict[int, tuple[int, ...]] = {}
+        self.letter = {b: c for c, b in byte_letters().items()}
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the offsets of the texts among them."""
@@ -77,10 +85,15 @@ class Encoder:
         starts, ends, _ = tx.words(data, offsets)
         if not len(starts):
             return starts, ends, np.zeros(0, bool), data
-        hard = np.concatenate([[0], np.cumsum(_HARD[data], dtype=np.int64)])
+        latin = np.flatnonzero((data[:-1] == _LATIN) & _SECOND[data[1:]])
+        bad = _HARD[data]
+        bad[latin] = bad[latin + 1] = False
+        hard = np.concatenate([[0], np.cumsum(bad, dtype=np.int64)])
         whole = hard[ends] > hard[starts]
         kind = _KIND[data]
+        kind[latin] = kind[latin + 1] = _LETTER
         shown = tx.LOWER[data]
+        shown[latin[data[latin + 1] < 0x9F] + 1] += 0x20
         if whole.any():
             at = tx.ragged(starts[whole], ends[whole] - starts[whole])
             kind[at] = _WHOLE
@@ -105,7 +118,9 @@ class Encoder:
         new = [i for i, k in enumerate(names) if k not in known]
         plain = [i for i in new if not whole[i]]
         for i in plain:
-            piece = raw[starts[i] : ends[i]].decode()
+            piece = raw[starts[i] : ends[i]]
+            # The model sees a letter for each byte.
+            piece = piece.decode() if piece.isascii() else "".join(map(self.letter.__getitem__, piece))
             known[names[i]] = tuple(t.id for t in self.model.tokenize(piece))
         rest = [i for i in new if whole[i]]
         pieces = [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in rest]
