@@ -12,8 +12,8 @@ set rule are grouped by union-find.
 
 Documents with equal sets are one class and only one of them is compared. A group of near
 copies is not compared pair by pair: first each member of a bucket with its most alike
-predecessor only; then, between members that are not yet connected, whatever is alike. A
-bucket larger than a task should hold is split into blocks, and all of them are met with one
+predecessor only. Where members are alike and still not connected, their sets are brought
+together in the bucket's task, which passes on no more links than connect them. A bucket larger than a task should hold is split into blocks, and all of them are met with one
 block at a time, until what is left is connected.
 
 Defined cases: a text without words, null included, has no shingles, is linked with nothing
@@ -170,59 +170,132 @@ def signatures(docs: DataFrame, how: Near) -> DataFrame:
     )
 
 
-def _screen(how: Near, forest: bool) -> Callable:
-    """Pairs of a bucket's members whose signatures are alike.
+def _whole_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Rows in order of (g, block), as tables that no group goes beyond, and where the groups begin and end."""
+    carry: pa.Table | None = None
+
+    def cuts(t: pa.Table) -> list[int]:
+        g, s = t["g"].to_numpy(), t["block"].to_numpy()
+        return (np.flatnonzero((g[1:] != g[:-1]) | (s[1:] != s[:-1])) + 1).tolist()
+
+    def spans(t: pa.Table) -> list[tuple[int, int]]:
+        at = cuts(t)
+        return list(zip([0, *at], [*at, t.num_rows], strict=True))
+
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([carry, t]) if carry is not None else t
+        if not t.num_rows:
+            continue
+        # The last group may go on in the next batch.
+        last = max(cuts(t), default=0)
+        carry = t.slice(last)
+        if last:
+            head = t.slice(0, last)
+            yield head, spans(head)
+    if carry is not None and carry.num_rows:
+        yield carry, spans(carry)
+
+
+def _alike(how: Near, size: np.ndarray, sig: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which members before ``i`` have a signature alike and a size that allows a link; slots that agree."""
+    same = (sig[:i] == sig[i]).sum(axis=1)
+    low, high = np.minimum(size[:i], size[i]), np.maximum(size[:i], size[i])
+    return (same >= how.alike) & (100 * low >= how.percent * high), same
 
-    ``forest``: each member with the most alike one before it. Otherwise all that are in
-    different components.
-    """
-    names = ("uid", "n_shingles", "sig", "comp")
-
-    def group(uid, size, sig, comp) -> tuple[list[int], list[int]]:
-        left, right = [], []
-        for i in range(1, len(uid)):
-            same = (sig[:i] == sig[i]).sum(axis=1)
-            low, high = np.minimum(size[:i], size[i]), np.maximum(size[:i], size[i])
-            fits = (same >= how.alike) & (100 * low >= how.percent * high)
-            if not forest:
-                fits &= comp[:i] != comp[i]
-            hit = np.flatnonzero(fits)
-            if forest and len(hit):
-                hit = hit[[np.argmax(same[hit])]]
-            left.extend(uid[hit].tolist())
-            right.extend([int(uid[i])] * len(hit))
-        return left, right
+
+def _nearest(how: Near) -> Callable:
+    """Each member of a bucket with the most alike one before it, if any is alike."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry: pa.Table | None = None
-
-        def pairs(t: pa.Table) -> pa.RecordBatch:
-            g, s = t["g"].to_numpy(), t["block"].to_numpy()
-            cut = np.flatnonzero((g[1:] != g[:-1]) | (s[1:] != s[:-1])) + 1
-            uid, size, _, comp = (t[k].to_numpy() if k != "sig" else None for k in names)
-            data, _ = tx.flat(t["sig"].combine_chunks())
-            sig = data.reshape(len(uid), how.slots)
+        for t, spans in _whole_groups(batches):
+            uid, size = t["uid"].to_numpy(), t["n_shingles"].to_numpy()
+            sig = tx.flat(t["sig"].combine_chunks())[0].reshape(len(uid), how.slots)
             left, right = [], []
-            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(g)], strict=True):
-                if b - a > 1 and (forest or (comp[a:b] != comp[a]).any()):
-                    x, y = group(uid[a:b], size[a:b], sig[a:b], comp[a:b])
-                    left += x
-                    right += y
-            return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+            for a, b in spans:
+                for i in range(1, b - a):
+                    fits, same = _alike(how, size[a:b], sig[a:b], i)
+                    if fits.any():
+                        left.append(int(uid[a + np.argmax(np.where(fits, same, -1))]))
+                        right.append(int(uid[a + i]))
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([carry, t]) if carry is not None else t
-            if not t.num_rows:
-                continue
-            g, s = t["g"].to_numpy(), t["block"].to_numpy()
-            # The last bucket may go on in the next batch.
-            last = int(np.flatnonzero((g != g[-1]) | (s != s[-1])).max(initial=-1)) + 1
-            carry = t.slice(last)
-            if last:
-                yield pairs(t.slice(0, last))
-        if carry is not None and carry.num_rows:
-            yield pairs(carry)
+    return run
+
+
+def _unconnected(how: Near) -> Callable:
+    """Members of a bucket that are alike to one in another component."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, spans in _whole_groups(batches):
+            uid, size, comp = (t[k].to_numpy() for k in ("uid", "n_shingles", "comp"))
+            sig = tx.flat(t["sig"].combine_chunks())[0].reshape(len(uid), how.slots)
+            wanted = np.zeros(len(uid), bool)
+            for a, b in spans:
+                if (comp[a:b] == comp[a]).all():
+                    continue
+                for i in range(1, b - a):
+                    fits = _alike(how, size[a:b], sig[a:b], i)[0] & (comp[a : a + i] != comp[a + i])
+                    if fits.any():
+                        wanted[a : a + i] |= fits
+                        wanted[a + i] = True
+            at = pa.array(np.flatnonzero(wanted))
+            yield pa.RecordBatch.from_arrays([t[k].combine_chunks().take(at) for k in ("g", "block", "uid")], ["g", "block", "uid"])
+
+    return run
+
+
+# Shingles whose holders are counted at once.
+_COLUMNS = 4096
+
+
+def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between sets, found on the sets themselves, that connect all that are connected."""
+    k = len(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    of = np.repeat(np.arange(k), size)
+    known, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = held > 1
+    number = np.cumsum(shared) - 1
+    use = shared[column]
+    of, column = of[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    both = np.zeros((k, k), np.float32)
+    for first in range(0, int(shared.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, [first, first + _COLUMNS])
+        block = np.zeros((k, _COLUMNS), np.float32)
+        block[of[a:b], column[a:b] - first] = 1
+        both += block @ block.T
+    both = both.astype(np.int64)
+    linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    out, left = [], np.ones(k, bool)
+    for start in range(k):
+        if not left[start]:
+            continue
+        left[start] = False
+        todo = [start]
+        while todo:
+            x = todo.pop()
+            new = np.flatnonzero(linked[x] & left)
+            left[new] = False
+            out += [(x, y) for y in new.tolist()]
+            todo += new.tolist()
+    return out
+
+
+def _spanning(how: Near) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, spans in _whole_groups(batches):
+            uid = t["uid"].to_numpy()
+            data, at = tx.flat(t["shingles"].combine_chunks())
+            left, right = [], []
+            for a, b in spans:
+                sets = [data[at[i] : at[i + 1]].copy().view(np.uint64) for i in range(a, b)]
+                for x, y in spanning_links(sets, how.percent):
+                    left.append(int(uid[a + x]))
+                    right.append(int(uid[a + y]))
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return run
 
@@ -279,24 +352,34 @@ class Linker:
         named = attach(members, self.labels.select(F.col("node").alias("uid"), "root"), ["uid"], "left", self.limits)
         return named.withColumn("comp", F.coalesce("root", "uid")).drop("root")
 
-    def _confirmed(self, groups: DataFrame, forest: bool) -> DataFrame:
-        screened = (
-            groups.select("g", "block", "uid", "n_shingles", "sig", "comp")
-            .repartition("g", "block").sortWithinPartitions("g", "block", "uid")
-            .mapInArrow(_screen(self.how, forest), "a long, b long").distinct()
-        )
-        pairs = measure(screened, "pairs")
-        named = F.broadcast(pairs.df) if pairs.bytes <= self.limits.broadcast_bytes else pairs.df
-        left = self.sets.join(named, F.col("uid") == F.col("a")).select("a", "b", F.col("shingles").alias("x"))
-        right = self.sets.join(named, F.col("uid") == F.col("b")).select("a", "b", F.col("shingles").alias("y"))
-        return left.join(right, ["a", "b"]).mapInArrow(_confirm(self.how), "a long, b long").distinct()
+    def _grouped(self, groups: DataFrame, *columns: str) -> DataFrame:
+        wanted = groups.select("g", "block", "uid", *columns)
+        return wanted.repartition("g", "block").sortWithinPartitions("g", "block", "uid")
+
+    def _with_sets(self, kept, on: str) -> DataFrame:
+        """The measured rows with the set of ``on``; a short list of rows goes to the sets."""
+        rows = F.broadcast(kept.df) if kept.bytes <= self.limits.broadcast_bytes else kept.df
+        return self.sets.withColumnRenamed("uid", "_uid").join(rows, F.col("_uid") == F.col(on)).drop("_uid")
+
+    def _add(self, found: DataFrame) -> None:
+        found = land(found, "links")
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.labels = components(self.links, self.limits)
 
     def link(self, groups: DataFrame) -> None:
         """Confirm the links within the groups (g, block)."""
-        for forest in (True, False):
-            found = land(self._confirmed(self._labelled(groups), forest), "links")
-            self.links = found if self.links is None else self.links.unionByName(found)
-            self.labels = components(self.links, self.limits)
+        nearest = self._grouped(groups, "n_shingles", "sig").mapInArrow(_nearest(self.how), "a long, b long")
+        pairs = measure(nearest.distinct(), "nearest")
+        left = self._with_sets(pairs, "a").withColumnRenamed("shingles", "x")
+        right = self._with_sets(pairs, "b").withColumnRenamed("shingles", "y")
+        both = left.join(right, ["a", "b"]).select("a", "b", "x", "y")
+        self._add(both.mapInArrow(_confirm(self.how), "a long, b long").distinct())
+
+        rest = self._grouped(self._labelled(groups), "n_shingles", "sig", "comp")
+        rest = measure(rest.mapInArrow(_unconnected(self.how), "g long, block int, uid long"), "unconnected")
+        if rest.rows:
+            met = self._grouped(self._with_sets(rest, "uid"), "shingles")
+            self._add(met.mapInArrow(_spanning(self.how), "a long, b long").distinct())
 
     def unsettled(self, members: DataFrame) -> DataFrame:
         """Buckets whose members are not all in one component."""
