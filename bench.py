@@ -11,6 +11,7 @@ import time
 from pyspark.sql import SparkSession
 
 from gridcast.plans.queries import QUERIES
+from gridcast.store import release
 
 HEADLINE = (
     "count_by_session",
@@ -58,6 +59,7 @@ def main() -> None:
         # Every row and column is computed; nothing is collected.
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release(spark)
     spark.stop()
     print(
         json.dumps(
