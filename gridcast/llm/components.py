@@ -56,13 +56,23 @@ def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
-def components(edges: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def components(
+    edges: DataFrame, limits: Limits = LIMITS, n_edges: int | None = None, task_edges: int = BATCH_EDGES
+) -> DataFrame:
     """(node, root) of every node with an edge but the roots; the root is the least number of its component.
 
-    ``edges`` has the columns a and b. Each round contracts the edges of a task by
-    union-find and then links neighbours to the least of them; the number of rounds grows
-    with the logarithm of the longest path that is left.
+    ``edges`` has the columns a and b; ``n_edges`` is their number where it is known. Each round
+    contracts the edges of a task by union-find and then links neighbours to the least of them;
+    the number of rounds grows with the logarithm of the longest path that is left. Once at most
+    ``task_edges`` are left, one task finishes.
     """
+    def finish(e: DataFrame) -> DataFrame:
+        last = land(e.select("a", "b").coalesce(1).mapInArrow(_contract, "a long, b long"), "stars")
+        return last.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+    if n_edges is not None and n_edges <= task_edges:
+        return finish(edges)
+
     def least_links(e: DataFrame, both: bool) -> DataFrame:
         """Link the (larger) neighbours of each node, and itself, to its least neighbour."""
         way = e.select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -86,6 +96,8 @@ def components(edges: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     now = measure(pairs.mapInArrow(_contract, "a long, b long").distinct(), "edges")
     before = summary(now)
     while now.rows:
+        if now.rows <= task_edges:
+            return finish(now.df)
         large = land(least_links(now.df, both=True), "large-star")
         now = measure(least_links(large, both=False), "small-star")
         after = summary(now)

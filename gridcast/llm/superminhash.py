@@ -10,11 +10,12 @@ Signatures are cut into bands. Documents that share a band are candidates, those
 signatures are alike are compared on their full shingle sets, and documents linked by the
 set rule are grouped by union-find.
 
-Documents with equal sets are one class and only one of them is compared. A group of near
-copies is not compared pair by pair: first each member of a bucket with its most alike
-predecessor only. Where members are alike and still not connected, their sets are brought
-together in the bucket's task, which passes on no more links than connect them. A bucket larger than a task should hold is split into blocks, and all of them are met with one
-block at a time, until what is left is connected.
+Documents with equal sets are one class and only one of them is compared. Members of a bucket
+whose signatures are alike are joined to candidate groups, which hold every link. All sets of a
+group meet once, in one task that visits them from neighbour to neighbour. A bucket too large
+for a task is one candidate group as a whole; a candidate group too large for a task is met
+bucket by bucket, and buckets too large for a task block by block, until what is left is
+connected.
 
 Defined cases: a text without words, null included, has no shingles, is linked with nothing
 and stays; one with fewer words than a shingle has the whole sequence as its only one; rows
@@ -34,9 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
-from gridcast.llm.components import components
+from gridcast.llm.components import UnionFind, components
 from gridcast.llm.rows import numbered, text_key
-from gridcast.operators.sizing import attach, measure
+from gridcast.operators.sizing import Measured, attach, measure
 from gridcast.params import LIMITS, Limits
 from gridcast.store import land
 
@@ -49,7 +50,8 @@ class Near:
     """``percent``: documents are linked when their sets' Jaccard similarity is at least this.
 
     With 25 bands of 5 slots a pair at 85 % shares no band with probability 4e-7.
-    Members of a bucket of at most ``bucket`` are compared in one task.
+    Members of a bucket of at most ``bucket`` are compared in one task, and the sets of a candidate
+    group of at most ``group`` members and ``group_shingles`` shingles; other ways serve the rest.
     """
 
     words: int = 5
@@ -57,6 +59,8 @@ class Near:
     bands: int = 25
     rows: int = 5
     bucket: int = 1024
+    group: int = 4096
+    group_shingles: int = 4_000_000
 
     @property
     def slots(self) -> int:
@@ -223,6 +227,33 @@ def _nearest(how: Near) -> Callable:
     return run
 
 
+def _stars(how: Near) -> Callable:
+    """Links that connect those members of a bucket whose signatures are alike, directly or by others."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, spans in _whole_groups(batches):
+            uid, size = t["uid"].to_numpy(), t["n_shingles"].to_numpy()
+            sig = tx.flat(t["sig"].combine_chunks())[0].reshape(len(uid), how.slots)
+            left, right = [], []
+            for a, b in spans:
+                rest = np.arange(a, b)
+                while len(rest) > 1:
+                    todo, rest = [int(rest[0])], rest[1:]
+                    while todo and len(rest):
+                        x = todo.pop()
+                        same = (sig[rest] == sig[x]).sum(axis=1) >= how.alike
+                        low, high = np.minimum(size[rest], size[x]), np.maximum(size[rest], size[x])
+                        fits = same & (100 * low >= how.percent * high)
+                        new = rest[fits]
+                        rest = rest[~fits]
+                        left += [uid[x]] * len(new)
+                        right += uid[new].tolist()
+                        todo += new.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    return run
+
+
 def _unconnected(how: Near) -> Callable:
     """Members of a bucket that are alike to one in another component."""
 
@@ -245,39 +276,40 @@ def _unconnected(how: Near) -> Callable:
     return run
 
 
-# Shingles whose holders are counted at once.
-_COLUMNS = 4096
-
-
 def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between sets, found on the sets themselves, that connect all that are connected."""
+    """Links between sets, found on the sets themselves, that connect all that are connected.
+
+    Goes from a set to all it is linked with that no earlier one has reached. How many shingles
+    two sets share is counted over the holders of each shingle; sets that were reached leave
+    these lists whenever half of them have been.
+    """
     k = len(sets)
     size = np.array([len(s) for s in sets], np.int64)
-    of = np.repeat(np.arange(k), size)
-    known, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = held > 1
-    number = np.cumsum(shared) - 1
-    use = shared[column]
-    of, column = of[use], number[column[use]]
+    firsts = np.concatenate([[0], np.cumsum(size)])
+    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
     order = np.argsort(column, kind="stable")
-    of, column = of[order], column[order]
-    both = np.zeros((k, k), np.float32)
-    for first in range(0, int(shared.sum()), _COLUMNS):
-        a, b = np.searchsorted(column, [first, first + _COLUMNS])
-        block = np.zeros((k, _COLUMNS), np.float32)
-        block[of[a:b], column[a:b] - first] = 1
-        both += block @ block.T
-    both = both.astype(np.int64)
-    linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-    out, left = [], np.ones(k, bool)
+    holder, of = np.repeat(np.arange(k, dtype=np.int32), size)[order], column[order]
+    n_columns = int(column.max(initial=-1)) + 1
+    begin = np.searchsorted(of, np.arange(n_columns + 1))
+    out, left, listed = [], np.ones(k, bool), k
     for start in range(k):
         if not left[start]:
             continue
         left[start] = False
         todo = [start]
         while todo:
+            waiting = int(left.sum())
+            if not waiting:
+                return out
+            if 2 * waiting <= listed:
+                here = left[holder]
+                holder, of, listed = holder[here], of[here], waiting
+                begin = np.searchsorted(of, np.arange(n_columns + 1))
             x = todo.pop()
-            new = np.flatnonzero(linked[x] & left)
+            own = column[firsts[x] : firsts[x + 1]]
+            held = holder[tx.ragged(begin[own], begin[own + 1] - begin[own])]
+            both = np.bincount(held, minlength=k)
+            new = np.flatnonzero(left & (100 * both >= percent * (size[x] + size - both)))
             left[new] = False
             out += [(x, y) for y in new.tolist()]
             todo += new.tolist()
@@ -300,9 +332,42 @@ def _spanning(how: Near) -> Callable:
     return run
 
 
+def _group_roots(how: Near) -> Callable:
+    """The least uid of its component for every member of a group that is linked with another."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, spans in _whole_groups(batches):
+            uid = t["uid"].to_numpy()
+            data, at = tx.flat(t["shingles"].combine_chunks())
+            nodes, roots = [], []
+            for a, b in spans:
+                # Equal rows of several tasks give the same set again.
+                own = [i for i in range(a, b) if i == a or uid[i] != uid[i - 1]]
+                found = UnionFind()
+                for x, y in spanning_links([data[at[i] : at[i + 1]].copy().view(np.uint64) for i in own], how.percent):
+                    found.union(int(uid[own[x]]), int(uid[own[y]]))
+                members = set(found.up) | set(found.up.values())
+                nodes += members
+                roots += [found.find(x) for x in members]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["uid", "root"])
+
+    return run
+
+
 def _sets(how: Near) -> Callable:
+    def once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Equal rows of a task give one set."""
+        seen: set[int] = set()
+        for batch in batches:
+            new = []
+            for i, uid in enumerate(batch.column(0).to_pylist()):
+                if uid not in seen:
+                    seen.add(uid)
+                    new.append(i)
+            yield batch.take(pa.array(new, pa.int64())) if len(new) < batch.num_rows else batch
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "text"):
+        for part in tx.slices(once(batches), "text"):
             shingles, texts, n = shingle_sets(part.column(1), how.words)
             ends = (np.concatenate([[0], np.cumsum(np.bincount(texts, minlength=n))]) * 8).astype(np.int64)
             raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(shingles)])
@@ -333,16 +398,8 @@ class Linker:
     def __init__(self, docs: DataFrame, members: DataFrame, how: Near, limits: Limits):
         self.how, self.limits = how, limits
         wanted = measure(members.select("uid", "doc_id", "text_key").distinct(), "candidates")
-        named = wanted.df.select("uid", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        side = F.broadcast(named) if wanted.bytes <= limits.broadcast_bytes else named
-        texts = docs.select("doc_id", "text").join(
-            side, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key"))
-        )
         # Equal rows give the same set several times.
-        self.sets = land(
-            texts.select("uid", F.col("text").cast("binary").alias("text"))
-            .mapInArrow(_sets(how), "uid long, shingles binary"), "sets"
-        )
+        self.sets = land(sets_of(docs, wanted, how, limits).select("uid", "shingles"), "sets")
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -389,26 +446,19 @@ class Linker:
         )
 
 
-def near_duplicates(docs: DataFrame, how: Near | None = None, limits: Limits = LIMITS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept (and text_key)."""
-    how = how or Near()
-    base = signatures(docs, how)
-    klass = ["set_a", "set_b", "n_shingles"]
-    # One row per distinct set stands for all its documents.
-    classes = land(
-        base.filter("n_shingles > 0").groupBy(*klass).agg(
-            F.min_by(F.struct("uid", "doc_id", "text_key", "bands", "sig"), "uid").alias("one"),
-            F.min("doc_id").alias("least_doc"), F.count(F.lit(1)).alias("n_docs"),
-        ).select(*klass, "one.*", "least_doc", "n_docs"),
-        "classes",
-    )
-    banded = classes.select("uid", F.explode("bands").alias("g"))
-    counted = banded.groupBy("g").agg(F.count(F.lit(1)).alias("n_in")).filter("n_in > 1")
-    counted = measure(counted.withColumn("_n", F.col("n_in")), "buckets")
-    met = attach(banded, counted.df, ["g"], "inner", limits, at_most=counted.bytes, rows="_n")
-    members = land(
-        attach(met, classes.select("uid", "doc_id", "text_key", "n_shingles", "sig"), ["uid"], "inner", limits), "members"
+def sets_of(docs: DataFrame, wanted: Measured, how: Near, limits: Limits) -> DataFrame:
+    """The shingle set (uid, shingles) of each wanted document (uid, doc_id, text_key)."""
+    named = wanted.df.select("uid", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    side = F.broadcast(named) if wanted.bytes <= limits.broadcast_bytes else named
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key"))
+    texts = docs.select("doc_id", "text").join(side, same)
+    return texts.select("uid", F.col("text").cast("binary").alias("text")).mapInArrow(
+        _sets(how), "uid long, shingles binary"
     )
+
+
+def _met_in_blocks(docs: DataFrame, members: DataFrame, how: Near, limits: Limits) -> DataFrame:
+    """(uid, root) of the members of groups that are too large for a task, bucket by bucket."""
     linker = Linker(docs, members, how, limits)
     half = how.bucket // 2
     small = members.filter(F.col("n_in") <= how.bucket).withColumn("block", F.lit(0))
@@ -427,15 +477,78 @@ def near_duplicates(docs: DataFrame, how: Near | None = None, limits: Limits = L
         open_ = land(attach(left, linker.unsettled(left), ["g"], "inner", limits), "unsettled")
         turn += 1
         rounds = open_.agg(F.max("_blocks")).first()[0] or 0
-    roots = linker.labels.select(F.col("node").alias("uid"), "root")
-    named = attach(classes.drop("bands", "sig"), roots, ["uid"], "left", limits).withColumn("root", F.coalesce("root", "uid"))
-    named = land(named, "named-classes")
-    least = named.groupBy("root").agg(F.min("least_doc").alias("component_id"), F.count(F.lit(1)).alias("_n"))
-    resolved = attach(named, least, ["root"], "inner", limits, rows="_n").select(*klass, "component_id", "n_docs")
-    out = attach(base.select("doc_id", "text_key", *klass), resolved, klass, "left", limits, rows="n_docs")
-    alone = F.col("n_shingles") == 0
-    return out.withColumn(
-        "component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        "doc_id", "n_shingles", "component_id", "kept", "text_key"
+    return linker.labels.select(F.col("node").alias("uid"), "root")
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, how: Near, limits: Limits) -> Measured:
+    """(uid, root) of every class that is linked with another."""
+    counted = classes.select("uid", F.explode("bands").alias("g")).groupBy("g")
+    counted = counted.agg(F.count(F.lit(1)).alias("n_in"), F.min("uid").alias("first")).filter("n_in > 1")
+    counted = measure(counted.withColumn("_n", F.col("n_in")), "buckets")
+    signed = ["uid", "n_shingles", "sig"]
+    # Signatures go along only where that shuffles nothing.
+    along = signed if counted.bytes <= limits.broadcast_bytes else ["uid"]
+    banded = classes.select(*along, F.explode("bands").alias("g"))
+    members = attach(banded, counted.df, ["g"], "inner", limits, at_most=counted.bytes, rows="_n")
+    if along != signed:
+        members = attach(members, classes.select(*signed), ["uid"], "inner", limits)
+
+    gathered = members.filter(F.col("n_in") <= how.bucket).select("g", F.lit(0).alias("block"), *signed)
+    alike = gathered.repartition("g").sortWithinPartitions("g", "uid").mapInArrow(_stars(how), "a long, b long")
+    whole = members.filter(F.col("n_in") > how.bucket).select(F.col("first").alias("a"), F.col("uid").alias("b"))
+    edges = measure(alike.unionByName(whole.filter("a <> b")).distinct(), "alike")
+
+    stars = components(edges.df, limits, edges.rows).select(F.col("node").alias("uid"), "root")
+    nodes = stars.unionByName(stars.select(F.col("root").alias("uid"), "root").distinct())
+    named = classes.select("uid", "doc_id", "text_key", "n_shingles")
+    # An edge adds at most two nodes of two numbers each.
+    named = measure(attach(named, nodes, ["uid"], "inner", limits, at_most=96 * edges.rows), "groups")
+    sizes = named.df.groupBy("root").agg(F.count(F.lit(1)).alias("_n"), F.sum("n_shingles").alias("_total"))
+    huge = measure(sizes.filter((F.col("_n") > how.group) | (F.col("_total") > how.group_shingles)), "huge-groups")
+    fits = named
+    if huge.rows:
+        marked = attach(
+            named.df, huge.df.select("root", "_n", F.lit(True).alias("huge")), ["root"], "left", limits,
+            at_most=huge.bytes, rows="_n",
+        )
+        named = Measured(land(marked, "marked"), named.rows, named.bytes)
+        fits = Measured(named.df.filter("huge is null"), named.rows, named.bytes)
+    groups = fits.df.select(F.col("uid").alias("_uid"), F.col("root").alias("g"), F.lit(0).alias("block"))
+    side = F.broadcast(groups) if fits.bytes <= limits.broadcast_bytes else groups
+    met = sets_of(docs, fits, how, limits).join(side, F.col("uid") == F.col("_uid")).drop("_uid")
+    found = met.repartition("g").sortWithinPartitions("g", "uid").mapInArrow(_group_roots(how), "uid long, root long")
+    if huge.rows:
+        rest = attach(members, named.df.filter("huge").select("uid", "doc_id", "text_key"), ["uid"], "inner", limits)
+        found = found.unionByName(_met_in_blocks(docs, land(rest, "members"), how, limits))
+    return measure(found, "linked")
+
+
+def near_duplicates(docs: DataFrame, how: Near | None = None, limits: Limits = LIMITS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept (and text_key)."""
+    how = how or Near()
+    base = signatures(docs, how)
+    klass = ["set_a", "set_b", "n_shingles"]
+    # One row per distinct set stands for all its documents.
+    classes = land(
+        base.filter("n_shingles > 0").groupBy(*klass).agg(
+            F.min_by(F.struct("uid", "doc_id", "text_key", "bands", "sig"), "uid").alias("one"),
+            F.min("doc_id").alias("least_doc"), F.count(F.lit(1)).alias("n_docs"),
+        ).select(*klass, "one.*", "least_doc", "n_docs"),
+        "classes",
     )
+    linked = linked_classes(docs, classes, how, limits)
+    named = attach(classes.drop("bands", "sig"), linked.df, ["uid"], "left", limits, at_most=linked.bytes)
+    # A class of one document that is linked with nothing needs no row.
+    named = measure(
+        named.filter("n_docs > 1 or root is not null").withColumn("root", F.coalesce("root", "uid")), "named-classes"
+    )
+    least = named.df.groupBy("root").agg(F.min("least_doc").alias("component_id"), F.count(F.lit(1)).alias("_n"))
+    resolved = attach(named.df, least, ["root"], "inner", limits, at_most=named.bytes, rows="_n").select(
+        *klass, "component_id", "n_docs"
+    )
+    out = attach(
+        base.select("doc_id", "text_key", *klass), resolved, klass, "left", limits, at_most=named.bytes, rows="n_docs"
+    )
+    return out.withColumn("component_id", F.coalesce("component_id", "doc_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ).select("doc_id", "n_shingles", "component_id", "kept", "text_key")

@@ -72,11 +72,11 @@ def test_query_matches_brute_force(spark, documents):
     assert result(QUERIES["op4_superminhash"](spark, SF)) == want
 
 
-@pytest.mark.parametrize("bucket", [1024, 8])
-def test_hot_group_of_near_copies(spark, bucket):
+@pytest.mark.parametrize(("bucket", "group"), [(1024, 4096), (8, 4096), (1024, 8), (8, 8)])
+def test_hot_group_of_near_copies(spark, bucket, group):
     docs = copies()
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = superminhash.near_duplicates(df, superminhash.Near(bucket=bucket))
+    got = superminhash.near_duplicates(df, superminhash.Near(bucket=bucket, group=group))
     assert result(got) == groups(docs)
 
 
@@ -123,13 +123,35 @@ def test_signatures_estimate_similarity():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
 
 
-def test_components_of_long_paths_and_stars(spark):
+def test_visiting_sets_finds_all_that_are_connected():
+    rng = np.random.default_rng(11)
+    for _ in range(20):
+        base = rng.integers(0, 2**63, 60).astype(np.uint64)
+        sets = []
+        for _ in range(30):
+            own = base.copy()
+            changed = rng.choice(60, rng.integers(0, 9), replace=False)
+            own[changed] = rng.integers(0, 2**63, len(changed))
+            sets.append(np.unique(own))
+        want, got = components.UnionFind(), components.UnionFind()
+        for x in range(30):
+            for y in range(x):
+                both = len(np.intersect1d(sets[x], sets[y]))
+                if 100 * both >= 85 * (len(sets[x]) + len(sets[y]) - both):
+                    want.union(x, y)
+        for x, y in superminhash.spanning_links(sets, 85):
+            got.union(x, y)
+        assert [got.find(x) for x in range(30)] == [want.find(x) for x in range(30)]
+
+
+@pytest.mark.parametrize("task_edges", [components.BATCH_EDGES, 10])
+def test_components_of_long_paths_and_stars(spark, task_edges):
     rng = random.Random(4)
     nodes = list(range(400))
     rng.shuffle(nodes)
     edges = list(zip(nodes[:150], nodes[1:151])) + [(nodes[200], x) for x in nodes[201:300]] + [(nodes[310], nodes[311])]
     df = spark.createDataFrame(edges, "a long, b long").repartition(12)
-    got = {r.node: r.root for r in components.components(df).collect()}
+    got = {r.node: r.root for r in components.components(df, task_edges=task_edges).collect()}
     found = components.UnionFind()
     for a, b in edges:
         found.union(a, b)
