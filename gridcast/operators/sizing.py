@@ -116,14 +116,15 @@ def _spread_join(
     if size.rows == 0:
         return _null_safe_join(df, side, on, how)
 
-    hot = F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
+    wide = F.greatest(F.lit(limits.salts), F.ceil(F.col("_rows") / limits.hot_rows)).cast("int")
+    hot = F.broadcast(hot.select(*on, wide.alias("_hot")))
     # The input partition is in the hash, so that copies of one row spread too; a task
     # that runs again has the same partition number and so gives the same salts.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), limits.salts)
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.col("_hot"))
     left = _null_safe_join(df, hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt.cast("int")).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot").isNotNull(), salt.cast("int")).otherwise(F.lit(0))
     )
-    last = F.when(F.col("_hot"), F.lit(limits.salts - 1)).otherwise(F.lit(0))
+    last = F.coalesce(F.col("_hot") - 1, F.lit(0))
     right = _null_safe_join(side, hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), last))
     )

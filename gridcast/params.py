@@ -63,7 +63,8 @@ class Limits:
     ``broadcast_bytes``: measured size up to which a join side is broadcast.
     ``task_rows``: measured rows up to which an ordered window may use one task.
     ``hot_rows``: rows per key from which a shuffled join spreads that key.
-    ``salts``: over how many tasks a hot key is spread.
+    ``salts``: over how many tasks a hot key is spread at least; a key with more than ``salts``
+    times ``hot_rows`` rows is spread over one task per ``hot_rows``.
     """
 
     broadcast_bytes: int = 64 << 20

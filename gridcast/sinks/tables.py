@@ -90,7 +90,7 @@ def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Col
     checked = new.filter(F.when(matches, F.lit(True)).otherwise(refuse.cast("boolean")))
     out = checked
     if path_exists(spark, path):
-        kept = spark.read.parquet(path).filter(~matches)
+        kept = read_evolved(spark, path).filter(~matches)
         out = kept.unionByName(checked, allowMissingColumns=True)
 
     run = uuid.uuid4().hex

@@ -31,10 +31,20 @@ def read_laps(
 ) -> DataFrame:
     """Landed lap files (parquet, json, csv or orc) under a declared schema.
 
-    Folders named ``key=value`` below ``path`` become partition columns.
+    Folders named ``key=value`` below ``path`` become partition columns. CSV columns are found
+    by the names in their header: a missing one is NULL, and so is text that is not of its type;
+    columns that are not declared are left out.
     """
-    reader = spark.read.schema(schema)
-    return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    text = spark.read.option("header", True).csv(path)
+    there = {c.lower() for c in text.columns}
+    return text.select(
+        *[
+            (F.col(f"`{f.name}`") if f.name.lower() in there else F.lit(None)).try_cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def read_results(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -180,3 +180,11 @@ def test_too_large_a_document_is_refused(spark, parts):
     entries = export.export_entries(predictions, scores, P)
     with pytest.raises(ValueError, match="export_lines"):
         export.export_document(entries, used, importance, history, P, "v", max_bytes=10)
+
+
+def test_replace_where_keeps_columns_of_later_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "k int, v string").coalesce(1).write.parquet(path)
+    spark.createDataFrame([(2, "b", 7)], "k int, v string, extra int").coalesce(1).write.mode("append").parquet(path)
+    tables.replace_where(spark, path, spark.createDataFrame([(1, "c")], "k int, v string"), F.col("k") == 1)
+    assert {tuple(r) for r in spark.read.parquet(path).select("k", "v", "extra").collect()} == {(1, "c", None), (2, "b", 7)}

@@ -101,6 +101,16 @@ def test_read_laps_formats(spark, tmp_path, fmt):
     assert (out.first().Driver, out.first().LapNumber, out.first().LapTime) == ("VER", 7, 80.5)
 
 
+def test_csv_is_read_by_name(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    rows = spark.createDataFrame([("Ferrari", "LEC", "5", "x", "9")], "Team string, Driver string, LapNumber string, LapTime string, Extra string")
+    rows.write.option("header", True).csv(path)
+    out = readers.read_laps(spark, path, "csv")
+    assert out.dtypes == [(f.name, f.dataType.simpleString()) for f in LAPS.fields]
+    lap = out.first()
+    assert (lap.Driver, lap.Team, lap.LapNumber, lap.LapTime, lap.DriverNumber) == ("LEC", "Ferrari", 5, None, None)
+
+
 def test_optional_table(spark, tmp_path):
     missing = readers.read_optional(spark, str(tmp_path / "none"), RESULTS)
     assert missing.schema == RESULTS and missing.isEmpty()
