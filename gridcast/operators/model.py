@@ -67,15 +67,12 @@ def temporal_split(df: DataFrame) -> DataFrame:
 
 def training_frame(gold: DataFrame, p: Params) -> DataFrame:
     """Labelled rows with weights, imputed features, label text and split."""
-    position = F.col("race_position")
-    if p.label_cap is not None:
-        position = F.least(position, F.lit(p.label_cap))
     return (
         labelled(gold)
         .transform(sample_weight, p, "drop")
         .transform(impute_numeric)
         .transform(temporal_split)
-        .withColumn("position", position.cast("string"))
+        .withColumn("position", F.col("race_position").cast("string"))
     )
 
 

@@ -47,8 +47,6 @@ class Params:
     trees: int = 100
     depth: int = 4
     seed: int = 42
-    # Positions from here on share one class; None trains one class per position.
-    label_cap: int | None = None
 
     @property
     def scored_sessions(self) -> tuple[str, ...]:

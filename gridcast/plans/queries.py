@@ -21,7 +21,7 @@ from gridcast.sinks import export, tables
 from gridcast.sources import conform, fixture, readers
 from gridcast.store import land, new_path
 
-P = Params(fixture.SEASON, fixture.EVENT, fixture.ROUND, trees=20, label_cap=21)
+P = Params(fixture.SEASON, fixture.EVENT, fixture.ROUND)
 LAP = (*fixture.LAP_COLUMNS, "row_key")
 TIMED = (*fixture.TAGS, "Driver", "LapTime", "row_key")
 
@@ -68,12 +68,18 @@ def gold_laps(
     *wanted: str,
     label: bool = True,
     row_key: bool = False,
+    field: bool = False,
 ) -> DataFrame:
-    """Gold with the named features (all of them by default), down from the raw tables."""
+    """Gold with the named features (all of them by default), down from the raw tables.
+
+    ``field``: every lap goes to one of as many cars as a race has, see :func:`fixture.in_field`.
+    """
     wanted = wanted or FEATURES
     extra = [c for f in wanted for c in SOURCES.get(f, ())]
     columns = (*fixture.LAP_COLUMNS, *extra, *(["row_key"] if row_key else []))
     laps = bronze(spark, sf_dir, columns)
+    if field:
+        laps = fixture.in_field(laps)
     positions = readers.result_positions(fixture.results(laps)) if label else None
     return features.gold(clean.silver(laps, P), P, positions, features=wanted)
 
@@ -757,7 +763,7 @@ def export_document(spark, sf_dir):
 
 
 def _train(spark, sf_dir, kind: str) -> tuple[model.Fitted, DataFrame]:
-    gold_df = landed_gold(spark, sf_dir, row_key=True)
+    gold_df = landed_gold(spark, sf_dir, row_key=True, field=True)
     train = land(model.training_frame(gold_df, P), "train")
     return model.fit(train, P, kind), gold_df
 
@@ -777,7 +783,7 @@ def train_score(spark, sf_dir):
 @query
 def holdout_evaluation(spark, sf_dir):
     """Forest against the logistic baseline, both fitted on the earlier rounds."""
-    train = land(model.training_frame(landed_gold(spark, sf_dir), P), "train")
+    train = land(model.training_frame(landed_gold(spark, sf_dir, field=True), P), "train")
     forest = model.fit(train, P, "forest", refit=False)
     logistic = model.fit(train, P, "logistic", refit=False)
     return model.evaluation(forest, "forest").unionByName(model.evaluation(logistic, "logistic"))

@@ -82,6 +82,22 @@ def laps(spark: SparkSession, sf_dir: str, columns: Sequence[str] = FEATURE_COLU
     return df.withColumn("session_type", F.expr(_SESSION)).select(*columns)
 
 
+# Fixed value: cars in a race.
+FIELD = 22
+
+
+def in_field(laps_df: DataFrame) -> DataFrame:
+    """All laps, dealt to the cars of one race, two to a team.
+
+    The number of drivers of the tables grows with their scale, and so would the number of
+    finishing positions that a model learns; a race has the same field at any scale.
+    """
+    car = F.expr(f"cast(substr(Driver, 2) as bigint) % {FIELD}")
+    return laps_df.withColumns(
+        {"Driver": F.concat(F.lit("C"), car.cast("string")), "Team": F.concat(F.lit("T"), F.floor(car / 2).cast("string"))}
+    )
+
+
 RESULT_COLUMNS = (*TAGS, "Driver", "Team", "LapTime")
 
 

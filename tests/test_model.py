@@ -90,12 +90,6 @@ def test_baseline_and_small_fit_set(spark):
         model.build_pipeline("other", P)
 
 
-def test_label_cap(gold):
-    capped = Params(2026, "GP3", 3, label_cap=2)
-    got = {r.position for r in model.training_frame(gold, capped).select("position").distinct().collect()}
-    assert got == {"1", "2"}
-
-
 def test_importance_covers_all_inputs(spark, fitted):
     table = model.importance_table(spark, fitted.model).collect()
     assert sum(r.importance for r in table) == pytest.approx(1.0)
