@@ -97,6 +97,11 @@ def attach(
     return _spread_join(df, side, counts, on, how, limits)
 
 
+def _wide_of(others: int) -> Column:
+    """Over how many tasks a row's key is spread: its own number, else that of the others."""
+    return F.coalesce(F.col("_hot"), F.lit(others))
+
+
 def _spread_join(
     df: DataFrame,
     side: DataFrame,
@@ -105,26 +110,31 @@ def _spread_join(
     how: str,
     limits: Limits,
 ) -> DataFrame:
-    """Shuffled join in which only hot keys are salted, and only their rows repeated."""
+    """Shuffled join in which hot keys are salted, and their rows of ``side`` repeated.
+
+    The list of hot keys is broadcast. One too long for that keeps its hottest keys, those of
+    ``bar`` rows or more; all other keys then have fewer than ``bar`` rows and are spread over
+    ``bar / hot_rows`` tasks each, so that no hot key stays in one task.
+    """
     counted = measure(counts.filter(F.col("_rows") >= limits.hot_rows), "hot-keys")
-    # At most total / hot_rows keys are hot; raise the bar until the list fits a broadcast.
+    if counted.rows == 0:
+        return _null_safe_join(df, side, on, how)
     hot, bar, size = counted.df, limits.hot_rows, counted
     while size.rows > 0 and size.bytes > max(limits.broadcast_bytes, 1 << 20):
         bar *= 10
         size = measure(hot.filter(F.col("_rows") >= bar))
         hot = size.df
-    if size.rows == 0:
-        return _null_safe_join(df, side, on, how)
+    others = -(-bar // limits.hot_rows)
 
     wide = F.greatest(F.lit(limits.salts), F.ceil(F.col("_rows") / limits.hot_rows)).cast("int")
     hot = F.broadcast(hot.select(*on, wide.alias("_hot")))
     # The input partition is in the hash, so that copies of one row spread too; a task
     # that runs again has the same partition number and so gives the same salts.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.col("_hot"))
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), _wide_of(others))
     left = _null_safe_join(df, hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), salt.cast("int")).otherwise(F.lit(0))
+        "_salt", salt.cast("int")
     )
-    last = F.coalesce(F.col("_hot") - 1, F.lit(0))
+    last = _wide_of(others) - 1
     right = _null_safe_join(side, hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), last))
     )

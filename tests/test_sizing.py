@@ -52,6 +52,17 @@ def test_spread_join_splits_the_hot_key_only(spark, skewed):
     assert rows_of(cool) == rows_of(attach(skewed, side, ["k"]))
 
 
+def test_a_list_of_hot_keys_beyond_a_broadcast_leaves_none_unsplit(spark):
+    """45,000 hot keys are more than the list may hold: they are split by the raised bar."""
+    df = spark.range(90_000).selectExpr("id % 45000 as k", "id as v").repartition(8)
+    side = df.groupBy("k").agg(F.sum("v").alias("s"))
+    out = attach(df, side, ["k"], "left", Limits(broadcast_bytes=0, hot_rows=2, salts=4))
+    plan = out._jdf.queryExecution().toString()
+    assert "_salt" in plan
+    want = df.groupBy("k").agg(F.sum("v").alias("s"), F.count("*").alias("n")).selectExpr("sum(n)", "sum(s * n)")
+    assert out.selectExpr("count(s)", "sum(s)").first()[:] == want.first()[:]
+
+
 @pytest.mark.parametrize("limits", [LIMITS, TINY])
 def test_known_row_counts_are_used_and_dropped(skewed, limits):
     side = skewed.groupBy("k").agg(F.sum("i").alias("s"), F.count("*").alias("n"))
