@@ -20,7 +20,6 @@ from gridcast.sources.readers import path_exists
 
 INPUTS = (*FEATURES, "compound_idx")
 WIN = "1"
-MIN_FIT_ROWS = 50  # Fixed value: below this the fit set is too small to hold a round out.
 
 
 def impute_numeric(df: DataFrame, cols: Sequence[str] = FEATURES, value: float = 0.0) -> DataFrame:
@@ -69,7 +68,7 @@ def training_frame(gold: DataFrame, p: Params) -> DataFrame:
     """Labelled rows with weights, imputed features, label text and split."""
     return (
         labelled(gold)
-        .transform(sample_weight, p, "drop")
+        .transform(sample_weight, p, p.unknown_session)
         .transform(impute_numeric)
         .transform(temporal_split)
         .withColumn("position", F.col("race_position").cast("string"))
@@ -116,21 +115,26 @@ class Fitted:
     leaked: bool = False
 
 
-def fit(train: DataFrame, p: Params, kind: str = "forest", refit: bool = True) -> Fitted:
+def fit(
+    train: DataFrame, p: Params, kind: str = "forest", refit: bool = True, leak_below: int = 0
+) -> Fitted:
     """Fit on the earlier rounds, score the latest one, then refit on everything.
 
-    ``train`` is a :func:`training_frame` read several times: land it first.
-    When the earlier rounds are too few rows to fit on, everything is used and
-    the evaluation is marked as leaked.
+    ``train`` is a :func:`training_frame` read several times: land it first. Without
+    earlier rounds there is nothing to evaluate on: all rows are used and ``holdout`` is
+    None. With fewer earlier rows than ``leak_below`` everything is fitted on and the latest
+    round scored all the same, which is marked as leaked.
     """
     indexer = index_labels(train)
     indexed = indexer.transform(train)
     sizes = {r["split"]: r["n"] for r in train.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    leaked = sizes.get("fit", 0) < MIN_FIT_ROWS
+    earlier = sizes.get("fit", 0)
+    leaked = earlier < leak_below
     pipeline = build_pipeline(kind, p)
-    earlier = indexed if leaked else indexed.filter(F.col("split") == "fit")
-    evaluated = pipeline.fit(earlier)
     labels = tuple(indexer.labels)
+    if not earlier and not leaked:
+        return Fitted(pipeline.fit(indexed), labels)
+    evaluated = pipeline.fit(indexed if leaked else indexed.filter(F.col("split") == "fit"))
     holdout = score(evaluated, indexed.filter(F.col("split") == "holdout"), labels)
     final = pipeline.fit(indexed) if refit and not leaked else evaluated
     return Fitted(final, labels, holdout, leaked)
@@ -166,9 +170,12 @@ def within_k_accuracy(df: DataFrame, predicted: str, actual: str, k: int = 2) ->
 
 
 def evaluation(fitted: Fitted, name: str) -> DataFrame:
-    """Holdout rows, exact and within-two accuracy in one pass."""
+    """Holdout rows, exact and within-two accuracy in one pass; 0 and NULL without a holdout."""
     predicted, actual = F.col("pred_pos_lap"), F.col("position").cast("int")
-    return fitted.holdout.agg(
+    scored = fitted.holdout
+    if scored is None:
+        scored = SparkSession.active().createDataFrame([], "pred_pos_lap int, position string")
+    return scored.agg(
         F.count(F.lit(1)).alias("holdout_rows"),
         _hit(predicted == actual).alias("exact_accuracy"),
         _hit(F.abs(predicted - actual) <= 2).alias("within_2_accuracy"),

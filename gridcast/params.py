@@ -39,6 +39,8 @@ class Params:
     compounds: tuple[str, ...] = COMPOUNDS
     # e.g. {"INTERMEDIATE": "INTER"}; empty keeps such spellings as UNKNOWN.
     compound_aliases: Mapping[str, str] = field(default_factory=dict)
+    # Training rows of a session without a weight: "fail", or "drop" to leave them out.
+    unknown_session: str = "fail"
     outlier_threshold: float = 1.07
     recent_rounds: int = 2
     baseline_rounds: int = 4

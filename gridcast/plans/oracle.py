@@ -38,9 +38,8 @@ laps as (
     l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31 + l_suppkey * 611953 as row_key
   from lineitem
   join orders on l_orderkey = o_orderkey
-  join supplier on l_suppkey = s_suppkey
-  join nation on s_nationkey = n_nationkey
-  join part on l_partkey = p_partkey
+  left join (supplier join nation on s_nationkey = n_nationkey) on l_suppkey = s_suppkey
+  left join part on l_partkey = p_partkey
 )"""
 
 COMPLETE = (
@@ -308,6 +307,17 @@ ORACLE: dict[str, str] = {
                    from laps group by all) f
         using (season, event, Driver, session_type)""",
     ),
+    "session_coverage_expected": _sql(
+        LAPS,
+        f"""select e.season, e.event, e.session_type, coalesce(n, 0) as laps,
+        case when n > 0 then 'ingested' else 'skipped' end as status
+        from (select * from (select distinct season, event from laps
+                             union select season, 'GP' || cast(max(round_number) + 1 as varchar)
+                             from laps group by season),
+              (select unnest([{', '.join(map(repr, SESSIONS))}]) as session_type)) e
+        left join (select season, event, session_type, count(*) as n from laps group by all) f
+        using (season, event, session_type)""",
+    ),
     "results_conform": _sql(
         LAPS + RESULTS,
         """select driver as Driver, team as TeamName,
@@ -439,7 +449,8 @@ ORACLE: dict[str, str] = {
           select Driver, season, avg(case when round_number between 5 and 6 then avg_delta end)
             - avg(case when round_number between 1 and 4 then avg_delta end) as pace_trend
           from round_means where round_number between 1 and 6 group by all) t
-        on t.Driver = s.Driver and t.season = s.season""",
+        on t.Driver = s.Driver and t.season = s.season
+        where s.season = 2026 and s.event = 'GP7'""",
     ),
     "label_join": _sql(
         SILVER + RESULTS,
@@ -670,4 +681,20 @@ ORACLE: dict[str, str] = {
         (select feature from importance order by importance desc, feature limit 1) as top_feature,
         (select count(*) from history) as history_rows""",
     ),
+    "export_document_entries": _sql(
+        HISTORY,
+        """select driver, team, predicted_position, round(win_probability, 4) as win_probability
+        from ranked where event = 'GP7'""",
+    ),
+    "compound_index": _sql(
+        HISTORY,
+        """select compound, cast(row_number() over (order by count(*) desc, compound) - 1 as double)
+          as compound_idx, count(*) as laps from gold group by compound""",
+    ),
+    "label_index": _sql(
+        HISTORY,
+        """select cast(race_position as varchar) as position, cast(row_number() over (
+          order by count(*) desc, cast(race_position as varchar)) - 1 as double) as label,
+          count(*) as laps from gold where race_position is not null group by race_position""",
+    ),
 }

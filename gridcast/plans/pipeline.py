@@ -15,7 +15,7 @@ from gridcast.functions.columns import row_key
 from gridcast.operators import clean, features, model, rank
 from gridcast.store import land
 from gridcast.params import LIMITS, Limits, Params
-from gridcast.schemas import BRONZE, DURATIONS, FLAGS, GOLD, PREDICTIONS, RESULTS
+from gridcast.schemas import BRONZE, DURATIONS, FLAGS, GOLD, PREDICTIONS, RESULTS, SILVER
 from gridcast.sinks import export, tables
 from gridcast.sources import conform, readers
 
@@ -58,7 +58,8 @@ def ingest_laps(raw: DataFrame, p: Params, paths: Paths) -> DataFrame:
     tables.write_partitions(laps, paths.raw, ("season", "event", "session"))
     spark = raw.sparkSession
     stored = readers.read_table(spark, paths.raw, BRONZE, _is_event(p))
-    return conform.session_coverage(stored, ("season", "event"), p.session_types)
+    expected = spark.createDataFrame([(p.season, p.event)], "season int, event string")
+    return conform.session_coverage(stored, ("season", "event"), p.session_types, expected)
 
 
 def ingest_results(raw: DataFrame, p: Params, paths: Paths) -> None:
@@ -72,7 +73,7 @@ def clean_event(spark: SparkSession, p: Params, paths: Paths, limits: Limits = L
 
 def build_features(spark: SparkSession, p: Params, paths: Paths, limits: Limits = LIMITS) -> None:
     """Gold of the event; the trend comes from earlier rounds already in the table."""
-    silver = readers.read_table(spark, paths.clean).filter(_is_event(p))
+    silver = readers.read_table(spark, paths.clean, SILVER, _is_event(p))
     prior = readers.read_optional(spark, paths.features, GOLD)
     results = readers.read_optional(spark, paths.results, RESULTS).filter(_is_event(p))
     positions = readers.result_positions(results)
@@ -152,7 +153,7 @@ def predict(
     if dead_band is not None:
         trend = scored.groupBy(*rank.DRIVER).agg(F.max("pace_trend").alias("pace_trend"))
         scores = scores.join(trend, list(rank.DRIVER))
-    document = export.export_document(
+    parts = export.document_parts(
         export.export_entries(final, scores, p, dead_band, limits),
         scored.select("session_type"),
         model.importance_table(spark, fitted.model),
@@ -160,7 +161,7 @@ def predict(
         p,
         version,
     )
-    export.to_json_text(document).write.mode("overwrite").text(f"{paths.export}/{p.event}")
+    export.write_parts(parts, f"{paths.export}/{p.season}/{p.event}/{version}")
     return final
 
 

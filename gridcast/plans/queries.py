@@ -204,6 +204,19 @@ def session_coverage(spark, sf_dir):
     return conform.session_coverage(df, ("season", "event", "Driver"), SESSION_TYPES)
 
 
+@query
+def session_coverage_expected(spark, sf_dir):
+    """Coverage of the calendar: the events with laps and the one after them, which has none."""
+    df = land(fixture.laps(spark, sf_dir, fixture.TAGS), "tags")
+    rounds = df.select("season", "round_number").distinct()
+    calendar = rounds.unionByName(
+        rounds.groupBy("season").agg((F.max("round_number") + 1).alias("round_number"))
+    )
+    event = F.concat(F.lit("GP"), F.col("round_number").cast("string")).alias("event")
+    expected = calendar.select("season", event)
+    return conform.session_coverage(df, ("season", "event"), SESSION_TYPES, expected)
+
+
 @query
 def results_conform(spark, sf_dir):
     results = fixture.results(fixture.laps(spark, sf_dir, fixture.RESULT_COLUMNS))
@@ -236,7 +249,7 @@ def replace_partitions(spark, sf_dir):
     tables.write_partitions(silver, path, ("season", "event"))
     race = silver.filter((F.col("event") == P.event) & (F.col("session_type") == "R"))
     tables.replace_partitions(race, path, {"season": P.season, "event": P.event})
-    return _per_session(readers.read_table(spark, path))
+    return _per_session(readers.read_table(spark, path, silver.schema))
 
 
 @query
@@ -265,7 +278,7 @@ def replace_where(spark, sf_dir):
     now = (F.col("season") == P.season) & (F.col("event") == P.event)
     counted.filter(F.col("session_type") == "R").write.parquet(path)
     tables.replace_where(spark, path, counted.filter(now & (F.col("session_type") == "S")), now)
-    return readers.read_table(spark, path)
+    return readers.read_table(spark, path, counted.schema)
 
 
 @query
@@ -274,7 +287,7 @@ def partition_pruned_scan(spark, sf_dir):
     laps = fixture.laps(spark, sf_dir, (*fixture.TAGS, "Driver", "LapTime"))
     tables.write_partitions(laps, path, ("season", "event"))
     where = (F.col("season") == P.season) & (F.col("event") == P.event)
-    return readers.read_table(spark, path, where=where).select(
+    return readers.read_table(spark, path, laps.schema, where).select(
         "Driver", "session_type", r6("LapTime").alias("lap_seconds")
     )
 
@@ -411,7 +424,8 @@ def pace_trend(spark, sf_dir):
 def pace_trend_joined(spark, sf_dir):
     df = features.lap_time_delta(base(spark, sf_dir, LAP))
     trend = features.pace_trend(df, P.season, P.round_number)
-    out = features.join_pace_trend(df, trend)
+    now = (F.col("season") == P.season) & (F.col("event") == P.event)
+    out = features.join_pace_trend(df.filter(now), trend)
     return rounded(out.select("row_key", "driver", "season", "pace_trend"), "pace_trend")
 
 
@@ -759,6 +773,49 @@ def export_document(spark, sf_dir):
     )
 
 
+@query
+def export_document_entries(spark, sf_dir):
+    """The drivers of the document, read back out of its written parts."""
+    gold_df = landed_gold(spark, sf_dir, row_key=True)
+    history = rank.winner_history(season_predictions(gold_df), gold_df, P.season)
+    entries = land(_event_entries(gold_df), "entries")
+    parts = export.document_parts(
+        entries,
+        gold_df.filter(F.col("event") == P.event).select("session_type"),
+        land(_corr_as_importance(gold_df), "importance"),
+        land(history, "history"),
+        P,
+        "base_r07",
+    )
+    path = new_path(spark, "document")
+    export.write_parts(parts, path)
+    line = F.regexp_replace("value", "^,", "")
+    entry = F.from_json(line, entries.schema["entry"].dataType)
+    return (
+        spark.read.text(path)
+        .filter(F.col("value").rlike('^,?\\{"driver"'))
+        .select(entry.alias("e"))
+        .select("e.driver", "e.team", "e.predicted_position", "e.win_probability")
+    )
+
+
+@query
+def compound_index(spark, sf_dir):
+    """The number each compound gets, by frequency and then name."""
+    gold_df = landed_gold(spark, sf_dir)
+    stage = model.feature_stages()[0].fit(gold_df)
+    found = stage.transform(gold_df).groupBy("compound", "compound_idx")
+    return found.agg(F.count(F.lit(1)).alias("laps"))
+
+
+@query
+def label_index(spark, sf_dir):
+    """The class each finishing position gets, by frequency and then as text."""
+    train = land(model.training_frame(landed_gold(spark, sf_dir), P), "train")
+    found = model.index_labels(train).transform(train).groupBy("position", "label")
+    return found.agg(F.count(F.lit(1)).alias("laps"))
+
+
 # Learning. No SQL equivalent; row counts and invariants are tested instead.
 
 

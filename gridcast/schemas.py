@@ -4,43 +4,88 @@ from __future__ import annotations
 
 from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
 
-_TYPES = {"string": StringType(), "int": IntegerType(), "float": FloatType()}
-
-
-def _schema(text: str) -> StructType:
-    """``name type [not null]`` fields; unlike a DDL parse it needs no running session."""
-    fields = [part.split() for part in text.split(",")]
-    return StructType([StructField(f[0], _TYPES[f[1]], len(f) == 2) for f in fields])
-
-
-LAPS = _schema(
-    "Driver string, DriverNumber string, Team string, LapNumber int, LapTime float, "
-    "Sector1Time float, Sector2Time float, Sector3Time float, "
-    "SpeedI1 float, SpeedI2 float, SpeedFL float, SpeedST float, "
-    "Compound string, TyreLife float, FreshTyre string, PitInTime float, PitOutTime float, "
-    "IsPersonalBest string, session_type string not null, season int not null, "
-    "event string not null, session string not null"
+LAPS = StructType(
+    [
+        StructField("Driver", StringType()),
+        StructField("DriverNumber", StringType()),
+        StructField("Team", StringType()),
+        StructField("LapNumber", IntegerType()),
+        StructField("LapTime", FloatType()),
+        StructField("Sector1Time", FloatType()),
+        StructField("Sector2Time", FloatType()),
+        StructField("Sector3Time", FloatType()),
+        StructField("SpeedI1", FloatType()),
+        StructField("SpeedI2", FloatType()),
+        StructField("SpeedFL", FloatType()),
+        StructField("SpeedST", FloatType()),
+        StructField("Compound", StringType()),
+        StructField("TyreLife", FloatType()),
+        StructField("FreshTyre", StringType()),
+        StructField("PitInTime", FloatType()),
+        StructField("PitOutTime", FloatType()),
+        StructField("IsPersonalBest", StringType()),
+        StructField("session_type", StringType(), False),
+        StructField("season", IntegerType(), False),
+        StructField("event", StringType(), False),
+        StructField("session", StringType(), False),
+    ]
 )
 
 # As stored: ``session`` is the requested code and a folder, the long name a column of its own.
 BRONZE = StructType([*LAPS.fields, StructField("session_name", StringType())])
+# Cleaning takes rows and keeps the columns.
+SILVER = BRONZE
 
-RESULTS = _schema(
-    "Driver string, TeamName string, Position int, GridPosition int, Status string, "
-    "Points float, season int, event string, round_number int"
+RESULTS = StructType(
+    [
+        StructField("Driver", StringType()),
+        StructField("TeamName", StringType()),
+        StructField("Position", IntegerType()),
+        StructField("GridPosition", IntegerType()),
+        StructField("Status", StringType()),
+        StructField("Points", FloatType()),
+        StructField("season", IntegerType()),
+        StructField("event", StringType()),
+        StructField("round_number", IntegerType()),
+    ]
 )
 
-GOLD = _schema(
-    "driver string not null, team string not null, round_number int not null, "
-    "event string not null, season int not null, session_type string not null, "
-    "lap_number int not null, compound string, lap_time_delta float, consistency_score float, "
-    "best_sector_combo float, tyre_deg_rate float, pace_vs_teammate float, pace_trend float, "
-    "race_position int, recency_weight float, session_weight float, sample_weight float"
+GOLD = StructType(
+    [
+        StructField("driver", StringType(), False),
+        StructField("team", StringType(), False),
+        StructField("round_number", IntegerType(), False),
+        StructField("event", StringType(), False),
+        StructField("season", IntegerType(), False),
+        StructField("session_type", StringType(), False),
+        StructField("lap_number", IntegerType(), False),
+        StructField("compound", StringType()),
+        StructField("lap_time_delta", FloatType()),
+        StructField("consistency_score", FloatType()),
+        StructField("best_sector_combo", FloatType()),
+        StructField("tyre_deg_rate", FloatType()),
+        StructField("pace_vs_teammate", FloatType()),
+        StructField("pace_trend", FloatType()),
+        StructField("race_position", IntegerType()),
+        StructField("recency_weight", FloatType()),
+        StructField("session_weight", FloatType()),
+        StructField("sample_weight", FloatType()),
+    ]
 )
 
-PREDICTIONS = _schema(
-    "driver string, team string, event string, round int, season int, model_version string, "
-    "predicted_position int, win_probability float, uncertainty float, generated_at string"
+PREDICTIONS = StructType(
+    [
+        StructField("driver", StringType()),
+        StructField("team", StringType()),
+        StructField("event", StringType()),
+        StructField("round", IntegerType()),
+        StructField("season", IntegerType()),
+        StructField("model_version", StringType()),
+        StructField("predicted_position", IntegerType()),
+        StructField("win_probability", FloatType()),
+        StructField("uncertainty", FloatType()),
+        StructField("generated_at", StringType()),
+    ]
 )
 
 DURATIONS = ("LapTime", "Sector1Time", "Sector2Time", "Sector3Time", "PitInTime", "PitOutTime")

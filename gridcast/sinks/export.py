@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.columns import trend_label
 from gridcast.operators.rank import DRIVER, season_accuracy, session_struct
-from gridcast.operators.sizing import attach, measure
+from gridcast.operators.sizing import attach
 from gridcast.params import LIMITS, Limits, Params
 
-MAX_DOCUMENT_BYTES = 256 << 20
-
+# The document's fields before and after its drivers.
+BEFORE = ("model_version", "generated_at", "event", "round", "season", "sessions_used",
+          "season_accuracy", "recency_lambda")
+AFTER = ("feature_importance", "history")
 
 def export_entries(
     predictions: DataFrame, scores: DataFrame, p: Params, dead_band: float | None = None,
@@ -99,28 +103,62 @@ def export_document(
     history: DataFrame,
     p: Params,
     model_version: str,
-    max_bytes: int = MAX_DOCUMENT_BYTES,
 ) -> DataFrame:
-    """One row holding the nested document of the event.
+    """One row holding the nested document of the event, for a field that fits a row.
 
-    A document is one JSON value and so one row; the entries are measured
-    first, and a field too large for that is refused with a pointer to
-    :func:`export_lines`, which has no such bound.
+    :func:`document_parts` gives the same document for a field of any size.
     """
-    kept = measure(entries)
-    if kept.bytes > max_bytes:
-        raise ValueError(
-            f"{kept.rows} drivers ({kept.bytes} bytes) do not fit one document; use export_lines"
-        )
-    drivers = kept.df.agg(
+    drivers = entries.agg(
         _in_order(
             F.struct(F.col("predicted_position").alias("order"), F.col("entry").alias("item"))
         ).alias("predictions")
     )
     head = _header(sessions_used, importance, history, p, model_version)
-    names = ("model_version", "generated_at", "event", "round", "season", "sessions_used",
-             "season_accuracy", "recency_lambda", "predictions", "feature_importance", "history")
-    return drivers.select("*", *head).select(*names)
+    return drivers.select("*", *head).select(*BEFORE, "predictions", *AFTER)
+
+
+def _object(names: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+
+
+def document_parts(
+    entries: DataFrame,
+    sessions_used: DataFrame,
+    importance: DataFrame,
+    history: DataFrame,
+    p: Params,
+    model_version: str,
+) -> DataFrame:
+    """The document as text lines (part, predicted_position, value), with no bound on its drivers.
+
+    Part 0 is what stands before the drivers, part 1 one line per driver, part 2 the rest.
+    Positions number the drivers of the event, so each is there once.
+    """
+    first = entries.agg(F.min("predicted_position")).scalar()
+    comma = F.when(F.col("predicted_position") > first, ",").otherwise("")
+    driver = F.concat(comma, F.to_json("entry", {"ignoreNullFields": "false"}))
+    body = entries.select(F.lit(1).alias("part"), "predicted_position", driver.alias("value"))
+    head = _header(sessions_used, importance, history, p, model_version)
+    frame = entries.sparkSession.range(1).select(*head)
+    before = F.concat(F.regexp_replace(_object(BEFORE), r"\}$", ""), F.lit(',"predictions":['))
+    after = F.concat(F.lit("],"), F.regexp_replace(_object(AFTER), r"^\{", ""))
+    ends = frame.select(F.array(before, after).alias("ends")).select(
+        F.posexplode("ends").alias("end", "value")
+    )
+    nowhere = F.lit(None).cast(entries.schema["predicted_position"].dataType)
+    ends = ends.select(
+        (F.col("end") * 2).alias("part"), nowhere.alias("predicted_position"), "value"
+    )
+    return ends.unionByName(body)
+
+
+def write_parts(parts: DataFrame, path: str) -> None:
+    """Text files whose lines, read in order of their names, are the document."""
+    order = ("part", "predicted_position")
+    (
+        parts.repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("value").write.mode("overwrite").text(path)
+    )
 
 
 def to_json_text(document: DataFrame) -> DataFrame:

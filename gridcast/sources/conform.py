@@ -87,13 +87,20 @@ def conform_results(df: DataFrame, p: Params) -> DataFrame:
 
 
 def session_coverage(
-    laps: DataFrame, keys: Sequence[str], sessions: Sequence[str]
+    laps: DataFrame,
+    keys: Sequence[str],
+    sessions: Sequence[str],
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """Every expected session of every key: its lap count, and ingested or skipped.
 
     One conditional count per expected session; only its result becomes rows,
-    so sessions without a lap show up without a join.
+    so sessions without a lap show up without a join. ``expected`` names keys that
+    must come out even if no lap has them.
     """
+    if expected is not None:
+        nothing = F.lit(None).cast("string").alias("session_type")
+        laps = laps.select(*keys, "session_type").unionByName(expected.select(*keys, nothing))
     counted = laps.groupBy(*keys).agg(
         *[F.count_if(F.col("session_type") == s).alias(f"_{s}") for s in sessions]
     )

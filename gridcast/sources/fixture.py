@@ -55,9 +55,9 @@ def laps(spark: SparkSession, sf_dir: str, columns: Sequence[str] = FEATURE_COLU
     """Laps with the named columns; only the tables these need are joined.
 
     Each table is mapped on its own before the join, so that an attribute of
-    an order or part is worked out once and not once per lap. Every key of
-    ``lineitem`` has its row in the other tables, so leaving out a join loses
-    no lap. Sides are plain joins: Spark broadcasts a side whose files are
+    an order or part is worked out once and not once per lap. A lap is a row of
+    ``lineitem`` with its order; supplier and part are joined left, so which laps
+    there are does not depend on the columns asked for. Sides are plain joins: Spark broadcasts a side whose files are
     small, and splits hot keys of a shuffled one (AQE skew join).
     """
 
@@ -75,10 +75,10 @@ def laps(spark: SparkSession, sf_dir: str, columns: Sequence[str] = FEATURE_COLU
     if "Team" in columns:
         teams = table("supplier").join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         teams = mapped(teams, ("s_suppkey",), {"Team": "n_name"})
-        df = df.join(teams, F.col("l_suppkey") == F.col("s_suppkey"))
+        df = df.join(teams, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     if "Compound" in columns:
         parts = mapped(table("part"), ("p_partkey",), _PART)
-        df = df.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        df = df.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     return df.withColumn("session_type", F.expr(_SESSION)).select(*columns)
 
 

@@ -17,13 +17,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def spread(df: DataFrame, *row_id: str) -> DataFrame:
-    """A scan of fewer splits than the cluster has cores, dealt out to all of them.
+    """A scan of one split, dealt out to all cores; any larger table is not shuffled.
 
-    For small or unsplittable files; a table with enough splits is left as it
-    is and not shuffled. ``row_id`` should tell rows apart.
+    So at most ``spark.sql.files.maxPartitionBytes``, or one row group, is ever moved.
+    ``row_id`` should tell rows apart.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *row_id)
+    return df if df.rdd.getNumPartitions() > 1 else df.repartition(cores, *row_id)
 
 
 def read_laps(
@@ -64,12 +64,11 @@ def result_positions(results: DataFrame) -> DataFrame:
 def read_table(
     spark: SparkSession,
     path: str,
-    schema: StructType | None = None,
+    schema: StructType,
     where: Column | None = None,
 ) -> DataFrame:
-    """Table scan; conditions on partition columns prune folders."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
+    """Table scan under a declared schema; conditions on partition columns prune folders."""
+    df = spark.read.schema(schema).parquet(path)
     return df if where is None else df.filter(where)
 
 

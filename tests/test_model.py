@@ -83,9 +83,14 @@ def test_win_class_must_exist(gold, fitted):
 
 def test_baseline_and_small_fit_set(spark):
     few = spark.createDataFrame(rows(rounds=(1, 2), drivers=3, laps=8), SCHEMA)
-    fitted = model.fit(model.training_frame(few, P), P, "logistic")
-    evaluation = model.evaluation(fitted, "logistic").first()
+    train = model.training_frame(few, P)
+    evaluation = model.evaluation(model.fit(train, P, "logistic"), "logistic").first()
+    assert not evaluation.leaked and evaluation.holdout_rows == 24
+    evaluation = model.evaluation(model.fit(train, P, "logistic", leak_below=50), "logistic").first()
     assert evaluation.leaked and evaluation.holdout_rows == 24
+    alone = model.fit(model.training_frame(few.filter("round_number = 2"), P), P, "logistic")
+    evaluation = model.evaluation(alone, "logistic").first()
+    assert alone.holdout is None and tuple(evaluation)[1:] == (0, None, None, False)
     with pytest.raises(ValueError):
         model.build_pipeline("other", P)
 

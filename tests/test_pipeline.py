@@ -80,7 +80,7 @@ def test_predictions(spark, paths):
 
 
 def test_document(spark, paths):
-    text = "\n".join(r.value for r in spark.read.text(f"{paths.export}/Grand Prix 3", wholetext=True).collect())
+    text = "\n".join(r.value for r in spark.read.text(f"{paths.export}/2026/Grand Prix 3/qualifying_r03", wholetext=True).collect())
     doc = json.loads(text)
     assert doc["model_version"] == "qualifying_r03" and doc["sessions_used"] == ["FP1", "Q"]
     assert [h["event"] for h in doc["history"]] == ["Grand Prix 1", "Grand Prix 2"]

@@ -70,7 +70,7 @@ def test_partition_filters_reach_the_scan(spark, tmp_path):
     df = spark.createDataFrame([(2026, "A", 1), (2026, "B", 2)], "season int, event string, n int")
     tables.write_partitions(df, path, ("season", "event"))
     where = (F.col("season") == 2026) & (F.col("event") == "A")
-    text = plan(readers.read_table(spark, path, where=where))
+    text = plan(readers.read_table(spark, path, df.schema, where))
     assert re.search(r"PartitionFilters: \[.*event#\d+ = A", text)
 
 

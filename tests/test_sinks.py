@@ -175,11 +175,17 @@ def test_trend_and_lines(spark, parts):
     assert {d["driver"]: d["sessions"]["SQ"] for d in lines} == {"ANT": None, "HAM": None}
 
 
-def test_too_large_a_document_is_refused(spark, parts):
+def test_written_parts_are_the_document(spark, parts, tmp_path):
     predictions, scores, used, importance, history = parts
     entries = export.export_entries(predictions, scores, P)
-    with pytest.raises(ValueError, match="export_lines"):
-        export.export_document(entries, used, importance, history, P, "v", max_bytes=10)
+    for name, rows in (("two", entries), ("none", entries.filter("predicted_position > 9"))):
+        path = str(tmp_path / name)
+        export.write_parts(export.document_parts(rows, used, importance, history, P, "v"), path)
+        text = "".join(f.read_text() for f in sorted((tmp_path / name).glob("part-*")))
+        whole = export.to_json_text(export.export_document(rows, used, importance, history, P, "v"))
+        got, want = json.loads(text), json.loads(whole.first().value)
+        assert list(got) == TOP and got.pop("generated_at") and want.pop("generated_at")
+        assert got == want
 
 
 def test_replace_where_keeps_columns_of_later_files(spark, tmp_path):
