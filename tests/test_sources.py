@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import types as T
 
 from gridcast.params import SESSION_TYPES, Params
 from gridcast.schemas import LAPS, RESULTS
-from gridcast.sources import conform, readers
+from gridcast.sources import conform, fixture, readers
 
 P = Params(2026, "GP", 2)
 
@@ -140,3 +141,20 @@ def test_partition_value_wins_over_file_value(spark, tmp_path):
     )
     assert readers.read_laps(spark, path).select("session").first()[0] == "FP1"
     assert readers.read_table(spark, path, LAPS, F.col("session") == "Q").isEmpty()
+
+
+def test_laps_do_not_depend_on_the_columns_asked_for(spark, tmp_path):
+    """Laps of unknown suppliers and parts stay, with NULL for what these would say."""
+    sf, path = "/root/testdata/sf0.001", str(tmp_path)
+    for name in ("orders", "supplier", "nation", "part"):
+        os.symlink(f"{sf}/{name}.parquet", f"{path}/{name}.parquet")
+    orphan = F.col("l_orderkey") % 10 == 0
+    lineitem = spark.read.parquet(f"{sf}/lineitem.parquet")
+    for key in ("l_suppkey", "l_partkey"):
+        none = F.lit(-1).cast(lineitem.schema[key].dataType)
+        lineitem = lineitem.withColumn(key, F.when(orphan, none).otherwise(F.col(key)))
+    lineitem.write.parquet(f"{path}/lineitem.parquet")
+    narrow, wide = (fixture.laps(spark, path, c) for c in (fixture.TAGS, fixture.FEATURE_COLUMNS))
+    lost = lineitem.filter(orphan).count()
+    assert lost and narrow.count() == wide.count() == lineitem.count()
+    assert wide.filter("Team is null").count() == lost
