@@ -4,9 +4,9 @@ Lines are normalised (A-Z lower-cased, white space between words collapsed) and
 host, the documents that have a line are counted; lines above a limit are boilerplate and are
 removed; a document that loses most of its words with them is depleted and rejected.
 
-Copies must not make a document its own boilerplate: documents are counted by a content
-sketch (the least hash of their 5-word shingles), which copies share and near copies mostly
-share, so that a group of copies counts about once.
+Copies must not make a document its own boilerplate: documents with equal shingle sets count
+once, and so do near copies, which are linked by the similarity of their full sets
+(``COPIES``). All others count one by one, however much of their text they share.
 
 Defined cases: a null text has no words and no lines; a null host is a host of its own; rows
 with equal doc_id are separate rows; an empty table gives an empty result; columns other
@@ -24,16 +24,18 @@ from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
 from gridcast.llm.rows import numbered, text_key
+from gridcast.llm.superminhash import Near, near_texts
 from gridcast.operators.sizing import attach
 from gridcast.params import LIMITS, Limits
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-SKETCH_WORDS = 5
+# From which similarity on documents are copies of one another.
+COPIES = Near(percent=90)
 
 _PROFILE = (
     "doc_id long, source string, text_key long, n_words long, word_chars long, n_symbols long, "
-    "n_dup_lines long, n_repeat_words long, sketch long, lines array<struct<h:long,w:int>>"
+    "n_dup_lines long, n_repeat_words long, lines array<struct<h:long,w:int>>"
 )
 
 
@@ -77,15 +79,6 @@ def profile_texts(col: pa.Array) -> dict[str, np.ndarray]:
         for k in range(3):
             marked[hit + k] = True
 
-    # Sketch: least hash of the 5-word shingles; short texts: of all their words together.
-    grams, gram_text = tx.windows(lowered, firsts, SKETCH_WORDS)
-    sketch = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(sketch, gram_text, grams)
-    short = np.flatnonzero(counts < SKETCH_WORDS)
-    for i in short:
-        own = lowered[firsts[i] : firsts[i + 1]]
-        sketch[i] = tx.mix(np.array([(own * tx.powers(len(own) + 1)[1:]).sum(dtype=np.uint64) + np.uint64(len(own))]))[0]
-
     # Lines.
     line_starts, line_ends, _ = tx.segments(data, offsets, data != 10)
     line_of = np.searchsorted(line_starts, starts, side="right") - 1
@@ -103,7 +96,6 @@ def profile_texts(col: pa.Array) -> dict[str, np.ndarray]:
         "n_symbols": total(SYMBOLS[data]),
         "n_dup_lines": dup.astype(np.int64),
         "n_repeat_words": np.bincount(text_of, marked, minlength=n).astype(np.int64),
-        "sketch": sketch.view(np.int64),
         "line_hash": tx.mix(joined + line_words.astype(np.uint64)).view(np.int64),
         "line_words": line_words.astype(np.int32),
         "line_first": np.concatenate([[0], np.cumsum(n_lines)]).astype(np.int32),
@@ -119,15 +111,15 @@ def _profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(0), part.column(1), part.column(2),
-                *[pa.array(found[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "sketch")],
+                *[pa.array(found[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                 pa.ListArray.from_arrays(pa.array(found["line_first"]), lines),
             ],
-            ["doc_id", "source", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "sketch", "lines"],
+            ["doc_id", "source", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"],
         )
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """One landed row per document: counts, sketch, and hash and words of each line."""
+    """One landed row per document: counts, and hash and words of each line."""
     return numbered(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
@@ -137,19 +129,27 @@ def profile(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(profiled: DataFrame, max_docs: int, max_share: float, limits: Limits = LIMITS) -> DataFrame:
-    """(source, h, n_rows) of lines in more documents of their host than the limit allows.
+def frequent_lines(
+    docs: DataFrame, profiled: DataFrame, max_docs: int, max_share: float, limits: Limits = LIMITS
+) -> DataFrame:
+    """(source, h, n_docs, n_rows) of lines in more documents of their host than the limit allows.
 
-    The limit is ``max_share`` of the host's documents, and ``max_docs`` at least. Documents
-    are counted by sketch on both sides.
+    The limit is ``max_share`` of the host's documents, and ``max_docs`` at least. A group of
+    copies counts as one document on both sides, and so do all texts without words.
     """
+    copies = near_texts(docs, COPIES, limits)
+    one = F.when(F.col("n_words") > 0, F.coalesce("near", "text_key"))
+    told = attach(
+        profiled.select("source", "text_key", "n_words", F.col("lines.h").alias("hs")),
+        copies, ["text_key"], "left", limits, rows="n_rows",
+    ).select("source", one.alias("one"), "hs")
     hosts = (
-        profiled.select("source", "sketch").distinct()
+        told.select("source", "one").distinct()
         .groupBy("source").agg(F.count(F.lit(1)).alias("host_docs"))
     )
     counted = (
-        profiled.select("source", "sketch", F.explode("lines.h").alias("h"))
-        .groupBy("source", "h", "sketch").agg(F.count(F.lit(1)).alias("n"))
+        told.select("source", "one", F.explode("hs").alias("h"))
+        .groupBy("source", "h", "one").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("source", "h").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_rows"))
         .filter(F.col("n_docs") > max_docs)
     )
@@ -173,7 +173,7 @@ def line_rules(
     ``min_left`` of its words are on lines that stay.
     """
     base = profile(docs)
-    frequent = frequent_lines(base, max_docs, max_share, limits)
+    frequent = frequent_lines(docs, base, max_docs, max_share, limits)
     lines = base.select("uid", "source", F.explode("lines").alias("line")).select(
         "uid", "source", F.col("line.h").alias("h"), F.col("line.w").alias("w")
     )
@@ -186,7 +186,7 @@ def line_rules(
     )
     left = F.col("n_words") - F.col("n_removed_words")
     return (
-        attach(base.drop("lines", "sketch"), removed, ["uid"], "left", limits)
+        attach(base.drop("lines"), removed, ["uid"], "left", limits)
         .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)).cast("long"))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (left >= F.lit(min_left) * F.col("n_words")))
@@ -212,7 +212,7 @@ def _strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cleaned_texts(docs: DataFrame, max_docs: int = 20, max_share: float = 0.02, limits: Limits = LIMITS) -> DataFrame:
     """(doc_id, text) with the frequent lines of the document's host taken out."""
     base = profile(docs)
-    frequent = frequent_lines(base, max_docs, max_share, limits)
+    frequent = frequent_lines(docs, base, max_docs, max_share, limits)
     lines = base.select("uid", "doc_id", "text_key", "source", F.explode("lines.h").alias("h"))
     gone = (
         attach(lines, frequent.drop("n_docs"), ["source", "h"], "inner", limits, rows="n_rows")

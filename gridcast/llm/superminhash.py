@@ -43,6 +43,8 @@ from gridcast.store import land
 
 _EMPTY = np.uint32(0xFFFFFFFF)
 _STEP_BITS = 24
+# Tells distinct shingle sets apart.
+_CLASS = ["set_a", "set_b", "n_shingles"]
 
 
 @dataclass(frozen=True)
@@ -523,32 +525,46 @@ def linked_classes(docs: DataFrame, classes: DataFrame, how: Near, limits: Limit
     return measure(found, "linked")
 
 
-def near_duplicates(docs: DataFrame, how: Near | None = None, limits: Limits = LIMITS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept (and text_key)."""
-    how = how or Near()
+def _resolved(docs: DataFrame, how: Near, limits: Limits) -> tuple[DataFrame, Measured]:
+    """Signatures of all documents, and one row per distinct set that stands for several documents or is linked."""
     base = signatures(docs, how)
-    klass = ["set_a", "set_b", "n_shingles"]
     # One row per distinct set stands for all its documents.
     classes = land(
-        base.filter("n_shingles > 0").groupBy(*klass).agg(
+        base.filter("n_shingles > 0").groupBy(*_CLASS).agg(
             F.min_by(F.struct("uid", "doc_id", "text_key", "bands", "sig"), "uid").alias("one"),
             F.min("doc_id").alias("least_doc"), F.count(F.lit(1)).alias("n_docs"),
-        ).select(*klass, "one.*", "least_doc", "n_docs"),
+        ).select(*_CLASS, "one.*", "least_doc", "n_docs"),
         "classes",
     )
     linked = linked_classes(docs, classes, how, limits)
     named = attach(classes.drop("bands", "sig"), linked.df, ["uid"], "left", limits, at_most=linked.bytes)
     # A class of one document that is linked with nothing needs no row.
-    named = measure(
+    return base, measure(
         named.filter("n_docs > 1 or root is not null").withColumn("root", F.coalesce("root", "uid")), "named-classes"
     )
+
+
+def near_duplicates(docs: DataFrame, how: Near | None = None, limits: Limits = LIMITS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept (and text_key)."""
+    base, named = _resolved(docs, how or Near(), limits)
     least = named.df.groupBy("root").agg(F.min("least_doc").alias("component_id"), F.count(F.lit(1)).alias("_n"))
     resolved = attach(named.df, least, ["root"], "inner", limits, at_most=named.bytes, rows="_n").select(
-        *klass, "component_id", "n_docs"
+        *_CLASS, "component_id", "n_docs"
     )
     out = attach(
-        base.select("doc_id", "text_key", *klass), resolved, klass, "left", limits, at_most=named.bytes, rows="n_docs"
+        base.select("doc_id", "text_key", *_CLASS), resolved, _CLASS, "left", limits, at_most=named.bytes, rows="n_docs"
     )
     return out.withColumn("component_id", F.coalesce("component_id", "doc_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     ).select("doc_id", "n_shingles", "component_id", "kept", "text_key")
+
+
+def near_texts(docs: DataFrame, how: Near, limits: Limits = LIMITS) -> DataFrame:
+    """(text_key, near, n_rows): per text that is linked or has copies, the least text_key of its component."""
+    base, named = _resolved(docs, how, limits)
+    least = named.df.groupBy("root").agg(F.min("text_key").alias("near"), F.count(F.lit(1)).alias("_n"))
+    resolved = attach(
+        named.df.drop("text_key"), least, ["root"], "inner", limits, at_most=named.bytes, rows="_n"
+    ).select(*_CLASS, "near", "n_docs")
+    out = attach(base.select("text_key", *_CLASS), resolved, _CLASS, "inner", limits, at_most=named.bytes, rows="n_docs")
+    return out.groupBy("text_key").agg(F.min("near").alias("near"), F.count(F.lit(1)).alias("n_rows"))

@@ -85,6 +85,22 @@ def test_depleted_documents_are_rejected_and_copies_are_not(spark):
     assert all(v for k, v in got.items() if k >= 100)
 
 
+def test_different_documents_of_mostly_shared_words_are_depleted(spark):
+    # Production limits. Copies and near copies with one word changed still count once.
+    docs = []
+    for host, n, own, shared in (("a", 40, 30, 78), ("b", 30, 20, 200), ("c", 100, 20, 200)):
+        passage = " ".join(f"{host}s{k}" for k in range(shared))
+        docs += [(host, passage + "\n" + " ".join(f"{host}{i}o{k}" for k in range(own))) for i in range(n)]
+    lines = [" ".join(f"l{j}w{k}" for k in range(20)) for j in range(20)]
+    docs += [("d", "\n".join(lines))] * 30
+    docs += [("e", "\n".join([*lines[:9], f"e{i} " + lines[9], *lines[10:]])) for i in range(60)]
+    df = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, source string, text string")
+    got = line_quality.line_rules(df).groupBy("source", "kept").count().collect()
+    assert {(r.source, r.kept, r["count"]) for r in got} == {
+        ("a", False, 40), ("b", False, 30), ("c", False, 100), ("d", True, 30), ("e", True, 60),
+    }
+
+
 def test_cleaned_texts_lose_only_frequent_lines(spark):
     docs = [(i, f"own {i} {i * i}\nCommon   line\nlast {i}", "h") for i in range(10)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string")
