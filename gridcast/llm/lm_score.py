@@ -5,11 +5,14 @@ target documents, the background model on all documents. A document's score is t
 over its words, of the target model's loss minus the background model's: the lower, the more
 the text is like the target.
 
-The vocabulary is the most frequent words of all documents; others are one unknown word.
-Word bigrams are counted between the most frequent words and one class of the rest, within
-which words follow their own frequency. Counts cover every document; the words of all
-documents are gathered to find the vocabulary, while the models have a fixed number of entries
-by their parameters, whatever the input.
+The vocabulary is all words, and bigrams are all pairs of neighbours, so the models grow with
+the documents: counts of words and pairs are tables, and each document's distinct pairs are
+joined to the losses of the pairs. Losses of pairs that are frequent are known to every task
+and added up there, so no key of the join has many rows; the others are shuffled.
+
+A ``Form`` may bound both models instead: then words beyond the ``words`` most frequent ones are
+one unknown word, and bigrams are counted between the ``frequent`` most frequent ones and one
+class of the rest, within which words follow their own frequency.
 
 Defined cases: a text without words, null included, has no losses and score 0; labels of
 unknown documents are ignored, and of several labels of a doc_id the highest counts; without
@@ -20,7 +23,7 @@ rows; an empty table gives an empty result; columns other than doc_id and text a
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +31,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
-from gridcast.operators.sizing import attach
+from gridcast.operators.sizing import attach, measure
 from gridcast.params import LIMITS, Limits
 from gridcast.store import land
 
 
+# Pairs of one word from which its rows are spread in a shuffle.
+HOT_PAIRS = 50_000
+# Occurrences from which a pair's losses go to every task, and how many such pairs there may be.
+OFTEN, KNOWN_PAIRS = 64, 500_000
+
+
 @dataclass(frozen=True)
 class Form:
-    """Entries of both models. ``words``: vocabulary; ``frequent``: words with bigrams of their own."""
+    """``words``: size of the vocabulary; ``frequent``: words with bigrams of their own. None: all."""
 
-    words: int = 32_768
-    frequent: int = 1_024
+    words: int | None = None
+    frequent: int | None = None
     # Weight of the bigram against the single word, and what every count is raised by.
     bigram: float = 0.7
     added: float = 0.1
@@ -77,7 +86,7 @@ class Vocabulary:
     def __init__(self, hashes: np.ndarray, form: Form):
         self.order = np.argsort(hashes.view(np.uint64))
         self.sorted = hashes.view(np.uint64)[self.order]
-        self.size, self.classes = len(hashes), min(form.frequent, len(hashes))
+        self.size, self.classes = len(hashes), min(form.frequent or len(hashes), len(hashes))
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         if not self.size:
@@ -159,14 +168,135 @@ def flag_targets(docs: DataFrame, targets: DataFrame, limits: Limits = LIMITS) -
     return marked.withColumn("target", F.coalesce("target", F.lit(0)))
 
 
+def _neighbours(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each word, 0 before a text's first, and a key of both."""
+    before = np.zeros_like(hashes)
+    before[1:] = hashes[:-1]
+    before[firsts[:-1][firsts[:-1] < len(hashes)]] = 0
+    return before, _pair_key(before, hashes)
+
+
+def _pair_key(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return tx.mix(before + tx.mix(words + np.uint64(1)))
+
+
+def _pair_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in tx.slices(batches, "text"):
+        hashes, firsts = _hashes(part, 1)
+        target = np.repeat(part.column(2).to_numpy(zero_copy_only=False), np.diff(firsts))
+        before, keys = _neighbours(hashes, firsts)
+        _, at, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        in_target = np.bincount(inverse, target, minlength=len(at)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(before[at].view(np.int64)), pa.array(hashes[at].view(np.int64)), pa.array(counts.astype(np.int64)), pa.array(in_target)],
+            ["before", "word", "background", "target"],
+        )
+
+
+def pair_losses(flagged: DataFrame, form: Form, limits: Limits = LIMITS) -> DataFrame:
+    """(before, word, n, target_loss, background_loss) of every pair of neighbours in the documents."""
+    pairs = land(
+        flagged.mapInArrow(_pair_counts, "before long, word long, background long, target long")
+        .groupBy("before", "word").agg(F.sum("background").alias("background"), F.sum("target").alias("target")),
+        "pair-counts",
+    )
+
+    def totals(key: str):
+        sums = [F.sum(c).alias(f"{key}_{c}") for c in ("background", "target")]
+        return measure(pairs.groupBy(key).agg(*sums, F.count(F.lit(1)).alias("n_pairs")), f"{key}-counts")
+
+    words, befores = totals("word"), totals("before")
+    whole = words.df.agg(F.sum("word_background").alias("background"), F.sum("word_target").alias("target")).first()
+    # A word is in as many pairs as it has different neighbours: thousands of rows are a hot key here.
+    spread = replace(limits, hot_rows=min(limits.hot_rows, HOT_PAIRS))
+    both = attach(pairs, words.df, ["word"], "inner", spread, at_most=words.bytes, rows="n_pairs")
+    both = attach(both, befores.df, ["before"], "inner", spread, at_most=befores.bytes, rows="n_pairs")
+
+    def loss(name: str):
+        every = (whole[name] or 0) + form.added * (words.rows + 1)
+        share = (F.col(f"word_{name}") + form.added) / F.lit(every)
+        seen = F.when(F.col(f"before_{name}") > 0, F.col(name) / F.col(f"before_{name}")).otherwise(share)
+        return (-F.log(form.bigram * seen + (1 - form.bigram) * share)).alias(f"{name}_loss")
+
+    return land(both.select("before", "word", F.col("background").alias("n"), loss("target"), loss("background")), "pair-losses")
+
+
+def _document_pairs(keys: np.ndarray, losses: list[np.ndarray]) -> Callable:
+    """Distinct pairs of each document, but for those in ``keys``, whose ``losses`` are summed into a row per document."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tx.slices(batches, "text"):
+            hashes, firsts = _hashes(part, 2)
+            docs, n_words = part.num_rows, np.diff(firsts).astype(np.int64)
+            of = np.repeat(np.arange(docs), n_words)
+            before, pair = _neighbours(hashes, firsts)
+            at = np.minimum(np.searchsorted(keys, pair), max(0, len(keys) - 1))
+            known = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
+            sums = [np.bincount(of[known], x[at[known]], minlength=docs) for x in losses]
+            rest = np.flatnonzero(~known)
+            _, first, counts = np.unique(tx.mix(pair[rest] + tx.mix(of[rest].astype(np.uint64))), return_index=True, return_counts=True)
+            rest = rest[first]
+            uid = part.column(0).to_numpy(zero_copy_only=False)
+            # The row per document has a pair of its own that no text has, so that these rows spread.
+            none = pa.nulls(len(rest), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([uid, uid[of[rest]]])),
+                    pa.concat_arrays([part.column(1), none]),
+                    pa.array(np.concatenate([np.zeros(docs, np.int64), before[rest].view(np.int64)])),
+                    pa.array(np.concatenate([tx.mix(uid.astype(np.uint64)), hashes[rest]]).view(np.int64)),
+                    pa.array(np.concatenate([np.zeros(docs, np.int64), counts.astype(np.int64)])),
+                    pa.concat_arrays([pa.array(n_words), none]),
+                    *[pa.concat_arrays([pa.array(x.astype(np.float64)), none.cast(pa.float64())]) for x in sums],
+                ],
+                ["uid", "doc_id", "before", "word", "n", "n_words", "target_sum", "background_sum"],
+            )
+
+    return run
+
+
+def _scores(docs: DataFrame, losses: DataFrame) -> DataFrame:
+    """Mean losses of each document from those of its pairs."""
+    words = losses.agg(F.sum("n")).first()[0] or 0
+    # Pairs that occur this often are known to every task; there are at most ``KNOWN_PAIRS`` of them.
+    often = max(OFTEN, -(-words // KNOWN_PAIRS))
+    top = losses.filter(F.col("n") >= often).toArrow()
+    keys = _pair_key(*[top[c].to_numpy().view(np.uint64) for c in ("before", "word")])
+    order = np.argsort(keys)
+    known = [top[c].to_numpy()[order] for c in ("target_loss", "background_loss")]
+    pair = F.xxhash64("before", "word").alias("pair")
+    rows = (
+        docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+        .mapInArrow(
+            _document_pairs(keys[order], known),
+            "uid long, doc_id long, before long, word long, n long, n_words long, target_sum double, background_sum double",
+        )
+        .select("uid", "doc_id", pair, "n", "n_words", "target_sum", "background_sum")
+    )
+    rest = losses.filter(F.col("n") < often).select(pair, "target_loss", "background_loss")
+
+    def mean(name: str):
+        of_pairs = F.coalesce(F.sum(F.col("n") * F.col(f"{name}_loss")), F.lit(0.0))
+        return ((F.sum(f"{name}_sum") + of_pairs) / F.greatest(F.sum("n_words"), F.lit(1))).alias(f"{name}_loss")
+
+    return (
+        rows.join(rest, "pair", "left").groupBy("uid")
+        .agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), mean("target"), mean("background"))
+        .select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+    )
+
+
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, form: Form | None = None, limits: Limits = LIMITS) -> DataFrame:
     """One row per document: doc_id, n_words, target_loss, background_loss, score (nats per word)."""
     form = form or Form()
     flagged = flag_targets(docs, targets, limits)
+    if form.words is None and form.frequent is None:
+        return _scores(docs, pair_losses(flagged, form, limits))
     counted = land(word_counts(flagged), "word-counts")
     totals = counted.agg(F.sum("background"), F.sum("target")).first()
+    ranked = counted.orderBy(F.desc("background"), "word")
     # At most ``form.words`` rows.
-    top = counted.orderBy(F.desc("background"), "word").limit(form.words).toArrow()
+    top = (ranked if form.words is None else ranked.limit(form.words)).toArrow()
     vocabulary = Vocabulary(top["word"].to_numpy(), form)
     pairs = (
         flagged.mapInArrow(_pairs(vocabulary), "pair long, background long, target long")

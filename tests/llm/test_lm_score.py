@@ -72,6 +72,17 @@ def test_matches_brute_force(spark):
     same(result(lm_score.cross_entropy_difference(df, chosen, form)), brute(docs, set(targets), form))
 
 
+def test_all_words_and_pairs_count(spark):
+    # More words than any bound had, and bigrams of words that are not frequent.
+    docs = [(i, " ".join(f"w{(i * 37 + k * k) % 40_000}" for k in range(i % 400))) for i in range(400)]
+    docs += [(1000 + i, "of the rare pair of words that often comes") for i in range(100)]
+    targets = [d for d, _ in docs if d % 3 == 0]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    chosen = spark.createDataFrame([(t,) for t in targets], "doc_id long")
+    want = brute(docs, set(targets), lm_score.Form(words=10**9, frequent=10**9))
+    same(result(lm_score.cross_entropy_difference(df, chosen)), want)
+
+
 def test_target_like_texts_score_lower(spark):
     docs = [(i, "red green blue " * 10 if i % 2 else "one two three " * 10) for i in range(40)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
