@@ -70,6 +70,15 @@ def test_trust_and_distrust_spread_along_links(spark):
     }
 
 
+def test_trusted_hosts_do_not_end_the_distrust_walk(spark):
+    # bad.b is two links away; thousands of trusted hosts have no links.
+    pages = [page(1, "bad.b"), page(2, "near.c", "http://bad.b/"), page(3, "far.d", "http://near.c/")]
+    pages += [page(10 + i, f"h{i}.good") for i in range(1000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.host: r for r in url_trust.url_verdicts(df, [("allow", "good", "/"), ("block", "bad.b", "/")]).collect()}
+    assert got["far.d"].verdict == "block" and abs(got["far.d"].distrust - 0.15 * 0.85**2) < 1e-9
+
+
 def test_odd_rows(spark):
     odd = [(1, None, None), (1, None, None), (2, "no scheme", "x"), (3, "http://", ""), (None, "HTTP://A.Net?x", "<a href=>"), (5, "x://É.net/#/en/", None), (6, "http://a.net/é", "<a href='http://b.net' href=http://c.org>" * 50)]
     df = spark.createDataFrame([(*r, k, 0.5) for k, r in enumerate(odd)], "page_id long, url string, html string, n_pages int, trust double")
