@@ -5,9 +5,9 @@ hosts along links (personalised PageRank), distrust from blocked hosts against t
 hosts that link to them. A host whose distrust reaches a threshold and exceeds its trust is
 blocked.
 
-A host is a seed by the share of its pages that rules allow or block, if that is half or
-more; a rule for some folder of a host says little about the rest of it. Links within a host
-say nothing about it and are left out.
+A host is a seed by the shares of its pages that rules allow and block. A host without a page
+of its own is one by the shares of the links to it, whose host and path the rules judge as well.
+Links within a host say nothing about it and are left out.
 
 Everything is DataFrame functions. Hosts with a third of all pages or links are aggregated
 before any shuffle; joins choose their plan by measured size.
@@ -53,6 +53,11 @@ def link_host(link: Column, own: Column) -> Column:
     return F.when(other.isNotNull(), other).when(~link.rlike("(?i)^[a-z][a-z0-9+.-]*:"), own)
 
 
+def link_path(link: Column) -> Column:
+    """The path of a link with a host."""
+    return url_path(F.when(link.startswith("//"), F.concat(F.lit("x:"), link)).otherwise(link))
+
+
 def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """The longest rule that fits, as a struct of verdict and rule; null if none does."""
     found = F.lit(None)
@@ -62,14 +67,21 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, links) between different hosts."""
+def host_edges(pages: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
+    """(src, dst, links, allowed, blocked) between different hosts: links, and those that a rule allows or blocks."""
     own = url_host(F.col("url"))
+    verdict = F.col("_fit.verdict") if rules else F.lit(None).cast("string")
+    fit = fitting_rule(F.col("dst"), link_path(F.col("link")), rules)
     return (
         pages.select(own.alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("link"))
-        .select("src", link_host(F.col("link"), F.col("src")).alias("dst"))
+        .select("src", "link", link_host(F.col("link"), F.col("src")).alias("dst"))
         .filter("src <> '' and dst <> '' and src <> dst")
-        .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
+        .select("src", "dst", fit.alias("_fit"))
+        .groupBy("src", "dst").agg(
+            F.count(F.lit(1)).alias("links"),
+            F.count(F.when(verdict == "allow", 1)).alias("allowed"),
+            F.count(F.when(verdict == "block", 1)).alias("blocked"),
+        )
     )
 
 
@@ -111,7 +123,6 @@ def propagate(
 def url_verdicts(
     pages: DataFrame,
     rules: Sequence[Rule],
-    seed_share: float = 0.5,
     threshold: float = 0.05,
     damping: float = 0.85,
     limits: Limits = LIMITS,
@@ -131,15 +142,21 @@ def url_verdicts(
         F.avg((F.coalesce(F.col("_fit.verdict"), F.lit("")) == "block").cast("double")).alias("blocked"),
     )
     hosts = measure(hosts, "hosts")
+    links = measure(host_edges(pages, rules), "links").df
+    # Hosts without a page of their own are judged by the links to them.
+    linked = links.groupBy(F.col("dst").alias("host")).agg(*[
+        (F.sum(c) / F.sum("links")).alias(c) for c in ("allowed", "blocked")
+    ]).filter("allowed > 0 or blocked > 0")
+    known = hosts.df.select("host", F.lit(True).alias("known"))
+    unseen = attach(linked, known, ["host"], "left", limits, at_most=hosts.bytes).filter("known is null").drop("known")
     seeds = (
-        hosts.df.filter("host <> ''")
+        hosts.df.filter("host <> ''").select("host", "allowed", "blocked").unionByName(unseen)
         .select("host", F.explode(F.array(
             F.struct(F.lit("trust").alias("kind"), F.col("allowed").alias("mass")),
             F.struct(F.lit("distrust").alias("kind"), F.col("blocked").alias("mass")),
         )).alias("s"))
-        .select("host", "s.*").filter(F.col("mass") >= seed_share)
+        .select("host", "s.*")
     )
-    links = host_edges(pages)
     both = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     )

@@ -79,6 +79,20 @@ def test_trusted_hosts_do_not_end_the_distrust_walk(spark):
     assert got["far.d"].verdict == "block" and abs(got["far.d"].distrust - 0.15 * 0.85**2) < 1e-9
 
 
+def test_every_host_seeds_by_its_share_and_by_links(spark):
+    pages = [(i, f"http://part.a/{'de' if i < 4 else 'en'}/{i}", "") for i in range(10)]
+    pages += [page(20, "to-part.b", "http://part.a/de/1"), page(21, "to-spam.c", "http://spam.net/x", "//Sub.Spam.net/y")]
+    pages += [page(22, "to-mixed.d", "http://mixed.e/bad/1?q", "http://mixed.e/")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rules = [("block", "part.a", "/de/"), ("block", "net", "/"), ("block", "mixed.e", "/bad/")]
+    got = {r.host: r for r in url_trust.url_verdicts(df, rules).collect()}
+    assert abs(got["part.a"].distrust - 0.15 * 0.4) < 1e-9
+    # By links, spam.net and sub.spam.net are seeds of 1, mixed.e of one half.
+    for host, mass in (("to-part.b", 0.4), ("to-spam.c", 2.0), ("to-mixed.d", 0.5)):
+        assert abs(got[host].distrust - 0.15 * 0.85 * mass) < 1e-9
+        assert got[host].verdict == "block"
+
+
 def test_odd_rows(spark):
     odd = [(1, None, None), (1, None, None), (2, "no scheme", "x"), (3, "http://", ""), (None, "HTTP://A.Net?x", "<a href=>"), (5, "x://É.net/#/en/", None), (6, "http://a.net/é", "<a href='http://b.net' href=http://c.org>" * 50)]
     df = spark.createDataFrame([(*r, k, 0.5) for k, r in enumerate(odd)], "page_id long, url string, html string, n_pages int, trust double")
