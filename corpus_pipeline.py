@@ -17,9 +17,8 @@ from gridcast.llm.rows import text_key, without
 from gridcast.operators.sizing import measure
 from gridcast.store import land
 
-# Documents go from this score on. Above the 0.3 at which a document counts as likely toxic:
-# here a clean document that goes is lost.
-TOXIC_FROM = 0.5
+# Documents go from the score at which op5 calls them toxic.
+TOXIC_FROM = 0.3
 NEAR = superminhash.Near(percent=80)
 
 

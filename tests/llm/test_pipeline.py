@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline as cp
+from gridcast.llm.queries import QUERIES
 from tests.llm.conftest import SF, rows
 from tests.llm.test_superminhash import groups
 
@@ -20,6 +21,14 @@ def test_each_stage_on_odd_rows_and_on_nothing(spark, odd, nothing):
     assert sorted(str(r.doc_id) for r in left) == ["1", "3", "4", "5", "6", "8", "None"]
 
 
+def test_toxicity_stage_rejects_what_op5_calls_toxic(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").drop("n_chars")
+    toxic = {r.doc_id for r in QUERIES["op5_noisy_or"](spark, SF).collect() if r.predicted}
+    left = {r.doc_id for r in cp.clean_of_toxicity(spark, docs, SF).select("doc_id").collect()}
+    assert toxic and left == {r["doc_id"] for r in rows("documents")} - toxic
+    assert cp.TOXIC_FROM == 0.3
+
+
 def test_whole_run_keeps_one_of_each_group(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").drop("n_chars")
     clean = cp.clean_of_toxicity(spark, cp.quality_rules(spark, docs, SF), SF)
