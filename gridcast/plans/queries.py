@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridcast.functions.columns import nudged_round
 from gridcast.operators import clean, explore, features, model, quality, rank, weights
@@ -739,24 +740,55 @@ def export_lines(spark, sf_dir):
     )
 
 
-@query
-def export_document(spark, sf_dir):
-    """The document's scalar fields, read back out of its JSON text."""
+def _written_document(spark, sf_dir) -> tuple[DataFrame, T.DataType]:
+    """The lines of the document's written parts, and the type of a driver's entry."""
     gold_df = landed_gold(spark, sf_dir, row_key=True)
-    current = gold_df.filter(F.col("event") == P.event)
     history = rank.winner_history(season_predictions(gold_df), gold_df, P.season)
-    document = export.export_document(
-        _event_entries(gold_df),
-        current.select("session_type"),
+    entries = land(_event_entries(gold_df), "entries")
+    parts = export.document_parts(
+        entries,
+        gold_df.filter(F.col("event") == P.event).select("session_type"),
         land(_corr_as_importance(gold_df), "importance"),
         land(history, "history"),
         P,
         "base_r07",
     )
-    text = export.to_json_text(document)
-    shape = document.drop("generated_at").schema
-    doc = F.from_json("value", shape)
-    return text.select(doc.alias("d")).select(
+    path = new_path(spark, "document")
+    export.write_parts(parts, path)
+    return spark.read.text(path), entries.schema["entry"].dataType
+
+
+DRIVER_LINE = r'^,?\{"driver"'
+# Fields of the document's first and last line that its query shows.
+HEAD = (
+    "model_version string, event string, round int, season int, sessions_used array<string>, "
+    "season_accuracy struct<top3_pct: double, races: bigint>, recency_lambda double"
+)
+FOOT = "feature_importance array<struct<feature: string>>, history array<struct<event: string>>"
+
+
+@query
+def export_document(spark, sf_dir):
+    """The document's scalar fields, read back out of its written parts; no row holds the drivers."""
+    lines, kind = _written_document(spark, sf_dir)
+    is_driver = F.col("value").rlike(DRIVER_LINE)
+    entry = F.from_json(F.regexp_replace("value", "^,", ""), kind)
+    one = F.when(is_driver, entry)
+    first = F.regexp_replace("value", r',"predictions":\[$', "}")
+    last = F.regexp_replace("value", r"^\],", "{")
+    whole = lines.select(
+        one.alias("e"),
+        F.when(F.col("value").startswith("{") & ~is_driver, first).alias("first"),
+        F.when(F.col("value").startswith("]"), last).alias("last"),
+    ).agg(
+        F.from_json(F.max("first"), HEAD).alias("d"),
+        F.from_json(F.max("last"), FOOT).alias("f"),
+        F.count("e.driver").alias("drivers"),
+        F.min_by(
+            F.struct("e.driver", "e.win_probability"), F.col("e.predicted_position")
+        ).alias("top"),
+    )
+    return whole.select(
         "d.model_version",
         "d.event",
         "d.round",
@@ -765,35 +797,21 @@ def export_document(spark, sf_dir):
         F.col("d.season_accuracy.top3_pct").alias("top3_pct"),
         F.col("d.season_accuracy.races").alias("races"),
         F.col("d.recency_lambda").alias("recency_lambda"),
-        F.size("d.predictions").cast("long").alias("drivers"),
-        F.get("d.predictions", F.lit(0))["driver"].alias("winner"),
-        F.get("d.predictions", F.lit(0))["win_probability"].alias("top_probability"),
-        F.get("d.feature_importance", F.lit(0))["feature"].alias("top_feature"),
-        F.size("d.history").cast("long").alias("history_rows"),
+        "drivers",
+        F.col("top.driver").alias("winner"),
+        F.col("top.win_probability").alias("top_probability"),
+        F.get("f.feature_importance", F.lit(0))["feature"].alias("top_feature"),
+        F.size("f.history").cast("long").alias("history_rows"),
     )
 
 
 @query
 def export_document_entries(spark, sf_dir):
     """The drivers of the document, read back out of its written parts."""
-    gold_df = landed_gold(spark, sf_dir, row_key=True)
-    history = rank.winner_history(season_predictions(gold_df), gold_df, P.season)
-    entries = land(_event_entries(gold_df), "entries")
-    parts = export.document_parts(
-        entries,
-        gold_df.filter(F.col("event") == P.event).select("session_type"),
-        land(_corr_as_importance(gold_df), "importance"),
-        land(history, "history"),
-        P,
-        "base_r07",
-    )
-    path = new_path(spark, "document")
-    export.write_parts(parts, path)
-    line = F.regexp_replace("value", "^,", "")
-    entry = F.from_json(line, entries.schema["entry"].dataType)
+    lines, kind = _written_document(spark, sf_dir)
+    entry = F.from_json(F.regexp_replace("value", "^,", ""), kind)
     return (
-        spark.read.text(path)
-        .filter(F.col("value").rlike('^,?\\{"driver"'))
+        lines.filter(F.col("value").rlike(DRIVER_LINE))
         .select(entry.alias("e"))
         .select("e.driver", "e.team", "e.predicted_position", "e.win_probability")
     )

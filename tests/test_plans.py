@@ -117,3 +117,8 @@ def test_no_python_and_no_cross_products(spark, name):
     text = plan(Q.QUERIES[name](spark, SF))
     for word in ("Python", "Pandas", "NestedLoop", "Cartesian", "SinglePartition"):
         assert word not in text or (word == "SinglePartition" and name == "feature_corr")
+
+
+def test_document_query_gathers_no_drivers(spark):
+    text = plan(Q.QUERIES["export_document"](spark, SF))
+    assert "collect_list" not in text and "partial_count" in text
