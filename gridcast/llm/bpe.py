@@ -2,9 +2,10 @@
 
 Two neighbouring tokens are compatible if BPE would leave them as they are when it merges
 their joined bytes. A text's BPE encoding is the one sequence of tokens of which all
-neighbours are compatible. It is found from left to right: the longest token that an
-automaton over all tokens matches is tried first, then its shorter prefixes; a place from
-which no token goes on is remembered and never entered again, so that the time is linear.
+neighbours are compatible. It is found from left to right: the longest token that a
+trie of all tokens matches is tried first, then its shorter prefixes; a place from which no
+token goes on is remembered and never entered again. The trie has no failure links and is
+walked anew from each byte, so that the time is text length times longest match at most.
 
 Compatibility follows from the merges alone. The right edge of the left token is a chain of
 parts, each of which exists until the merge that makes the next larger one; so is the left
