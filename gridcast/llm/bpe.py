@@ -374,8 +374,7 @@ class Bpe:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         starts = self.split(data, offsets)
         ends = np.append(starts[1:], len(data))
-        hashes = tx.hash_runs(data, starts, ends)
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        first, inverse = tx.distinct_runs(data, starts, ends)
         ids, counts = self.encode_pieces(data, starts[first], ends[first])
         begins = np.cumsum(counts) - counts
         each = counts[inverse]

@@ -30,6 +30,8 @@ from gridcast.params import LIMITS, Limits
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
+# Texts that are worked on at once: their arrays take some 30 times their bytes.
+SLICE_BYTES = 1 << 20
 # From which similarity on documents are copies of one another.
 COPIES = Near(percent=90)
 
@@ -105,7 +107,7 @@ def profile_texts(col: pa.Array) -> dict[str, np.ndarray]:
 
 
 def _profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in tx.slices(batches, "text"):
+    for part in tx.slices(batches, "text", SLICE_BYTES):
         found = profile_texts(part.column(3))
         lines = pa.StructArray.from_arrays([pa.array(found["line_hash"]), pa.array(found["line_words"])], ["h", "w"])
         yield pa.RecordBatch.from_arrays(
@@ -194,7 +196,7 @@ def line_rules(
 
 
 def _strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in tx.slices(batches, "text"):
+    for part in tx.slices(batches, "text", SLICE_BYTES):
         col = part.column(1)
         found, (data, offsets) = profile_texts(col), tx.flat(col)
         texts = []

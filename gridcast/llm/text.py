@@ -1,7 +1,9 @@
 """Texts of an Arrow batch as flat arrays: slices, words, segments, 64-bit hashes.
 
 All helpers work on the UTF-8 bytes of many texts at once, so that no Python code runs
-per word. Equality of words, lines and shingles is equality of 64-bit hashes.
+per word. A hash takes eight bytes at a time and scrambles each such lane, with its place,
+before they are added: no family of texts shares a hash by construction, and two given
+different runs do with a chance of 2**-64. :func:`distinct_runs` compares the bytes as well.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+# The bytes of a lane that count, by how many are left.
+LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _BASE = np.uint64(0x2545F4914F6CDD1D)
 _powers = np.ones(1, np.uint64)
 
@@ -117,28 +121,86 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return segments(data, offsets, ~SPACE[data])
 
 
+def lanes_view(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that start at each byte as one number, with zeros behind the last byte."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+
+
+def _lanes(starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of runs in order: the number of lanes, and of each lane its number in the run and its first byte."""
+    count = (size + 7) >> 3
+    at = np.cumsum(count) - count
+    number = np.arange(int(count.sum()), dtype=np.int64) - np.repeat(at, count)
+    return count, number, np.repeat(starts, count) + 8 * number
+
+
 def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each run; runs are in order and do not overlap."""
     out = np.empty(len(starts), np.uint64)
+    view = lanes_view(data)
     first = 0
     while first < len(starts):
         # As many runs as fit a window, one at least.
         last = max(first + 1, int(np.searchsorted(ends, starts[first] + WINDOW_BYTES, side="right")))
         size = ends[first:last] - starts[first:last]
-        at = np.cumsum(size) - size
-        place = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(at, size)
-        chars = data[place + np.repeat(starts[first:last], size)]
-        values = _BYTE[chars] * powers(int(size.max(initial=0)))[place]
+        count, number, where = _lanes(starts[first:last], size)
+        left = np.minimum(np.repeat(size, count) - 8 * number, 8)
+        values = mix((view[where] & LANE[left]) + mix((number + 1).astype(np.uint64) * _GOLDEN))
         # reduceat gives an empty run the next value; runs of words are never empty.
         full = size > 0
         sums = np.zeros(last - first, np.uint64)
         if full.any():
-            sums[full] = np.add.reduceat(values, at[full])
-        out[first:last] = mix(sums + size.astype(np.uint64))
+            sums[full] = np.add.reduceat(values, (np.cumsum(count) - count)[full])
+        out[first:last] = mix(sums + mix(size.astype(np.uint64) + _GOLDEN))
         first = last
     return out
 
 
+def same_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether each run has the bytes of the run whose number is given for it."""
+    view, size = lanes_view(data), ends - starts
+    same = size == size[others]
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + WINDOW_BYTES, side="right")))
+        own = np.flatnonzero(same[first:last] & (size[first:last] > 0)) + first
+        count, number, where = _lanes(starts[own], size[own])
+        across = np.repeat(starts[others[own]], count) + 8 * number
+        mask = LANE[np.minimum(np.repeat(size[own], count) - 8 * number, 8)]
+        differ = (view[where] & mask) != (view[across] & mask)
+        same[own[np.repeat(np.arange(len(own)), count)[differ]]] = False
+        first = last
+    return same
+
+
+def distinct_runs(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The number of one run of each content (and ``kind``), and for every run which of these it equals.
+
+    Contents are told apart by their bytes: runs that only share a hash are separate.
+    """
+    hashes = hash_runs(data, starts, ends)
+    if kind is not None:
+        hashes ^= kind.astype(np.uint64)
+    _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    same = same_runs(data, starts, ends, first[inverse])
+    if kind is not None:
+        same &= kind == kind[first[inverse]]
+    odd = np.flatnonzero(~same)
+    if len(odd):
+        seen: dict[tuple, int] = {}
+        for i in odd.tolist():
+            key = (data[starts[i] : ends[i]].tobytes(), None if kind is None else int(kind[i]))
+            if key not in seen:
+                seen[key] = len(first)
+                first = np.append(first, i)
+            inverse[i] = seen[key]
+    return first, inverse
+
+
 def windows(hashes: np.ndarray, firsts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every ``width`` neighbouring words inside a text, and the text of each window."""
     total = len(hashes)

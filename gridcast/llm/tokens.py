@@ -61,7 +61,9 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        self.known: dict[int, tuple[int, ...]] = {}
+        # By the bytes of a piece: parts that the model encodes, chunks for the whole tokenizer.
+        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known_whole: dict[bytes, tuple[int, ...]] = {}
         self.letter = {b: c for c, b in byte_letters().items()}
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,9 +72,8 @@ class Encoder:
         starts, ends, whole, shown = self._pieces(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        hashes = tx.hash_runs(shown, starts, ends) ^ whole.astype(np.uint64)
-        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        ids = self._distinct(keys, shown, starts[first], ends[first], whole[first])
+        first, inverse = tx.distinct_runs(shown, starts, ends, whole)
+        ids = self._distinct(shown, starts[first], ends[first], whole[first])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat_ids = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         begins = np.cumsum(sizes) - sizes
@@ -110,20 +111,25 @@ class Encoder:
         finish = np.flatnonzero((kind > 0) & stop) + 1
         return begins, finish, kind[begins] == _WHOLE, shown
 
-    def _distinct(self, keys, shown, starts, ends, whole) -> list[tuple[int, ...]]:
-        if len(self.known) > REMEMBERED:
+    def _distinct(self, shown, starts, ends, whole) -> list[tuple[int, ...]]:
+        if len(self.known) + len(self.known_whole) > REMEMBERED:
             self.known.clear()
-        known, names = self.known, keys.tolist()
+            self.known_whole.clear()
         raw = shown.tobytes()
-        new = [i for i, k in enumerate(names) if k not in known]
-        plain = [i for i in new if not whole[i]]
-        for i in plain:
-            piece = raw[starts[i] : ends[i]]
+        pieces = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        known, known_whole = self.known, self.known_whole
+        tables = [known_whole if w else known for w in whole.tolist()]
+        rest = []
+        for piece, table in zip(pieces, tables, strict=True):
+            if piece in table:
+                continue
+            if table is known_whole:
+                rest.append(piece)
+                continue
             # The model sees a letter for each byte.
-            piece = piece.decode() if piece.isascii() else "".join(map(self.letter.__getitem__, piece))
-            known[names[i]] = tuple(t.id for t in self.model.tokenize(piece))
-        rest = [i for i in new if whole[i]]
-        pieces = [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in rest]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            known[names[i]] = tuple(e.ids)
-        return [known[k] for k in names]
+            shape = piece.decode() if piece.isascii() else "".join(map(self.letter.__getitem__, piece))
+            known[piece] = tuple(t.id for t in self.model.tokenize(shape))
+        texts = [piece.decode("utf-8", "replace") for piece in rest]
+        for piece, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            known_whole[piece] = tuple(e.ids)
+        return [table[piece] for piece, table in zip(pieces, tables, strict=True)]

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from gridcast.llm import text as tx
 from gridcast.llm.rows import text_key
 
+# Texts that are worked on at once: their arrays take some 40 times their bytes.
+SLICE_BYTES = 1 << 20
 PREFIXES = (4, 5, 6)
 _PART = np.zeros(256, bool)
 _PART[48:58] = _PART[65:91] = _PART[97:123] = _PART[128:] = True
@@ -67,15 +69,12 @@ def features(col: pa.Array) -> dict[str, np.ndarray]:
     number = np.searchsorted(stops, starts) + text_of
     found, places = [tx.hash_runs(data, starts, ends)], [np.arange(len(starts))]
     size = ends - starts
-    value = np.zeros(len(starts), np.uint64)
-    for k in range(max(PREFIXES)):
-        longer = size > k
-        at = np.minimum(starts + k, max(len(data) - 1, 0))
-        value = value + np.where(longer, tx._BYTE[data[at]] * tx.powers(k + 1)[k], np.uint64(0))
-        if k + 1 in PREFIXES:
-            has = np.flatnonzero(size > k + 1)
-            found.append(tx.mix(value[has] + np.uint64(1000 + k)))
-            places.append(has)
+    # A prefix is told by its bytes themselves: none is longer than a lane.
+    lane = tx.lanes_view(data)[starts]
+    for k in PREFIXES:
+        has = np.flatnonzero(size > k)
+        found.append(tx.mix((lane[has] & tx.LANE[k]) + np.uint64(k) * tx._GOLDEN))
+        places.append(has)
     feature, word = np.concatenate(found), np.concatenate(places)
     sentences, first_word, sentence_of = np.unique(number, return_index=True, return_inverse=True)
     key = tx.mix(feature + tx.mix(sentence_of[word].astype(np.uint64)))
@@ -93,7 +92,7 @@ def features(col: pa.Array) -> dict[str, np.ndarray]:
 
 
 def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in tx.slices(batches, "text"):
+    for part in tx.slices(batches, "text", SLICE_BYTES):
         got = features(part.column(1))
         of_text = np.repeat(got["text"], got["sizes"])
         per_text = np.bincount(of_text, minlength=part.num_rows)
@@ -196,7 +195,7 @@ def sentence_scores(model: Model, got: dict[str, np.ndarray]) -> np.ndarray:
 
 def _score(model: Model) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "text"):
+        for part in tx.slices(batches, "text", SLICE_BYTES):
             got = features(part.column(1))
             if model.constant is not None:
                 score = np.zeros(part.num_rows)
@@ -223,7 +222,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def _locate(model: Model, least: float) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "text"):
+        for part in tx.slices(batches, "text", SLICE_BYTES):
             col = part.column(1)
             got = features(col)
             p = 1 / (1 + np.exp(-np.clip(sentence_scores(model, got), -50, 50)))
