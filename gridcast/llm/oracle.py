@@ -2,7 +2,92 @@
 
 from __future__ import annotations
 
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of an ASCII text, bit by bit; the two numbers are its fixed values."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    step = (
+        "list_reduce(list_prepend(xor(c, b), range(8)), "
+        "lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)"
+    )
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = [
+        f"case when {c} is null then '-' else octet_length(encode({c}::varchar))::varchar || ':' || {c}::varchar end"
+        for c in ("doc_id", "source", "lang", "n_chars", text)
+    ]
+    return f"sha256({' || '.join(fields)})"
+
+
 ORACLE = {
+    # Levels from the leaves up, then the siblings of every leaf, then each proof folded.
+    "op11_merkle_manifest": f"""
+        with recursive docs as (
+            select *, case when {_crc32("doc_id::varchar")} % 2 = 0 then replace(text, chr(10), '') else text end as found
+            from documents
+        ),
+        leaves as (
+            select doc_id, coalesce('s' || source, '') as src, {_leaf("text")} as leaf, {_leaf("found")} as again,
+                row_number() over (partition by source order by doc_id) - 1 as pos,
+                count(*) over (partition by source) as total
+            from docs
+        ),
+        low(src, lvl, pos, total, h) as (
+            select src, 0, pos, total, leaf from leaves
+            union all
+            select src, lvl + 1, pos // 3, (any_value(total) + 2) // 3, sha256(string_agg(h, '' order by pos))
+            from low where total > 1 group by src, lvl, pos // 3
+        ),
+        subroots as (select src, h as subroot, row_number() over (order by src) - 1 as spot, count(*) over () as total from low where total = 1),
+        high(lvl, pos, total, h) as (
+            select 0, spot, total, subroot from subroots
+            union all
+            select lvl + 1, pos // 3, (any_value(total) + 2) // 3, sha256(string_agg(h, '' order by pos))
+            from high where total > 1 group by lvl, pos // 3
+        ),
+        -- Where each leaf's branch stands on every level below a root.
+        branch(doc_id, src, lvl, pos, total, up) as (
+            select doc_id, src, 0, pos, total, 0 from leaves
+            union all
+            select doc_id, src, lvl + 1, pos // 3, (total + 2) // 3, 0 from branch where total > 1
+        ),
+        climb as (
+            select b.doc_id, b.lvl as step,
+                string_agg(n.h, '' order by n.pos) filter (n.pos < b.pos) as l, string_agg(n.h, '' order by n.pos) filter (n.pos > b.pos) as r
+            from branch b join low n on n.src = b.src and n.lvl = b.lvl and n.pos // 3 = b.pos // 3
+            where b.total > 1 group by b.doc_id, b.lvl
+        ),
+        source_branch(src, lvl, pos, total) as (
+            select src, 0, spot, total from subroots
+            union all
+            select src, lvl + 1, pos // 3, (total + 2) // 3 from source_branch where total > 1
+        ),
+        source_climb as (
+            select b.src, b.lvl as step,
+                string_agg(n.h, '' order by n.pos) filter (n.pos < b.pos) as l, string_agg(n.h, '' order by n.pos) filter (n.pos > b.pos) as r
+            from source_branch b join high n on n.lvl = b.lvl and n.pos // 3 = b.pos // 3
+            where b.total > 1 group by b.src, b.lvl
+        ),
+        steps as (
+            select doc_id, step, coalesce(l, '') as l, coalesce(r, '') as r from climb
+            union all
+            select doc_id, 1000 + step, coalesce(l, ''), coalesce(r, '') from leaves join source_climb using (src)
+        ),
+        numbered as (select *, row_number() over (partition by doc_id order by step) as k from steps),
+        folds(doc_id, k, h) as (
+            select doc_id, 0, again from leaves
+            union all
+            select f.doc_id, n.k, sha256(n.l || f.h || n.r) from folds f join numbered n on n.doc_id = f.doc_id and n.k = f.k + 1
+        ),
+        folded as (select doc_id, arg_max(h, k) as folded_root from folds group by doc_id),
+        proofs as (select doc_id, string_agg(l || r, '' order by step) as proof from steps group by doc_id)
+        select l.doc_id, l.leaf, s.subroot, t.h as root, sha256(coalesce(p.proof, '')) as proof_sha256,
+            f.folded_root, f.folded_root = t.h as verified
+        from leaves l join subroots s using (src) join high t on t.total = 1
+            join folded f using (doc_id) left join proofs p using (doc_id)
+    """,
     # The row that stays, from the normalised text itself.
     "op8_block_naming": r"""
         with t as (

@@ -14,6 +14,7 @@ from gridcast.llm import (
     huffman,
     line_quality,
     lm_score,
+    merkle,
     packing,
     sharding,
     superminhash,
@@ -117,3 +118,13 @@ RULES = (
 @query
 def op2_link_trust(spark, sf_dir):
     return url_trust.url_verdicts(table(spark, sf_dir, "pages"), RULES)
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    # Where 2 divides the checksum of the doc_id, the text has lost its line feeds.
+    lost = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = F.when(lost, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), found).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
