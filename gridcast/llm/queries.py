@@ -17,6 +17,7 @@ from gridcast.llm import (
     merkle,
     packing,
     sharding,
+    substring,
     superminhash,
     toxicity,
     url_trust,
@@ -128,3 +129,10 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"), found).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
     )
+
+
+@query
+def op13_doubled_windows(spark, sf_dir):
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
