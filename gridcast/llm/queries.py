@@ -17,6 +17,7 @@ from gridcast.llm import (
     merkle,
     packing,
     sharding,
+    spelling,
     substring,
     superminhash,
     toxicity,
@@ -136,3 +137,8 @@ def op13_doubled_windows(spark, sf_dir):
     return substring.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256"
     )
+
+
+@query
+def op12_search_schemes(spark, sf_dir):
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), slips=31))
