@@ -4,8 +4,9 @@ from __future__ import annotations
 
 
 def _crc32(text: str) -> str:
-    """The CRC-32 of an ASCII text, bit by bit; the two numbers are its fixed values."""
-    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    """The CRC-32 of a text's UTF-8 bytes up to U+00FF, bit by bit; the two numbers are its fixed values."""
+    split = f"list_transform(string_split({text}, ''), lambda x: unicode(x)::bigint)"
+    codes = f"flatten(list_transform({split}, lambda x: case when x < 128 then [x] else [192 + x // 64, 128 + x % 64] end))"
     step = (
         "list_reduce(list_prepend(xor(c, b), range(8)), "
         "lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)"
@@ -88,6 +89,52 @@ ORACLE = {
         from leaves l join subroots s using (src) join high t on t.total = 1
             join folded f using (doc_id) left join proofs p using (doc_id)
     """,
+    # Replaced: equal without the code point at one place. Deleted: equal to the other without one.
+    "op12_search_schemes": f"""
+        with recursive runs as (
+            select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) as run from documents
+        ),
+        lowered as (
+            select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as k
+            from runs where length(run) >= 7 group by all
+        ),
+        hashed as (select run, k, {_crc32("coalesce(doc_id::varchar, '') || ':' || run")} as h from lowered),
+        slipped as (
+            select case when h % 31 = 0 then run[1:h % length(run)] || run[h % length(run) + 2:] else run end as word, k
+            from hashed
+        ),
+        words as (select word, sum(k)::bigint as n from slipped where length(word) >= 7 group by word having sum(k) >= 2),
+        cut as (
+            select word, n, i, word[1:i] || word[i + 2:] as rest from (select *, unnest(range(length(word))) as i from words)
+        ),
+        pairs as (
+            select a.word, a.n, b.word as near, b.n as near_n from cut a join cut b
+                on a.i = b.i and a.rest = b.rest and a.word <> b.word and length(a.word) = length(b.word)
+            union
+            select c.word, c.n, w.word, w.n from cut c join words w on c.rest = w.word
+            union
+            select w.word, w.n, c.word, c.n from cut c join words w on c.rest = w.word
+        ),
+        best as (
+            select word, count(*) as n_near, arg_max(near, near_n) filter (near_n = top and near = low) as near, max(near_n) as near_n
+            from (
+                select *, min(near) filter (near_n = top) over (partition by word) as low
+                from (select *, max(near_n) over (partition by word) as top from pairs)
+            ) group by word
+        ),
+        told as (
+            select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * w.n then near end as form,
+                case when near_n >= 10 * w.n then near_n end as form_n
+            from words w left join best using (word)
+        ),
+        walk(word, here, step) as (
+            select word, word, 0 from told
+            union all
+            select k.word, t.form, step + 1 from walk k join told t on t.word = k.here where t.form is not null
+        ),
+        ends as (select word, arg_max(here, step) as root from walk group by word)
+        select word, form, root, n, n_near, form_n from told join ends using (word)
+    """,
     # The row that stays, from the normalised text itself.
     "op8_block_naming": r"""
         with t as (
