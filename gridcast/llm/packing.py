@@ -2,10 +2,9 @@
 
 Documents are token ids with an end id; those over the capacity are cut. Pieces are dealt into
 groups that a task can hold, and each group is packed by itself: best fit in order of
-decreasing length, then a local search over the bins that are not full. It moves a document,
-exchanges one for one or one for two, whenever that makes one bin fuller at the expense of an
-emptier one; the sum of squared fills rises with each step, until bins are empty or no step is
-left. Bins that stay underfull are opened and packed again with those of other groups, until
+decreasing length, then a local search over the bins that are not full. Between any two of them
+it moves a document, exchanges one for one, one for two or two for one, whenever that raises the
+sum of squared fills, until bins are empty or no step is left. Bins that stay underfull are opened and packed again with those of other groups, until
 one group holds them all or no bin is saved.
 
 Defined cases: a null text is a document of the end id alone; rows with equal doc_id are
@@ -15,7 +14,7 @@ are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from zlib import crc32
 
@@ -61,84 +60,127 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search over underfull bins; see the module. Full bins stay as they are."""
-    size = lengths.tolist()
-    fill = [sum(size[p] for p in b) for b in bins]
-    closed = [b for b, f in zip(bins, fill, strict=True) if f == capacity]
-    work = [(f, b) for b, f in zip(bins, fill, strict=True) if f < capacity]
-    # The emptiest is to be emptied; what cannot be emptied is set aside.
-    work.sort(key=lambda x: x[0])
-    aside = []
-    while len(work) > 1:
-        room = sum(capacity - f for f, _ in work[1:])
-        low, source = work[0]
-        if room < low:
-            aside.append(work.pop(0))
-            continue
-        targets = [[f, sorted(b, key=lambda p: size[p])] for f, b in work[1:]]
-        source = sorted(source, key=lambda p: size[p])
-        improved = True
-        while source and improved:
-            improved = False
-            for target in sorted(targets, key=lambda t: -t[0]):
-                step = _step(source, low, target, size, capacity)
-                if step:
-                    low = step
-                    improved = True
-                    if not source:
+class _Values:
+    """Which bins have a piece, or two pieces, of a length, and a bit set of the lengths that occur."""
+
+    def __init__(self, capacity: int):
+        self.bins: list[set[int]] = [set() for _ in range(capacity + 1)]
+        self.occur = 0
+
+    def add(self, value: int, bin_: int) -> None:
+        self.bins[value].add(bin_)
+        self.occur |= 1 << value
+
+    def remove(self, value: int, bin_: int) -> None:
+        self.bins[value].discard(bin_)
+        if not self.bins[value]:
+            self.occur &= ~(1 << value)
+
+
+class _Search:
+    """Underfull bins and what each could give: one piece or two, by length."""
+
+    def __init__(self, bins: list[list[int]], size: list[int], capacity: int):
+        self.size, self.capacity = size, capacity
+        self.members = dict(enumerate(bins))
+        self.fill = {k: sum(size[p] for p in b) for k, b in self.members.items()}
+        self.single, self.double = _Values(capacity), _Values(capacity)
+        self.shown: dict[int, tuple[list[int], list[int]]] = {}
+        for k in self.members:
+            self._show(k)
+
+    def _show(self, k: int) -> None:
+        """(Re)enter a bin into the index; full and empty ones are left out."""
+        for values, old in zip((self.single, self.double), self.shown.pop(k, ((), ()))):
+            for v in old:
+                values.remove(v, k)
+        if not 0 < self.fill[k] < self.capacity:
+            return
+        count = Counter(self.size[p] for p in self.members[k])
+        ones = sorted(count)
+        twos = {a + b for i, a in enumerate(ones) for b in ones[i + 1 :]} | {2 * a for a in ones if count[a] > 1}
+        for v in ones:
+            self.single.add(v, k)
+        for v in twos:
+            self.double.add(v, k)
+        self.shown[k] = (ones, sorted(twos))
+
+    def _source(self, values: _Values, target: int, out: int, least: int) -> tuple[int, int] | None:
+        """The longest that some bin could give for ``out`` places, with a gain above ``least``.
+
+        The squares rise by 2 * gain * (target's fill + gain - source's fill), which must be positive.
+        """
+        fill, top = self.fill, out + self.capacity - self.fill[target]
+        left = values.occur & ((1 << (top + 1)) - 1)
+        while (value := left.bit_length() - 1) > out + least:
+            reached = fill[target] + value - out
+            for k in values.bins[value]:
+                if k != target and fill[k] < reached:
+                    return value, k
+            left ^= 1 << value
+        return None
+
+    def _take(self, k: int, value: int, twice: bool) -> list[int]:
+        """Remove one piece or two of that length in all from a bin."""
+        members, size = self.members[k], self.size
+        if not value:
+            return []
+        if not twice:
+            found = [next(p for p in members if size[p] == value)]
+        else:
+            by_length: dict[int, int] = {}
+            for p in members:
+                if value - size[p] in by_length:
+                    found = [by_length[value - size[p]], p]
+                    break
+                by_length[size[p]] = p
+        for p in found:
+            members.remove(p)
+        self.fill[k] -= value
+        return found
+
+    def step(self, target: int) -> bool:
+        """The exchange that makes the target fullest: a move, one for one, one for two, two for one."""
+        if target not in self.shown:
+            return False
+        ones, twos = self.shown[target]
+        best, gain, room = None, 0, self.capacity - self.fill[target]
+        for out, twice_out in [(0, False), *((v, False) for v in ones), *((v, True) for v in twos)]:
+            for values in (self.single,) if twice_out else (self.single, self.double):
+                if found := self._source(values, target, out, gain):
+                    best, gain = (found, values is self.double, out, twice_out), found[0] - out
+                    if gain == room:
                         break
-        work = [(f, b) for f, b in targets]
-        closed += [b for f, b in work if f == capacity]
-        work = sorted(((f, b) for f, b in work if f < capacity), key=lambda x: x[0])
-        if source:
-            aside.append((low, source))
-    return closed + [b for _, b in work] + [b for _, b in aside]
+            if gain == room:
+                break
+        if best is None:
+            return False
+        (value, source), twice_in, out, twice_out = best
+        given, back = self._take(source, value, twice_in), self._take(target, out, twice_out)
+        self.members[target] += given
+        self.members[source] += back
+        self.fill[target] += value
+        self.fill[source] += out
+        self._show(source)
+        self._show(target)
+        return True
 
 
-def _step(source: list[int], low: int, target: list, size: list[int], capacity: int) -> int | None:
-    """The best single step from ``source`` into ``target``: move, one for one, one for two.
+def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Local search over underfull bins; see the module. Full bins stay as they are.
 
-    A step must leave the target fuller than both bins were, so that squares rise. Returns the
-    source's new fill, or None without a step.
+    Every step raises the sum of squared fills, so that the search ends. A step looks at the distinct
+    lengths of a bin, and in the index at those that occur, not at other bins one by one.
     """
-    fill, members = target
-    free = capacity - fill
-    if free == 0:
-        return None
-    best = (0, None, ())
-    own = [size[p] for p in members]
-    for mine in source:
-        s = size[mine]
-        if s <= free:
-            if s > best[0]:
-                best = (s, mine, ())
-            continue
-        # One for one: give back a member of at least s - free places, the shortest such.
-        at = bisect_left(own, s - free)
-        if at < len(own) and 0 < s - own[at] and s - own[at] > best[0]:
-            best = (s - own[at], mine, (members[at],))
-        # Two members whose sum is at least s - free, and as little above as can be.
-        i, j = 0, len(own) - 1
-        while i < j:
-            both = own[i] + own[j]
-            if both >= s - free:
-                if s > both and s - both > best[0]:
-                    best = (s - both, mine, (members[i], members[j]))
-                j -= 1
-            else:
-                i += 1
-    gain, mine, back = best
-    # The squares rise if the target, fuller by ``gain``, was not the emptier one by more than that.
-    if mine is None or fill + gain <= low:
-        return None
-    source.remove(mine)
-    for p in back:
-        members.remove(p)
-        insort(source, p, key=lambda q: size[q])
-    insort(members, mine, key=lambda q: size[q])
-    target[0] = fill + gain
-    return low - gain
+    search = _Search([list(b) for b in bins], lengths.tolist(), capacity)
+    improved = True
+    while improved:
+        improved = False
+        # The fullest first: what it gains comes from emptier ones.
+        for k in sorted(search.shown, key=lambda k: (-search.fill[k], k)):
+            while search.step(k):
+                improved = True
+    return [b for b in search.members.values() if b]
 
 
 def pack_group(lengths: np.ndarray, capacity: int) -> list[list[int]]:

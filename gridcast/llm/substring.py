@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -217,11 +218,8 @@ def profile(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Names that several documents have, with the least of these and the number of rows."""
-    return (
-        rows.groupBy(*by).agg(F.min("rank").alias("lead"), F.max("rank").alias("last"), F.count(F.lit(1)).alias("n_rows"))
-        .filter("lead < last").drop("last")
-    )
+    """Names that occur again, with the least document that has them and the number of rows."""
+    return rows.groupBy(*by).agg(F.min("rank").alias("lead"), F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
 def repeated_windows(docs: DataFrame, profiled: DataFrame, window: int, limits: Limits = LIMITS) -> DataFrame:
@@ -241,8 +239,10 @@ def repeated_windows(docs: DataFrame, profiled: DataFrame, window: int, limits:
         candidates.mapInArrow(_extend(window), "doc_id long, text_key long, pos int, a long, b long"), "double-windows"
     )
     ranked = long.withColumn("rank", _rank())
+    # Windows are as many as words: their join is shuffled at every size.
+    shuffled = replace(limits, broadcast_bytes=0)
     return (
-        attach(ranked, _repeated(ranked, ["a", "b"]), ["a", "b"], "inner", limits, rows="n_rows")
+        attach(ranked, _repeated(ranked, ["a", "b"]), ["a", "b"], "inner", shuffled, rows="n_rows")
         .filter("rank > lead")
         .groupBy(*KEY).agg(F.collect_set("pos").alias("places"))
     )

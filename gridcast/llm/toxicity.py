@@ -73,7 +73,7 @@ def features(col: pa.Array) -> dict[str, np.ndarray]:
     lane = tx.lanes_view(data)[starts]
     for k in PREFIXES:
         has = np.flatnonzero(size > k)
-        found.append(tx.mix((lane[has] & tx.LANE[k]) + np.uint64(k) * tx._GOLDEN))
+        found.append(tx.mix((lane[has] & tx.LANE[k]) + tx.mix(np.array([k], np.uint64))))
         places.append(has)
     feature, word = np.concatenate(found), np.concatenate(places)
     sentences, first_word, sentence_of = np.unique(number, return_index=True, return_inverse=True)

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -75,3 +77,55 @@ def test_exchanges_save_a_bin_that_best_fit_needs():
     assert sizes.sum() == 30
     start = [[0, 5], [2, 1], [3, 4], [6]]
     assert len(packing.improve(start, sizes, 10)) == 3
+
+
+@pytest.mark.parametrize("low,high", [(650, 760), (500, 1000), (300, 1100)])
+def test_search_needs_fewer_bins_than_best_fit(low, high):
+    sizes = np.random.default_rng(1).integers(low, high + 1, 3000)
+    first = packing.best_fit(sizes, 2048)
+    better = packing.pack_group(sizes, 2048)
+    assert sorted(p for b in better for p in b) == list(range(3000))
+    assert all(sizes[b].sum() <= 2048 for b in better)
+    assert len(better) < len(first) - 10
+
+
+def fewest(sizes, capacity):
+    """The least number of bins, by trying every way."""
+
+    @lru_cache(None)
+    def best(left):
+        if not left:
+            return 0
+        first, rest = left[0], left[1:]
+        fills = {(first, rest)}
+        for _ in rest:
+            for fill, others in list(fills):
+                for i, x in enumerate(others):
+                    if fill + x <= capacity:
+                        fills.add((fill + x, others[:i] + others[i + 1 :]))
+        return 1 + min(best(others) for _, others in fills)
+
+    return best(tuple(sorted(sizes, reverse=True)))
+
+
+def test_search_is_near_the_optimum_of_small_instances():
+    rng = np.random.default_rng(11)
+    over = []
+    for _ in range(60):
+        sizes = rng.integers(1, 11, 8)
+        found = packing.pack_group(sizes, 12)
+        over.append(len(found) - fewest(sizes.tolist(), 12))
+    assert min(over) == 0 and sum(over) <= 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 40), min_size=2, max_size=40))
+def test_every_step_raises_the_squares(lengths):
+    search = packing._Search([[i] for i in range(len(lengths))], lengths, 40)
+    squares = sum(f * f for f in search.fill.values())
+    for k in range(len(lengths)):
+        while search.step(k):
+            now = sum(f * f for f in search.fill.values())
+            assert now > squares
+            squares = now
+    assert all(search.fill[k] == sum(lengths[p] for p in b) for k, b in search.members.items())
