@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from gridcast.functions.columns import version_label
 from gridcast.operators.weights import sample_weight
 from gridcast.params import Params
 from gridcast.schemas import FEATURES
-from gridcast.sources.readers import path_exists
+from gridcast.sources.readers import file_system
 
 INPUTS = (*FEATURES, "compound_idx")
 WIN = "1"
@@ -116,22 +118,30 @@ class Fitted:
 
 
 def fit(
-    train: DataFrame, p: Params, kind: str = "forest", refit: bool = True, leak_below: int = 0
+    train: DataFrame,
+    p: Params,
+    kind: str = "forest",
+    refit: bool = True,
+    leak_below: int = 0,
+    evaluate: bool = True,
 ) -> Fitted:
     """Fit on the earlier rounds, score the latest one, then refit on everything.
 
     ``train`` is a :func:`training_frame` read several times: land it first. Without
     earlier rounds there is nothing to evaluate on: all rows are used and ``holdout`` is
-    None. With fewer earlier rows than ``leak_below`` everything is fitted on and the latest
+    None; with ``evaluate=False`` that is so in any case, and there is one fit only.
+    With fewer earlier rows than ``leak_below`` everything is fitted on and the latest
     round scored all the same, which is marked as leaked.
     """
     indexer = index_labels(train)
     indexed = indexer.transform(train)
+    pipeline = build_pipeline(kind, p)
+    labels = tuple(indexer.labels)
+    if not evaluate:
+        return Fitted(pipeline.fit(indexed), labels)
     sizes = {r["split"]: r["n"] for r in train.groupBy("split").agg(F.count("*").alias("n")).collect()}
     earlier = sizes.get("fit", 0)
     leaked = earlier < leak_below
-    pipeline = build_pipeline(kind, p)
-    labels = tuple(indexer.labels)
     if not earlier and not leaked:
         return Fitted(pipeline.fit(indexed), labels)
     evaluated = pipeline.fit(indexed if leaked else indexed.filter(F.col("split") == "fit"))
@@ -140,20 +150,79 @@ def fit(
     return Fitted(final, labels, holdout, leaked)
 
 
+def position_of(number: Column, labels: Sequence[str]) -> Column:
+    """The finishing position a class number stands for; NULL for a number without one."""
+    return F.get(F.array(*[F.lit(int(x)) for x in labels]), number.cast("int"))
+
+
 def score(model: PipelineModel, df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Class probabilities, and the predicted class as a finishing position."""
-    places = F.array(*[F.lit(int(x)) for x in labels])
-    return model.transform(df).withColumn(
-        "pred_pos_lap", F.get(places, F.col("prediction").cast("int"))
-    )
+    return model.transform(df).withColumn("pred_pos_lap", position_of(F.col("prediction"), labels))
 
 
 def win_probability(scored: DataFrame, labels: Sequence[str], win: str = WIN) -> DataFrame:
-    """Probability of the class whose label is ``win``; a missing class is an error."""
+    """Probability of the class whose label is ``win``; a missing class is an error.
+
+    ``probability`` is the model's vector, or an array of the classes' probabilities.
+    """
     if win not in labels:
         raise ValueError(f"no row with position {win} in the training data: no win probability")
     slot = list(labels).index(win)
-    return scored.withColumn("win_prob_lap", F.get(vector_to_array("probability"), F.lit(slot)))
+    is_array = isinstance(scored.schema["probability"].dataType, ArrayType)
+    shares = F.col("probability") if is_array else vector_to_array("probability")
+    return scored.withColumn("win_prob_lap", F.get(shares, F.lit(slot)))
+
+
+def holdout_rows(scored: DataFrame, *keys: str) -> DataFrame:
+    """Actual and predicted position of the scored rows side by side, and how far they are apart."""
+    actual, predicted = F.col("position").cast("int"), F.col("pred_pos_lap")
+    return scored.select(
+        *keys, actual.alias("actual_position"), predicted.alias("predicted_position"),
+        F.abs(predicted - actual).alias("off_by"), (predicted == actual).alias("hit"),
+        (F.abs(predicted - actual) <= 2).alias("within_2"),
+    )
+
+
+def logistic_gradient(
+    scored: DataFrame, inputs: Sequence[str], label: str = "label", weight: str = "sample_weight"
+) -> DataFrame:
+    """Gradient of the weighted multinomial loss: one row per class, one column per input.
+
+    ``scored`` has the classes' probabilities as an array and the inputs as columns. For each row
+    and class it is the outer product of probability less truth and the inputs, added up in one
+    pass; what is shuffled has as many rows a task as there are classes.
+    """
+    share = F.posexplode("probability").alias("class", "p")
+    rest = F.col("p") - (F.col("class") == F.col(label)).cast("double")
+    long = scored.select(*inputs, F.col(label).alias(label), F.col(weight).alias("_w"), share).withColumn("_rest", F.col("_w") * rest)
+    sums = [F.sum(F.col("_rest") * F.col(c)).alias(c) for c in inputs]
+    added = long.groupBy("class").agg(F.sum("_rest").alias("intercept"), *sums, F.sum("_w").alias("_weight"))
+    return added.select("class", *[(F.col(c) / F.col("_weight")).alias(c) for c in ("intercept", *inputs)])
+
+
+def penalty_gradient(
+    spark: SparkSession, fitted: Fitted, frame: DataFrame, inputs: Sequence[str], weight: str = "sample_weight"
+) -> DataFrame:
+    """What the penalty of the fitted coefficients adds to :func:`logistic_gradient`.
+
+    Coefficients are penalised per standard deviation of their input; the intercepts are not.
+    The coefficients are as many as classes times inputs and come from the model itself.
+    """
+    learner = fitted.model.stages[-1]
+    w = F.col(weight)
+    total = F.sum(w) - F.sum(w * w) / F.sum(w)
+    spread = [
+        ((F.sum(w * F.col(c) * F.col(c)) - F.sum(w * F.col(c)) * F.sum(w * F.col(c)) / F.sum(w)) / total).alias(c)
+        for c in inputs
+    ]
+    matrix = learner.coefficientMatrix.toArray()
+    rows = [(k, *map(float, line)) for k, line in enumerate(matrix)]
+    coefficients = spark.createDataFrame(rows, "class int, " + ", ".join(f"_{c} double" for c in inputs))
+    variances = frame.agg(*spread)
+    price = learner.getOrDefault("regParam")
+    return coefficients.select(
+        "class", *[(F.lit(price) * F.col(f"_{c}") * variances.select(c).scalar()).alias(c) for c in inputs]
+    )
 
 
 def _hit(predicate: Column) -> Column:
@@ -192,32 +261,56 @@ def importance_table(
     return df.orderBy(F.desc("importance"), "feature")
 
 
+# A save that is still being written, and a model of this run that is not published.
+_UNFINISHED = "_"
+
+
 def save_model(fitted: Fitted, root: str, version: str) -> str:
-    """Model folder per version, with the class order next to it; replaces an earlier save."""
-    path = f"{root}/{version}"
-    fitted.model.write().overwrite().save(path)
+    """Save pipeline and class order as one model, and publish it by one rename.
+
+    The class order is the pipeline's last stage. A version's saves are numbered; a new one is
+    written under a name that nobody reads, renamed to the next number, and only then are the
+    earlier ones removed. So at any moment a reader finds a whole model.
+    """
     spark = SparkSession.active()
-    classes = [(i, label) for i, label in enumerate(fitted.labels)]
-    (
-        spark.createDataFrame(classes, "class int, position string")
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{root}/{version}_classes")
-    )
+    names = IndexToString(inputCol="prediction", outputCol="pred_position", labels=list(fitted.labels))
+    whole = PipelineModel([*fitted.model.stages, names])
+    folder = f"{root}/{version}"
+    staged = f"{folder}/{_UNFINISHED}{uuid.uuid4().hex}"
+    whole.write().save(staged)
+    fs, paths = file_system(spark, folder)
+    earlier = _saves(spark, folder)
+    path = f"{folder}/{(earlier[-1] if earlier else 0) + 1:06d}"
+    if not fs.rename(paths(staged), paths(path)):
+        raise OSError(f"cannot publish {staged} as {path}")
+    for number in earlier:
+        fs.delete(paths(f"{folder}/{number:06d}"), True)
     return path
 
 
+def _saves(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of a version's published saves, in order."""
+    fs, paths = file_system(spark, folder)
+    if not fs.exists(paths(folder)):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(paths(folder))]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
 def resolve_model(spark: SparkSession, root: str, round_number: int) -> tuple[str, str]:
-    """(version, path) to predict with: the weekend's own model, else the base one."""
+    """(version, path) to predict with: the weekend's own model, else the base one.
+
+    Only published saves count; one whose writing broke off is not found.
+    """
     versions = [f"{kind}_r{round_number:02d}" for kind in ("qualifying", "base")]
     for version in versions:
-        if path_exists(spark, f"{root}/{version}"):
-            return version, f"{root}/{version}"
+        if saves := _saves(spark, f"{root}/{version}"):
+            return version, f"{root}/{version}/{saves[-1]:06d}"
     raise FileNotFoundError(f"no model for round {round_number} in {root}: looked for {versions}")
 
 
-def load_model(spark: SparkSession, root: str, version: str) -> Fitted:
-    classes = spark.read.schema("class int, position string").parquet(f"{root}/{version}_classes")
-    # One row per finishing position.
-    labels = tuple(r["position"] for r in classes.orderBy("class").collect())
-    return Fitted(PipelineModel.load(f"{root}/{version}"), labels)
+def load_model(path: str) -> Fitted:
+    """A saved model by its path, as :func:`resolve_model` or :func:`save_model` give it."""
+    whole = PipelineModel.load(path)
+    *stages, names = whole.stages
+    return Fitted(PipelineModel(stages), tuple(names.getLabels()))

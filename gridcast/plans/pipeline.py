@@ -115,8 +115,8 @@ def predict(
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """Score and rank the event, store the predictions, export the document."""
-    version, _ = model.resolve_model(spark, paths.models, p.round_number)
-    fitted = model.load_model(spark, paths.models, version)
+    version, path = model.resolve_model(spark, paths.models, p.round_number)
+    fitted = model.load_model(path)
     gold = _season(spark, p, paths)
     current = gold.filter(F.col("event") == p.event)
     if current.isEmpty():

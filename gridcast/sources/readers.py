@@ -9,11 +9,15 @@ from pyspark.sql.types import StructType
 from gridcast.schemas import LAPS, RESULTS
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that ``path`` is in, and the constructor of its paths."""
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return paths(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), paths
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return target.getFileSystem(conf).exists(target)
+    fs, paths = file_system(spark, path)
+    return fs.exists(paths(path))
 
 
 def spread(df: DataFrame, *row_id: str) -> DataFrame:

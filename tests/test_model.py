@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,12 +107,18 @@ def test_save_resolve_load(spark, gold, fitted, tmp_path):
     root = str(tmp_path / "models")
     with pytest.raises(FileNotFoundError):
         model.resolve_model(spark, root, 3)
-    model.save_model(fitted, root, "base_r03")
-    assert model.resolve_model(spark, root, 3) == ("base_r03", f"{root}/base_r03")
+    first = model.save_model(fitted, root, "base_r03")
+    assert model.resolve_model(spark, root, 3) == ("base_r03", first)
     model.save_model(fitted, root, "qualifying_r03")
-    model.save_model(fitted, root, "qualifying_r03")
-    assert model.resolve_model(spark, root, 3)[0] == "qualifying_r03"
-    loaded = model.load_model(spark, root, "base_r03")
+    again = model.save_model(fitted, root, "qualifying_r03")
+    assert model.resolve_model(spark, root, 3) == ("qualifying_r03", again)
+    assert [p.name for p in (tmp_path / "models" / "qualifying_r03").iterdir()] == ["000002"]
+    # A save that broke off is not found, whatever it has so far.
+    half = tmp_path / "models" / "qualifying_r04" / "_half"
+    shutil.copytree(again, half)
+    with pytest.raises(FileNotFoundError):
+        model.resolve_model(spark, root, 4)
+    loaded = model.load_model(first)
     assert loaded.labels == fitted.labels
     frame = model.impute_numeric(gold)
     a, b = (model.score(m.model, frame, m.labels).select("probability").collect() for m in (fitted, loaded))
