@@ -43,6 +43,8 @@ from gridcast.store import land
 
 _EMPTY = np.uint32(0xFFFFFFFF)
 _STEP_BITS = 24
+# Texts that are worked on at once.
+SLICE_BYTES = 1 << 20
 # Tells distinct shingle sets apart.
 _CLASS = ["set_a", "set_b", "n_shingles"]
 
@@ -131,7 +133,7 @@ def shingle_sets(col: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, int
 
 def _sign(how: Near) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "text"):
+        for part in tx.slices(batches, "text", SLICE_BYTES):
             shingles, texts, n = shingle_sets(part.column(2), how.words)
             size = np.bincount(texts, minlength=n)
             key = np.zeros((2, n), np.uint64)
@@ -369,7 +371,7 @@ def _sets(how: Near) -> Callable:
             yield batch.take(pa.array(new, pa.int64())) if len(new) < batch.num_rows else batch
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(once(batches), "text"):
+        for part in tx.slices(once(batches), "text", SLICE_BYTES):
             shingles, texts, n = shingle_sets(part.column(1), how.words)
             ends = (np.concatenate([[0], np.cumsum(np.bincount(texts, minlength=n))]) * 8).astype(np.int64)
             raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(shingles)])

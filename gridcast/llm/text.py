@@ -8,6 +8,7 @@ different runs do with a chance of 2**-64. :func:`distinct_runs` compares the by
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -54,7 +55,11 @@ def powers(n: int) -> np.ndarray:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the ``column`` of a slice has about ``size`` bytes; a longer text is alone."""
+    """Cut batches so that the ``column`` of a slice has about ``size`` bytes; a longer text is alone.
+
+    After the last one the worker gives back the memory that its allocators keep: it stays for
+    later tasks, next to those of other operators.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -66,6 +71,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYT
             stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch, col
+    give_back()
+
+
+def give_back() -> None:
+    """Return unused memory of Arrow's pool and, where the C library can, of the heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def lengths(col: pa.Array) -> np.ndarray:

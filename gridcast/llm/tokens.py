@@ -17,7 +17,7 @@ import pyarrow as pa
 from gridcast.llm import text as tx
 from gridcast.llm.bpe import byte_letters
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Distinct pieces a task remembers between slices; beyond that it starts anew.
 REMEMBERED = 150_000
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
 from gridcast.llm.rows import text_key
+from gridcast.store import land
 
 # Texts that are worked on at once: their arrays take some 40 times their bytes.
 SLICE_BYTES = 1 << 20
@@ -179,7 +180,41 @@ def train(docs: DataFrame, labels: DataFrame, how: Training | None = None) -> Mo
     """Learn from the labelled documents; what comes to the driver is bounded by ``how``."""
     how = how or Training()
     share = labels.filter("toxic in (0, 1)").agg(F.avg("toxic")).first()[0]
-    return fit(sample(docs, labels, how).toArrow(), how, share or 0.0)
+    return fit(_useful(land(sample(docs, labels, how), "bags"), how).toArrow(), how, share or 0.0)
+
+
+def _useful(bags: DataFrame, how: Training) -> DataFrame:
+    """``bags`` without the features that can't earn a weight, which are nearly all; see :func:`fit`."""
+    toxic, clean = bags.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
+    found = (
+        bags.select("toxic", F.explode(F.array_distinct("features")).alias("feature"))
+        .groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+        .filter((F.col("t") >= how.min_toxic) & (F.col("t") * clean > F.col("c") * toxic))
+    )
+    # At most as many as the toxic documents of the sample have, that is a bounded number.
+    wanted = np.sort(found.select("feature").toArrow()["feature"].to_numpy())
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features_, sizes = batch.column(1), batch.column(2)
+            flat, counts = features_.flatten().to_numpy(), sizes.flatten().to_numpy()
+            keep = np.isin(flat, wanted)
+            sentence = np.repeat(np.arange(len(counts)), counts)[keep]
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(features_.offsets.to_numpy()))[keep]
+            left = np.bincount(doc, minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(left)]).astype(np.int32)), pa.array(flat[keep])),
+                    pa.ListArray.from_arrays(
+                        pa.array((sizes.offsets.to_numpy() - sizes.offsets.to_numpy()[0]).astype(np.int32)),
+                        pa.array(np.bincount(sentence, minlength=len(counts)).astype(np.int32)),
+                    ),
+                ],
+                ["toxic", "features", "sizes"],
+            )
+
+    return bags.mapInArrow(run, "toxic int, features array<long>, sizes array<int>")
 
 
 def sentence_scores(model: Model, got: dict[str, np.ndarray]) -> np.ndarray:
