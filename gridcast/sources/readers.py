@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gridcast.operators.sizing import measure
+from gridcast.params import LIMITS
 from gridcast.schemas import LAPS, RESULTS
+from gridcast.sources.mixed_csv import read_csv_layouts
 
 
 def file_system(spark: SparkSession, path: str):
@@ -36,19 +41,13 @@ def read_laps(
     """Landed lap files (parquet, json, csv or orc) under a declared schema.
 
     Folders named ``key=value`` below ``path`` become partition columns. CSV columns are found
-    by the names in their header: a missing one is NULL, and so is text that is not of its type;
-    columns that are not declared are left out.
+    by the names in each file's own header: a missing one is NULL, and so is text that is not of
+    its type; columns that are not declared are left out. Broken CSV records are left out here and
+    found in :func:`mixed_csv.read_csv_layouts`'s quarantine.
     """
-    if fmt != "csv":
-        return spark.read.schema(schema).format(fmt).load(path)
-    text = spark.read.option("header", True).csv(path)
-    there = {c.lower() for c in text.columns}
-    return text.select(
-        *[
-            (F.col(f"`{f.name}`") if f.name.lower() in there else F.lit(None)).try_cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    if fmt == "csv":
+        return read_csv_layouts(spark, path, schema).rows
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def read_results(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -76,6 +75,20 @@ def read_table(
     return df if where is None else df.filter(where)
 
 
+def read_chosen(
+    spark: SparkSession, path: str, schema: StructType, chosen: DataFrame, on: Sequence[str] = ("season", "event")
+) -> DataFrame:
+    """Rows of the partitions that another table names, e.g. a filtered calendar.
+
+    ``on`` are partition columns. ``chosen`` should be a filtered table: its condition is what lets
+    the scan skip folders at run time. It is measured first and broadcast if it is short; nothing
+    of it comes to the driver.
+    """
+    side = chosen.select(*on).distinct()
+    short = F.broadcast(side) if measure(side, "chosen").bytes <= LIMITS.broadcast_bytes else side
+    return spark.read.schema(schema).parquet(path).join(short, list(on), "left_semi")
+
+
 def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Like :func:`read_table`, but a table not written yet is a typed empty one.
 

@@ -194,3 +194,123 @@ def test_replace_where_keeps_columns_of_later_files(spark, tmp_path):
     spark.createDataFrame([(2, "b", 7)], "k int, v string, extra int").coalesce(1).write.mode("append").parquet(path)
     tables.replace_where(spark, path, spark.createDataFrame([(1, "c")], "k int, v string"), F.col("k") == 1)
     assert {tuple(r) for r in spark.read.parquet(path).select("k", "v", "extra").collect()} == {(1, "c", None), (2, "b", 7)}
+
+
+def _where_table(spark, path):
+    rows = [(k, f"v{k}") for k in range(40)]
+    spark.createDataFrame(rows, "k int, v string").repartitionByRange(4, "k").write.parquet(path)
+    return rows, {f for f in os.listdir(path) if f.endswith(".parquet")}
+
+
+def _pairs(spark, path):
+    return sorted(tuple(r) for r in spark.read.schema("k int, v string").parquet(path).collect())
+
+
+def test_replace_where_touches_only_files_that_are_hit(spark, path):
+    rows, before = _where_table(spark, path)
+    new = spark.createDataFrame([(3, "new"), (4, "new")], "k int, v string")
+    hit = tables.replace_where(spark, path, new, (F.col("k") >= 3) & (F.col("k") < 6), new.schema)
+    after = {f for f in os.listdir(path) if f.endswith(".parquet")}
+    assert len(hit) == 1 and before - after == set(hit)
+    assert _pairs(spark, path) == sorted([r for r in rows if r[0] not in (3, 4, 5)] + [(3, "new"), (4, "new")])
+    assert not [f for f in os.listdir(path) if f.startswith(("_staged", "_commit"))]
+    # Nothing to replace: rows are added, no file is touched.
+    assert tables.replace_where(spark, path, new.filter("k = 99"), F.col("k") == 99, new.schema) == []
+    assert after <= set(os.listdir(path))
+
+
+@pytest.mark.parametrize("crash", ["write", "draft", "rename", "remove", "add0", "add1", "note"])
+def test_replace_where_recovers_from_a_crash_at_any_step(spark, path, crash, monkeypatch):
+    rows, _ = _where_table(spark, path)
+    new = spark.createDataFrame([(k, "new") for k in range(5, 25)], "k int, v string").repartition(3)
+    where = (F.col("k") >= 5) & (F.col("k") < 25)
+    done = sorted([r for r in rows if not 5 <= r[0] < 25] + [(k, "new") for k in range(5, 25)])
+
+    class Stop(Exception):
+        pass
+
+    def fail(*args):
+        raise Stop
+
+    real = tables._steps
+    if crash == "write":
+        monkeypatch.setattr(tables, "_commit", fail)
+    elif crash == "draft":
+        monkeypatch.setattr(tables, "_write_text", fail)
+    elif crash == "rename":
+        monkeypatch.setattr(tables, "_steps", fail)
+    else:
+
+        def partly(spark, path, note):
+            # The steps in order, and nothing after the one named.
+            part = {**note, "add": {"remove": [], "add0": note["add"][:1], "add1": note["add"][:2]}.get(crash, note["add"])}
+            fs, paths = tables.file_system(spark, path)
+            keep = f"{path}/{tables._NOTE}{note['run']}.json"
+            text, staged = tables._read_text(spark, keep), f"{path}/{tables._STAGED}{note['run']}"
+            fs.rename(paths(staged), paths(f"{path}/_kept"))
+            part["add"] = [[new_.replace(f"{tables._STAGED}{note['run']}", "_kept"), place] for new_, place in part["add"]]
+            real(spark, path, part)
+            fs.rename(paths(f"{path}/_kept"), paths(staged))
+            tables._write_text(spark, keep, text)
+            raise Stop
+
+        monkeypatch.setattr(tables, "_steps", partly)
+    with pytest.raises(Stop):
+        tables.replace_where(spark, path, new, where, new.schema)
+    monkeypatch.undo()
+    if crash in ("write", "draft"):
+        assert _pairs(spark, path) == sorted(rows)
+    tables.recover(spark, path)
+    assert _pairs(spark, path) == (sorted(rows) if crash in ("write", "draft") else done)
+    tables.replace_where(spark, path, new, where, new.schema)
+    assert _pairs(spark, path) == done
+    assert not [f for f in os.listdir(path) if f.startswith(("_staged", "_commit"))]
+
+
+POSITIVE = tables.Check("n is positive", "n <= 0")
+
+
+def test_verified_replace_swaps_whole_partitions(spark, path):
+    report = tables.verified_replace(table(spark, *ROWS), path, KEYS, [POSITIVE], "first")
+    assert [tuple(r) for r in report.collect()] == [("first", "n is positive", 3, 0)]
+    for _ in range(2):
+        tables.verified_replace(table(spark, (2026, "A", "R", 9)), path, KEYS, [POSITIVE], "again", {"season": 2026, "event": "A"})
+        assert content(spark, path) == [(2026, "A", "R", 9), ROWS[2]]
+    tables.verified_replace(table(spark).filter("n > 0"), path, KEYS, [POSITIVE], "none", {"season": 2026, "event": "A"})
+    assert content(spark, path) == [ROWS[2]]
+
+
+@pytest.mark.parametrize("bad", [(2026, "A", "R", -1), (2026, "B", "R", 5), (2026, None, "R", 5)])
+def test_a_breach_never_replaces_a_good_partition(spark, path, bad):
+    tables.verified_replace(table(spark, *ROWS), path, KEYS, [POSITIVE], "first")
+    where = {"season": 2026, "event": "A"}
+    with pytest.raises(tables.BreachError) as e:
+        tables.verified_replace(table(spark, (2026, "A", "R", 9), bad), path, KEYS, [POSITIVE], "second", where)
+    assert content(spark, path) == sorted(ROWS)
+    assert sorted(r.breaches for r in e.value.report.collect()) == [0, 1]
+    aside = spark.read.parquet(e.value.aside).select(*SCHEMA.replace(",", "").split()[::2]).collect()
+    assert [tuple(r) for r in aside] == [bad]
+
+
+def test_widened(spark, path):
+    first = spark.createDataFrame([(1, 1.5, "a", 7)], "season int, x float, s string, gone int").withColumn("k", F.lit(1).cast("byte"))
+    first.write.partitionBy("season").parquet(path)
+    later = spark.createDataFrame([(2, 1e300, "b", 1 << 40)], "season int, x double, s string, k long")
+    later.write.mode("append").partitionBy("season").parquet(path)
+    out = tables.read_widened(spark, path)
+    assert dict(out.dtypes) == {"x": "double", "s": "string", "gone": "int", "k": "bigint", "season": "int"}
+    assert {(r.season, r.x, r.s, r.gone, r.k) for r in out.collect()} == {(1, 1.5, "a", 7, 1), (2, 1e300, "b", None, 1 << 40)}
+    spark.createDataFrame([(3, "no number")], "season int, k string").write.mode("append").partitionBy("season").parquet(path)
+    with pytest.raises(ValueError, match="wider"):
+        tables.read_widened(spark, path)
+
+
+def test_wider_types():
+    from pyspark.sql import types as T
+
+    kinds = {"b": T.ByteType(), "i": T.IntegerType(), "l": T.LongType(), "f": T.FloatType(), "d": T.DoubleType(), "s": T.StringType()}
+    for pair, want in {"bi": "i", "il": "l", "fd": "d", "if": "d", "bd": "d", "ss": "s"}.items():
+        assert tables.wider(kinds[pair[0]], kinds[pair[1]]) == tables.wider(kinds[pair[1]], kinds[pair[0]]) == kinds[want]
+    for pair in ("ld", "is"):
+        with pytest.raises(ValueError):
+            tables.wider(kinds[pair[0]], kinds[pair[1]])

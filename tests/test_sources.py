@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from gridcast.params import SESSION_TYPES, Params
 from gridcast.schemas import LAPS, RESULTS
-from gridcast.sources import conform, fixture, readers
+from gridcast.sources import conform, fixture, mixed_csv, readers
 
 P = Params(2026, "GP", 2)
 
@@ -158,3 +158,60 @@ def test_laps_do_not_depend_on_the_columns_asked_for(spark, tmp_path):
     lost = lineitem.filter(orphan).count()
     assert lost and narrow.count() == wide.count() == lineitem.count()
     assert wide.filter("Team is null").count() == lost
+
+
+def test_csv_files_of_several_layouts(spark, tmp_path):
+    files = {
+        "season=2026/a.csv": "Driver,Team,LapNumber,LapTime\nNOR,McLaren,1,80.5\nVER,Red Bull,2\nLEC,\"Ferrari, Scuderia\",x,81\n",
+        "season=2026/b.csv": "Team,Driver,Extra,LapNumber\n\nMcLaren,PIA,q,3\nMcLaren,PIA,q,4,5\n\n",
+        "season=2025/c.csv": "Team,Driver,Extra,LapNumber\nHaas,BEA,,\n",
+        "season=2025/d.csv": "Driver,Team\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    got = mixed_csv.read_csv_layouts(spark, str(tmp_path), LAPS)
+    assert got.rows.schema.simpleString() == LAPS.simpleString()
+    rows = {(r.Driver, r.Team, r.LapNumber, r.LapTime, r.season) for r in got.rows.collect()}
+    assert rows == {
+        ("NOR", "McLaren", 1, 80.5, 2026), ("LEC", "Ferrari, Scuderia", None, 81.0, 2026),
+        ("PIA", "McLaren", 3, None, 2026), ("BEA", "Haas", None, None, 2025),
+    }
+    bad = {(r.file.rsplit("/", 1)[1], r.line, r.record, r.reason) for r in got.quarantine.collect()}
+    assert bad == {("a.csv", 3, "VER,Red Bull,2", "not 4 fields"), ("b.csv", 4, "McLaren,PIA,q,4,5", "not 4 fields")}
+    assert readers.read_laps(spark, str(tmp_path), "csv").count() == 4
+    one = mixed_csv.read_csv_layouts(spark, str(tmp_path / "season=2025" / "d.csv"), LAPS)
+    assert one.rows.isEmpty() and one.quarantine.isEmpty()
+
+
+def test_line_numbers_count_over_blocks(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("a\n" + "".join(f"{k}{'x' * (k % 50)}\n" for k in range(2, 4001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        read = mixed_csv.lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() >= 1
+        wrong = read.filter((F.col("line") > 1) & (F.regexp_extract("value", r"^\d+", 0) != F.col("line").cast("string")))
+        assert read.count() == 4000 and wrong.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_another_table_prunes_folders(spark, tmp_path):
+    path = str(tmp_path / "laps")
+    rows = [(2026, f"GP{k}", k) for k in range(1, 9)]
+    spark.createDataFrame(rows, "season int, event string, n int").write.partitionBy("season", "event").parquet(path)
+    calendar = spark.createDataFrame([(2026, f"GP{k}", k) for k in range(1, 12)], "season int, event string, round int")
+    schema = spark.read.parquet(path).schema
+    out = readers.read_chosen(spark, path, schema, calendar.filter("round >= 7"))
+    assert {r.n for r in out.collect()} == {7, 8}
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
+    # Files of the other folders are not opened: they may hold anything.
+    for k in range(1, 7):
+        folder = tmp_path / "laps" / "season=2026" / f"event=GP{k}"
+        for f in folder.glob("*"):
+            f.unlink()
+        (folder / "part-0.parquet").write_text("not parquet")
+    assert {r.n for r in readers.read_chosen(spark, path, schema, calendar.filter("round >= 7")).collect()} == {7, 8}
+    with pytest.raises(Exception):
+        readers.read_chosen(spark, path, schema, calendar.filter("round >= 6")).collect()
