@@ -55,6 +55,69 @@ def feature_summary(
     return summary.select("feature", "n", "mean", "stddev", "min", "p25", "p75", "max")
 
 
+# Size of a quantile sketch, and how far the rank of what it says is off at most (in shares of the
+# rows; with this size the usual error is a fourth of it).
+SKETCH_SIZE, RANK_ERROR = 1000, 0.01
+
+
+def summary_state(df: DataFrame, by: Sequence[str], cols: Sequence[str] = FEATURES) -> DataFrame:
+    """Mergeable figures and quantile sketches: one row per group (e.g. a round) and column.
+
+    A row has a few kilobytes however many values went into it. Later rounds add rows; no value is
+    read again.
+    """
+
+    def figures(c: str) -> Column:
+        value = F.col(c).cast("double")
+        return F.struct(
+            F.count(value).alias("n"),
+            F.avg(value).alias("mean"),
+            (F.var_pop(value) * F.count(value)).alias("spread"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+            F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE)).alias("sketch"),
+        ).alias(c)
+
+    return _struct_rows(df.groupBy(*by).agg(*[figures(c) for c in cols]), by, cols)
+
+
+def summary_of_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`feature_summary` from the groups' states; quartiles to :data:`RANK_ERROR`."""
+    n, mean = F.col("n"), F.col("mean")
+    merged = states.groupBy(*by, "feature").agg(
+        F.sum("n").alias("n"),
+        F.try_divide(F.sum(n * mean), F.sum("n")).alias("mean"),
+        # Spread inside the groups and between them.
+        (F.sum("spread") + F.sum(n * mean * mean) - F.try_divide(F.sum(n * mean) * F.sum(n * mean), F.sum("n"))).alias("_spread"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.kll_merge_agg_double(F.when(n > 0, F.col("sketch"))).alias("_sketch"),
+    )
+    marks = [
+        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("_sketch", F.lit(p))).alias(q) for q, p in QUARTILES.items()
+    ]
+    deviation = F.when(F.col("n") > 1, F.sqrt(F.greatest(F.col("_spread"), F.lit(0.0)) / (F.col("n") - 1)))
+    return merged.withColumn("stddev", deviation).select(
+        *by, "feature", "n", "mean", "stddev", "min", *marks, "max"
+    ).select(*by, "feature", "n", "mean", "stddev", "min", *QUARTILES, "max")
+
+
+def rank_errors(df: DataFrame, summary: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
+    """How far the exact rank of each sketched quartile is off: one row per column.
+
+    A value's rank lies between the share of the rows below it and of those up to it.
+    """
+    long = df.select(*[F.col(c).cast("double") for c in cols]).unpivot([], list(cols), "feature", "value")
+    # One short row per column name.
+    met = long.filter("value is not null").join(F.broadcast(summary.select("feature", *QUARTILES)), "feature")
+
+    def off(q: str, p: float) -> Column:
+        below, upto = F.avg((F.col("value") < F.col(q)).cast("double")), F.avg((F.col("value") <= F.col(q)).cast("double"))
+        return F.greatest(below - p, p - upto, F.lit(0.0)).alias(f"{q}_off")
+
+    return met.groupBy("feature").agg(*[off(q, p) for q, p in QUARTILES.items()])
+
+
 def profile(
     df: DataFrame,
     keys: Sequence[str],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridcast.operators.sizing import attach, measure
 from gridcast.params import LIMITS, Limits, Params
-from gridcast.schemas import FEATURES, GOLD
+from gridcast.schemas import FEATURES, GOLD, PACE
 
 DRIVER_SESSION = ("season", "event", "session_type", "driver")
 TEAM_SESSION = ("season", "event", "session_type", "team")
@@ -139,6 +139,41 @@ def pace_trend(
     )
 
 
+def pace_state(gold: DataFrame) -> DataFrame:
+    """What later rounds' pace trends need of these laps: one row per driver and round (``PACE``).
+
+    Rows of one round may come in parts, e.g. from late files: :func:`trend_from_state` adds them.
+    """
+    races = gold.filter((F.col("session_type") == "R") & F.col("lap_time_delta").isNotNull())
+    return races.groupBy("season", "round_number", "driver").agg(
+        F.sum(F.col("lap_time_delta").cast("double")).alias("total_delta"), F.count(F.lit(1)).alias("laps")
+    ).select(*PACE.fieldNames())
+
+
+def trend_from_state(
+    state: DataFrame, season: int, round_number: int, recent: int = 2, baseline: int = 4
+) -> DataFrame:
+    """:func:`pace_trend` from the rounds' states alone: no lap of an earlier round is read.
+
+    Of a state table in folders by season and round only the rounds that count are read.
+    """
+    first = round_number - recent - baseline
+    means = (
+        state.filter(
+            (F.col("season") == season) & (F.col("round_number") >= first) & (F.col("round_number") < round_number)
+        )
+        .groupBy("driver", "season", "round_number")
+        .agg((F.sum("total_delta") / F.sum("laps")).alias("_mean"))
+    )
+    late = F.col("round_number") >= round_number - recent
+    return (
+        means.groupBy("driver", "season")
+        .agg(F.avg(F.when(late, F.col("_mean"))).alias("_recent"), F.avg(F.when(~late, F.col("_mean"))).alias("_before"))
+        .filter(F.col("_recent").isNotNull())
+        .select("driver", "season", (F.col("_recent") - F.col("_before")).alias("pace_trend"))
+    )
+
+
 def join_pace_trend(df: DataFrame, trend: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     return attach(df, trend, ["driver", "season"], "left", limits)
 
@@ -240,6 +275,7 @@ def gold(
     prior: DataFrame | None = None,
     limits: Limits = LIMITS,
     features: Sequence[str] = FEATURES,
+    trend: DataFrame | None = None,
 ) -> DataFrame:
     """Feature rows, one per lap, in the Gold column order (doubles; cast at the sink).
 
@@ -248,6 +284,7 @@ def gold(
     its pace trend. Without it ``silver`` holds whole seasons, and every round
     takes its trend from the rounds before it in there.
     ``features``: what to compute, for a report that needs only some of them.
+    ``trend``: the pace trend of ``silver``'s round per driver and season, if it is known already.
     """
     laps = base_laps(silver, p)
     keys = _keys(features)
@@ -262,7 +299,9 @@ def gold(
             "pace_vs_teammate", F.col("_best") - F.col("_team_best")
         )
     if "pace_trend" in features:
-        if prior is None:
+        if trend is not None:
+            on, bound = ["driver", "season"], None
+        elif prior is None:
             trend, on, bound = trend_by_round(stats.df, p), ["driver", "season", "round_number"], size
         else:
             trend = pace_trend(prior, p.season, p.round_number, p.recent_rounds, p.baseline_rounds)

@@ -196,8 +196,8 @@ def grow(
     Each level is one pass over the rows: weights per node, input, bin and class. ``frame`` is
     read once a level: land it first. Inputs are compared as six-digit numbers.
     """
-    cuts = cut_points(frame, inputs, bins, limits)
     at = frame.select(*[nudged_round(F.col(c), 6).alias(c) for c in inputs], F.col(label).cast("int").alias("label"), F.col(weight).alias("w"))
+    cuts = cut_points(at, inputs, bins, limits)
     at = at.withColumn("node", F.lit(0))
     values, parts = F.array(*[F.col(c) for c in inputs]), []
 

@@ -201,6 +201,21 @@ def _sql(chain: str, body: str) -> str:
     return f"with {chain.strip()}\n{body.strip()}"
 
 
+def _found(rows: str) -> str:
+    """Breaches of each check of Silver among the rows."""
+    checks = [
+        *[(f"{c} is there", f"{c} is null") for c in ("Driver", "Team", "LapTime", "session_type", "season", "event")],
+        ("compound is known", "Compound not in ('SOFT', 'MEDIUM', 'HARD', 'INTER', 'WET', 'UNKNOWN')"),
+        ("lap within the outlier rule", "LapTime > best * 1.07e0"),
+    ]
+    best = f"select *, min(LapTime) over (partition by season, event, session_type) as best from {rows}"
+    return (
+        'select "check", count(*) as row_count, count(*) filter (breach) as breaches from ('
+        + " union all ".join(f"select '{name}' as \"check\", {condition} as breach from ({best})" for name, condition in checks)
+        + ") group by all"
+    )
+
+
 def _pearson(x: str) -> str:
     a = f"case when {x} is not null and race_position is not null then {x} end"
     b = f"case when {x} is not null and race_position is not null then race_position end"
@@ -261,6 +276,92 @@ def _feature(column: str, third: str) -> str:
     )
 
 
+# Every lap goes to one of a race's 22 cars.
+FIELD = GOLD_.replace("'D' || cast(l_suppkey as varchar) as Driver, n_name as Team", """
+    'C' || cast(l_suppkey % 22 as varchar) as Driver, 'T' || cast(l_suppkey % 22 // 2 as varchar) as Team""")
+
+INPUTS = (*NAMES, "compound_idx")
+
+# Training rows and those to score, with inputs x0 to x6, class number and weight.
+SEASON = f"""{FIELD},
+classes as (
+  select race_position, cast(race_position as varchar) as position,
+    row_number() over (order by count(*) desc, cast(race_position as varchar)) - 1 as label
+  from gold where race_position is not null group by race_position
+),
+compounds as (
+  select compound, cast(row_number() over (order by count(*) desc, compound) - 1 as double) as compound_idx
+  from gold where race_position is not null group by compound
+),
+inputs as materialized (
+  select row_number() over () as lap, g.row_key, g.driver, g.event, g.round_number, c.position, c.label, g.race_position,
+    {", ".join(f"{r6(f'coalesce({n}, 0.0e0)')} as x{k}" for k, n in enumerate(NAMES))},
+    coalesce(compound_idx, (select count(*) from compounds)) as x6,
+    {RECENCY.format(t="gold where race_position is not null")} * {SESSION_WEIGHT} as w
+  from gold g left join classes c on c.race_position = g.race_position left join compounds k on k.compound = g.compound
+),
+train as (select * from inputs where label is not null)"""
+
+
+def _grown(rows: str, scored: str, depth: int = 2) -> str:
+    """CTEs of a tree: ``nodes``, the classes' weights in each (``held``), and where each scored row ends (``ended``)."""
+    long = " union all ".join(f"select lap, label, w, {k} as feature, x{k} as x from ({rows})" for k in range(7))
+    value = "case feature " + " ".join(f"when {k} then x{k}" for k in range(7)) + " end"
+    quantiles = ", ".join(f"{k}/32.0e0" for k in range(1, 32))
+    out = [
+        f"long as ({long})",
+        f"""cuts as (select distinct feature, {r6("q")} as t from (
+          select feature, unnest(quantile_cont(x, [{quantiles}])) as q from long group by feature))""",
+        f"at0 as (select *, 0 as node from ({rows}))",
+        f"end0 as (select *, 0 as node from ({scored}))",
+    ]
+    for k in range(depth):
+        out += [
+            f"""sides{k} as (
+              select node, l.feature, t, l.label, sum(l.w) filter (x <= t) as below, sum(l.w) as total
+              from long l join at{k} a using (lap) join cuts c on c.feature = l.feature group by all
+            )""",
+            f"""gains{k} as (
+              select node, feature, t, sum(coalesce(below, 0)) as l, sum(total) as n, sum(coalesce(below, 0) ** 2) as ll,
+                sum((total - coalesce(below, 0)) ** 2) as rr, sum(total ** 2) as tt
+              from sides{k} group by all
+            )""",
+            f"""split{k} as (
+              select node, feature, t, gain from (
+                select *, row_number() over (partition by node order by gain desc, feature, t) as place from (
+                  select node, feature, t, round((ll / l + rr / (n - l) - tt / n) / n + 1e-9, 9) as gain
+                  from gains{k} where l > 1e-9 and n - l > 1e-9))
+              where place = 1 and gain > 0
+            )""",
+            *[
+                f"""{name}{k + 1} as (
+                  select r.* exclude (node), 2 * r.node + (case when {value} <= t then 1 else 2 end) as node
+                  from {name}{k} r join split{k} s on s.node = r.node
+                )"""
+                for name in ("at", "end")
+            ],
+        ]
+    levels = range(depth + 1)
+    held = " union all ".join(f"select node, label, w from at{k}" for k in levels)
+    splits = " union all ".join(f"select * from split{k}" for k in range(depth))
+    ended = " union all ".join(
+        f"select * from end{k}" + (f" where node not in (select node from split{k})" if k < depth else "") for k in levels
+    )
+    out += [
+        f"held as (select node, label, sum(w) as w from ({held}) group by all)",
+        f"""nodes as (
+          select h.node, sum(h.w) as weight, arg_max(h.label, (h.w, -h.label)) as label,
+            any_value(s.feature) as feature, any_value(s.t) as threshold, any_value(s.gain) as gain
+          from held h left join ({splits}) s on s.node = h.node group by h.node
+        )""",
+        f"ended as ({ended})",
+    ]
+    return ", " + ",\n".join(out)
+
+
+INPUT_NAME = "case feature " + " ".join(f"when {k} then '{n}'" for k, n in enumerate(INPUTS)) + " end"
+NOW = "select * from inputs where event = 'GP7'"
+
 ORACLE: dict[str, str] = {
     "scan_laps": _sql(
         LAPS,
@@ -442,6 +543,14 @@ ORACLE: dict[str, str] = {
         from round_means where round_number between 1 and 6 group by all
         having count(case when round_number between 5 and 6 then 1 end) > 0""",
     ),
+    "pace_trend_state": _sql(
+        SILVER + FEATURES + TREND,
+        f"""select Driver as driver, season,
+        {r6('''avg(case when round_number between 5 and 6 then avg_delta end)
+          - avg(case when round_number between 1 and 4 then avg_delta end)''')} as pace_trend
+        from round_means where round_number between 1 and 6 group by all
+        having count(case when round_number between 5 and 6 then 1 end) > 0""",
+    ),
     "pace_trend_joined": _sql(
         SILVER + FEATURES + TREND,
         f"""select row_key, s.Driver as driver, s.season, {r6('pace_trend')} as pace_trend
@@ -461,7 +570,8 @@ ORACLE: dict[str, str] = {
     "gold": _sql(
         GOLD_,
         f"""select driver, team, round_number, event, season, session_type, lap_number, compound,
-        {ROUNDED_FEATURES}, race_position, row_key from gold""",
+        {ROUNDED_FEATURES}, race_position, row_key, cast(null as double) as recency_weight,
+        cast(null as double) as session_weight, cast(null as double) as sample_weight from gold""",
     ),
     "session_weight": _sql(
         LAPS,
@@ -521,7 +631,9 @@ ORACLE: dict[str, str] = {
     ),
     "feature_summary": _sql(GOLD_, _summary_rows()),
     "feature_summary_approx": _sql(
-        GOLD_, f"select * exclude (p25, p75) from ({_summary_rows()})"
+        GOLD_,
+        f"""select * exclude (p25, p75), true as p25_within_error, true as p75_within_error
+        from ({_summary_rows()})""",
     ),
     "session_profile": _sql(
         GOLD_,
@@ -697,4 +809,135 @@ ORACLE: dict[str, str] = {
           order by count(*) desc, cast(race_position as varchar)) - 1 as double) as label,
           count(*) as laps from gold where race_position is not null group by race_position""",
     ),
+    "feature_vector": _sql(
+        SEASON, "select row_key, " + ", ".join(f"x{k} as {n}" for k, n in enumerate(INPUTS)) + " from train"
+    ),
+    "class_to_position": _sql(
+        SEASON,
+        """select row_key, class, c.race_position as position from (
+          select row_key, cast(row_key % ((select count(*) from classes) + 1) as integer) as class from train
+        ) left join classes c on c.label = class""",
+    ),
+    "win_slot": _sql(
+        SEASON,
+        f"""select row_key, {r6("((row_key + 7919 * (select label from classes where position = '1')) % 1000) / 1000.0e0")}
+          as win_prob_lap from inputs where event = 'GP7'""",
+    ),
+    "grown_tree": _sql(
+        SEASON + _grown("select * from train", NOW),
+        f"""select cast(node as integer) as node, {INPUT_NAME} as feature, threshold, {r6("gain")} as gain,
+        {r6("weight")} as weight, c.race_position as position from nodes n join classes c on c.label = n.label""",
+    ),
+    "tree_walk": _sql(
+        SEASON + _grown("select * from train", NOW),
+        f"""select row_key, driver, cast(e.node as integer) as node,
+          {r6("coalesce(h.w, 0) / n.weight")} as win_prob_lap, c.race_position as pred_pos_lap
+        from ended e join nodes n on n.node = e.node join classes c on c.label = n.label
+          left join held h on h.node = e.node and h.label = (select label from classes where position = '1')""",
+    ),
+    "tree_importance": _sql(
+        SEASON + _grown("select * from train", NOW),
+        f"""select i.feature, {r6("coalesce(gained / sum(gained) over (), 0)")} as importance
+        from (select unnest({list(INPUTS)}) as feature) i left join (
+          select {INPUT_NAME} as feature, sum(gain * weight) as gained from nodes where feature is not null group by all
+        ) g on g.feature = i.feature""",
+    ),
+    "holdout_rows": _sql(
+        SEASON
+        + _grown(
+            "select * from train where round_number < (select max(round_number) from train)",
+            "select * from train where round_number = (select max(round_number) from train)",
+        ),
+        """select row_key, driver, e.race_position as actual_position, c.race_position as predicted_position,
+          abs(c.race_position - e.race_position) as off_by, c.race_position = e.race_position as hit,
+          abs(c.race_position - e.race_position) <= 2 as within_2
+        from ended e join nodes n on n.node = e.node join classes c on c.label = n.label""",
+    ),
+    # What must hold of each lap.
+    "model_round_trip": _sql(
+        SEASON, "select row_key, 'base_r07' as model_version, true as same from inputs where event = 'GP7'"
+    ),
+    "forest_walk": _sql(
+        SEASON,
+        """select row_key, driver, cast((select count(*) from classes) as integer) as classes, true as same_probabilities,
+          true as same_win_probability, true as same_position from inputs where event = 'GP7'""",
+    ),
+    "forest_importance": _sql(
+        "names as (select unnest([" + ", ".join(f"'{n}'" for n in INPUTS) + "]) as feature)",
+        "select feature, feature <> 'compound_idx' as exported, true as same from names",
+    ),
+    "baseline_gradient": _sql(
+        SEASON,
+        "select c.race_position as position, true as converged, "
+        + ", ".join(
+            f"{r6(f'sum(w * (1.0e0 / (select count(*) from classes) - (case when t.label = c.label then 1 else 0 end)) * {x}) / sum(w)')} as {n}"
+            for x, n in [("1", "intercept"), *((f"x{k}", n) for k, n in enumerate(INPUTS))]
+        )
+        + " from train t join classes c on true group by c.race_position",
+    ),
+    "scan_csv_mixed": _sql(
+        LAPS,
+        f"""select row_key, Driver, case when not cut then LapNumber end as LapNumber,
+          case when not cut then session_type end as session_type,
+          case when not cut then {r6("cast(cast(LapTime as float) as double)")} end as lap_seconds,
+          case when not cut and round_number > 3 then {r6("cast(TyreLife as double)")} end as tyre_life,
+          case when cut then 'not 9 fields' end as reason
+        from (select *, row_key % 50 = 0 as cut from laps)""",
+    ),
+    "tag_constants": _sql(
+        LAPS,
+        """select Driver, row_key, season, event, session_type as session, session_type from laps
+        where event = 'GP7' and session_type = 'Q'""",
+    ),
+    "optional_table": _sql(
+        LAPS + RESULTS,
+        """select row_key, l.Driver as driver, l.event, race_position as position_now,
+          cast(null as integer) as position_before
+        from laps l left join results r on r.season = l.season and r.event = l.event and r.driver = l.Driver""",
+    ),
+    "merge_widened": _sql(
+        LAPS,
+        f"""select row_key, event,
+          case when round_number <= 3 then LapNumber::bigint else LapNumber + 1099511627776::bigint end as LapNumber,
+          {r6("case when round_number <= 3 then cast(cast(LapTime as float) as double) else LapTime end")} as lap_seconds,
+          case when round_number > 3 then {r6("cast(TyreLife as double)")} end as tyre_life from laps""",
+    ),
+    "calendar_pruned_scan": _sql(
+        LAPS, f"select event, Driver, session_type, {r6('LapTime')} as lap_seconds from laps where round_number >= 6"
+    ),
+    "verify_silver": _sql(
+        SILVER + f", found as ({_found('silver')})",
+        """select 'silver' as step, "check", row_count, breaches from found""",
+    ),
+    "verify_gold": _sql(
+        GOLD_,
+        "select 'gold' as step, \"check\", count(*) as row_count, count(*) filter (breach) as breaches from ("
+        + " union all ".join(
+            f"select '{name}' as \"check\", {condition} as breach from gold"
+            for name, condition in [
+                *[
+                    (f"{c} is there", f"{c} is null")
+                    for c in ("driver", "team", "round_number", "event", "season", "session_type", "lap_number")
+                ],
+                *[(f"{c} is a number", f"isnan({c})") for c in NAMES],
+                ("no lap beats the driver''s best", "lap_time_delta is null or lap_time_delta < 0"),
+                ("no driver beats the team''s best", "pace_vs_teammate < 0"),
+                ("positions count from 1", "race_position < 1"),
+            ]
+        )
+        + ") group by all",
+    ),
+    "verify_refused": _sql(
+        LAPS
+        + f""", bronze as (
+          select * replace (case when upper(Compound) in ('SOFT', 'MEDIUM', 'HARD', 'INTER', 'WET')
+            then upper(Compound) else 'UNKNOWN' end as Compound) from laps
+        ), found as ({_found("bronze")})""",
+        """select 'silver' as step, "check", row_count, breaches, (
+            select count(*) from (
+              select *, min(LapTime) over (partition by season, event, session_type) as best from bronze
+            ) where Driver is null or Team is null or LapTime is null or season is null or event is null
+              or session_type is null or LapTime > best * 1.07e0
+          ) as rows_aside, false as stored from found""",
+    ),
 }

@@ -1,7 +1,8 @@
 """The medallion run of one event: Bronze, Silver, Gold, model, predictions, export.
 
 Each step reads the tables before it and replaces exactly its own partition,
-so any step can be run again.
+so any step can be run again. Silver and Gold are verified in the job that writes
+them: a row that must not be there fails the step before anything is replaced.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from gridcast.functions.columns import row_key
 from gridcast.operators import clean, features, model, rank
 from gridcast.store import land
-from gridcast.params import LIMITS, Limits, Params
-from gridcast.schemas import BRONZE, DURATIONS, FLAGS, GOLD, PREDICTIONS, RESULTS, SILVER
+from gridcast.params import LIMITS, UNKNOWN_COMPOUND, Limits, Params
+from gridcast.schemas import BRONZE, CRITICAL, DURATIONS, FEATURES, FLAGS, GOLD, PACE, PREDICTIONS, RESULTS, SILVER
 from gridcast.sinks import export, tables
 from gridcast.sources import conform, readers
 
@@ -27,7 +28,7 @@ class Paths:
     root: str
 
     def __getattr__(self, table: str) -> str:
-        if table not in ("raw", "results", "clean", "features", "models", "predictions", "export"):
+        if table not in ("raw", "results", "clean", "features", "pace", "models", "predictions", "export"):
             raise AttributeError(table)
         return f"{self.root}/{table}"
 
@@ -66,19 +67,70 @@ def ingest_results(raw: DataFrame, p: Params, paths: Paths) -> None:
     tables.replace_partitions(conform.conform_results(raw, p), paths.results, _event(p))
 
 
-def clean_event(spark: SparkSession, p: Params, paths: Paths, limits: Limits = LIMITS) -> None:
+def silver_checks(p: Params) -> list[tables.Check]:
+    """What no Silver row may be; ``session_best`` is the best lap of the row's session in Silver."""
+    known = ", ".join(f"'{c}'" for c in (*p.compounds, UNKNOWN_COMPOUND))
+    return [
+        *[tables.Check(f"{c} is there", f"{c} is null" + (f" or isnan({c})" if c == "LapTime" else "")) for c in CRITICAL],
+        tables.Check("compound is known", f"Compound is null or Compound not in ({known})"),
+        tables.Check("lap within the outlier rule", f"LapTime > session_best * {p.outlier_threshold!r}D"),
+    ]
+
+
+def gold_checks() -> list[tables.Check]:
+    """What no Gold row may be."""
+    keys = [f.name for f in GOLD.fields if not f.nullable]
+    return [
+        *[tables.Check(f"{c} is there", f"{c} is null") for c in keys],
+        *[tables.Check(f"{c} is a number", f"isnan({c})") for c in FEATURES],
+        tables.Check("no lap beats the driver's best", "lap_time_delta is null or lap_time_delta < 0"),
+        tables.Check("no driver beats the team's best", "pace_vs_teammate < 0"),
+        tables.Check("positions count from 1", "race_position < 1"),
+    ]
+
+
+def write_silver(
+    silver: DataFrame, p: Params, path: str, where: dict[str, object] | None = None, limits: Limits = LIMITS
+) -> DataFrame:
+    """Replace partitions of Silver if its rows pass :func:`silver_checks`; returns the report."""
+    kept = land(silver, "silver")
+    best = clean.session_best(kept, limits)
+    return tables.verified_replace(
+        best, path, ("season", "event"), silver_checks(p), "silver", where, only_checked=["session_best"]
+    )
+
+
+def write_gold(gold: DataFrame, path: str, where: dict[str, object] | None = None) -> DataFrame:
+    """Replace partitions of Gold if its rows pass :func:`gold_checks`; returns the report."""
+    return tables.verified_replace(gold, path, ("season", "event"), gold_checks(), "gold", where)
+
+
+def clean_event(spark: SparkSession, p: Params, paths: Paths, limits: Limits = LIMITS) -> DataFrame:
     bronze = readers.read_table(spark, paths.raw, BRONZE, _is_event(p))
-    tables.replace_partitions(clean.silver(bronze, p, limits), paths.clean, _event(p))
+    return write_silver(clean.silver(bronze, p, limits), p, paths.clean, _event(p), limits)
+
 
+def rebuild_pace(spark: SparkSession, paths: Paths) -> None:
+    """The pace states of all rounds anew from Gold, e.g. for a Gold table older than its states."""
+    state = features.pace_state(readers.read_table(spark, paths.features, GOLD))
+    tables.write_partitions(land(state, "pace"), paths.pace, ("season", "round_number"))
 
-def build_features(spark: SparkSession, p: Params, paths: Paths, limits: Limits = LIMITS) -> None:
-    """Gold of the event; the trend comes from earlier rounds already in the table."""
+
+def build_features(spark: SparkSession, p: Params, paths: Paths, limits: Limits = LIMITS) -> DataFrame:
+    """Gold of the event; the trend comes from earlier rounds' states, not from their laps."""
     silver = readers.read_table(spark, paths.clean, SILVER, _is_event(p))
-    prior = readers.read_optional(spark, paths.features, GOLD)
+    if readers.path_exists(spark, paths.features) and not readers.path_exists(spark, paths.pace):
+        rebuild_pace(spark, paths)
+    states = readers.read_optional(spark, paths.pace, PACE)
+    trend = features.trend_from_state(states, p.season, p.round_number, p.recent_rounds, p.baseline_rounds)
     results = readers.read_optional(spark, paths.results, RESULTS).filter(_is_event(p))
     positions = readers.result_positions(results)
-    gold = features.gold(silver, p, positions, prior, limits)
-    tables.replace_partitions(tables.to_storage(gold, GOLD), paths.features, _event(p))
+    gold = features.gold(silver, p, positions, limits=limits, trend=trend)
+    report = write_gold(tables.to_storage(gold, GOLD), paths.features, _event(p))
+    stored = readers.read_table(spark, paths.features, GOLD, _is_event(p))
+    where = {"season": p.season, "round_number": p.round_number}
+    tables.replace_partitions(features.pace_state(stored), paths.pace, where)
+    return report
 
 
 def _season(spark: SparkSession, p: Params, paths: Paths) -> DataFrame:
@@ -165,6 +217,16 @@ def predict(
     return final
 
 
+@dataclass(frozen=True)
+class Run:
+    """What a run gives: the ranked drivers, and what each step says of itself."""
+
+    ranked: DataFrame
+    coverage: DataFrame
+    report: DataFrame
+    training: Training
+
+
 def run(
     spark: SparkSession,
     laps: DataFrame,
@@ -172,12 +234,11 @@ def run(
     p: Params,
     paths: Paths,
     limits: Limits = LIMITS,
-) -> DataFrame:
-    """All steps of one event in order; returns the ranked drivers."""
-    ingest_laps(laps, p, paths)
+) -> Run:
+    """All steps of one event in order. A breach of a check stops the run before that step's write."""
+    coverage = ingest_laps(laps, p, paths)
     if results is not None:
         ingest_results(results, p, paths)
-    clean_event(spark, p, paths, limits)
-    build_features(spark, p, paths, limits)
-    train(spark, p, paths)
-    return predict(spark, p, paths, limits=limits)
+    report = clean_event(spark, p, paths, limits).unionByName(build_features(spark, p, paths, limits))
+    training = train(spark, p, paths)
+    return Run(predict(spark, p, paths, limits=limits), coverage, report, training)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 LAPS = StructType(
     [
@@ -73,6 +73,17 @@ GOLD = StructType(
     ]
 )
 
+# A round's race pace per driver, as sums that can be added up later.
+PACE = StructType(
+    [
+        StructField("season", IntegerType()),
+        StructField("round_number", IntegerType()),
+        StructField("driver", StringType()),
+        StructField("total_delta", DoubleType()),
+        StructField("laps", LongType()),
+    ]
+)
+
 PREDICTIONS = StructType(
     [
         StructField("driver", StringType()),

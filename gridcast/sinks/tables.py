@@ -210,14 +210,21 @@ REPORT = "step string, check string, row_count long, breaches long"
 
 
 def verified_replace(
-    df: DataFrame, path: str, keys: Sequence[str], checks: Sequence[Check], step: str, where: Mapping[str, object] | None = None
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    checks: Sequence[Check],
+    step: str,
+    where: Mapping[str, object] | None = None,
+    only_checked: Sequence[str] = (),
 ) -> DataFrame:
     """Replace the partitions of ``keys`` that ``df`` has rows for, if no row breaches a check.
 
     Checks are counted in the job that writes the new files; these are swapped in only if all
     counts are 0. Otherwise the table stays as it was, the breaching rows are kept in a folder next
     to it, and the step fails. With ``where`` that partition is replaced even by nothing, and any
-    row outside of it is a breach. Returns the report: one row per check.
+    row outside of it is a breach. ``only_checked`` are columns for the checks, which are not stored.
+    Returns the report: one row per check.
     """
     spark = df.sparkSession
     recover(spark, path)
@@ -233,7 +240,7 @@ def verified_replace(
     counted = flagged.observe(seen, F.count(F.lit(1)).alias("n"), *[F.count_if(b).alias(k) for k, b in breaches.items()])
     # Breaching rows are folders of their own below the staged ones.
     spread = counted if where is not None else counted.hint("rebalance", "_breach", *keys)
-    spread.drop("_outside").write.partitionBy("_breach", *keys).parquet(f"{path}/{staged}/files")
+    spread.drop("_outside", *only_checked).write.partitionBy("_breach", *keys).parquet(f"{path}/{staged}/files")
     found = seen.get
     rows = [(step, c.name, found["n"] or 0, found[f"b{k}"] or 0) for k, c in enumerate(checks)]
     report = spark.createDataFrame(rows, REPORT)
@@ -247,15 +254,15 @@ def verified_replace(
         fs.delete(paths(f"{path}/{staged}"), True)
         raise BreachError(step, report, broken, aside)
     good = f"{staged}/files/_breach=false"
-    added = _files_below(spark, f"{path}/{good}")
+    added = data_files(spark, f"{path}/{good}")
     folders = {name.rpartition("/")[0] for name in added} | ({_folder(where)} if where is not None else set())
     # Old files by name: new ones have names of their own, so that a note can be carried out again.
-    gone = [f"{f}/{name}" for f in sorted(folders) for name in _files_below(spark, f"{path}/{f}")]
+    gone = [f"{f}/{name}" for f in sorted(folders) for name in data_files(spark, f"{path}/{f}")]
     _commit(spark, path, {"run": run, "remove": gone, "add": [[f"{good}/{name}", name] for name in added]})
     return report
 
 
-def _files_below(spark: SparkSession, root: str) -> list[str]:
+def data_files(spark: SparkSession, root: str) -> list[str]:
     """Names of the data files below a folder, as paths from there."""
     fs, paths = file_system(spark, root)
     if not fs.exists(paths(root)):
