@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
+from gridcast.llm.rows import in_batches
 
 SLICE_BYTES = 6 << 20
 # Longer pieces are encoded one by one.
@@ -424,7 +425,7 @@ def encode(docs: DataFrame, path: str, slice_bytes: int = SLICE_BYTES) -> DataFr
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
 def _decode(path: str) -> Callable:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
 from gridcast.llm import tokens
+from gridcast.llm.rows import in_batches
 from gridcast.store import land, new_path
 
 BLOCK_IDS = 1 << 16
@@ -150,7 +151,7 @@ def _tokenise(path: str, end_id: int, size: int) -> Callable:
 
 def token_ids(docs: DataFrame, path: str, end_id: int, slice_bytes: int = tokens.SLICE_BYTES) -> DataFrame:
     """(doc_id, n_tokens, ids): ids with ``end_id`` last, in bytes; all ids of a row have the same width."""
-    return docs.select(
+    return in_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
     ).mapInArrow(_tokenise(path, end_id, slice_bytes), "doc_id long, n_tokens long, ids binary")
 

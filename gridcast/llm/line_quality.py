@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
-from gridcast.llm.rows import numbered, text_key
+from gridcast.llm.rows import in_batches, numbered, text_key
 from gridcast.llm.superminhash import Near, near_texts
 from gridcast.operators.sizing import attach
 from gridcast.params import LIMITS, Limits
@@ -123,7 +123,7 @@ def _profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def profile(docs: DataFrame) -> DataFrame:
     """One landed row per document: counts, and hash and words of each line."""
     return numbered(
-        docs.select(
+        in_batches(docs).select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
             text_key().alias("text_key"), F.col("text").cast("binary").alias("text"),
         ).mapInArrow(_profile, _PROFILE),

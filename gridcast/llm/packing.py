@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
 from gridcast.llm import tokens
+from gridcast.llm.rows import in_batches
 from gridcast.operators.sizing import measure
 from gridcast.store import land
 
@@ -221,7 +222,7 @@ def token_pieces(
     docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, slice_bytes: int = tokens.SLICE_BYTES
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids: doc_id, piece, start, length and checksum of the ids."""
-    return docs.select(
+    return in_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
     ).mapInArrow(
         _pieces(path, end_id, capacity, slice_bytes),

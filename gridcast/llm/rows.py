@@ -10,6 +10,20 @@ from gridcast.params import LIMITS, Limits
 from gridcast.store import land
 
 
+# Rows of texts that go to a Python worker at once; Spark's own 10,000 are 30 MB of web pages and more,
+# several times over in the executor's and the worker's memory.
+BATCH_ROWS = 2_000
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, to be sent to Python workers in batches of at most ``BATCH_ROWS`` rows in this session."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCHES)) <= BATCH_ROWS:
+        conf.set(_BATCHES, str(BATCH_ROWS))
+    return df
+
+
 def empty_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
-from gridcast.llm.rows import numbered
+from gridcast.llm.rows import in_batches, numbered
 from gridcast.operators.sizing import attach, measure
 from gridcast.params import LIMITS, Limits
 from gridcast.store import land
@@ -158,7 +158,7 @@ def vocabulary(
     With ``slips`` a run in a document loses a code point where that number divides the checksum of
     ``doc_id:run``; which one is the checksum modulo the run's length.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    texts = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     counted = (
         texts.mapInArrow(_counted(min_length, slips), "word binary, n long")
         .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
-from gridcast.llm.rows import text_key
+from gridcast.llm.rows import in_batches, text_key
 from gridcast.operators.sizing import attach
 from gridcast.params import LIMITS, Limits
 from gridcast.store import land
@@ -194,7 +194,7 @@ def _strip(window: int) -> Callable:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(
+    return in_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"),
         F.col("text").cast("binary").alias("text"),
     )

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
 from gridcast.llm.components import UnionFind, components
-from gridcast.llm.rows import numbered, text_key
+from gridcast.llm.rows import in_batches, numbered, text_key
 from gridcast.operators.sizing import Measured, attach, measure
 from gridcast.params import LIMITS, Limits
 from gridcast.store import land
@@ -167,7 +167,7 @@ def _sign(how: Near) -> Callable:
 def signatures(docs: DataFrame, how: Near) -> DataFrame:
     """One landed row per document: set size, set identity, band keys and the signature in 8 bits a slot."""
     return numbered(
-        docs.select(
+        in_batches(docs).select(
             F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"),
             F.col("text").cast("binary").alias("text"),
         ).mapInArrow(
@@ -456,7 +456,7 @@ def sets_of(docs: DataFrame, wanted: Measured, how: Near, limits: Limits) -> Dat
     side = F.broadcast(named) if wanted.bytes <= limits.broadcast_bytes else named
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key"))
     texts = docs.select("doc_id", "text").join(side, same)
-    return texts.select("uid", F.col("text").cast("binary").alias("text")).mapInArrow(
+    return in_batches(texts).select("uid", F.col("text").cast("binary").alias("text")).mapInArrow(
         _sets(how), "uid long, shingles binary"
     )
 

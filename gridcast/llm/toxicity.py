@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
-from gridcast.llm.rows import text_key
+from gridcast.llm.rows import in_batches, text_key
 from gridcast.store import land
 
 # Texts that are worked on at once: their arrays take some 40 times their bytes.
@@ -118,7 +118,7 @@ def sample(docs: DataFrame, labels: DataFrame, how: Training) -> DataFrame:
     chosen = known.filter("toxic = 1").orderBy(*order).limit(how.max_toxic).unionByName(
         known.filter("toxic = 0").orderBy(*order).limit(how.max_clean)
     )
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(
+    texts = in_batches(docs).select(F.col("doc_id").alias("_id"), "text").join(
         F.broadcast(chosen), F.col("_id") == F.col("_labelled")
     )
     # One of several rows with a doc_id: the one with the least text key.
@@ -252,7 +252,7 @@ def _columns(docs: DataFrame) -> list[Column]:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, text_key, score) of every document."""
-    return docs.select(*_columns(docs)).mapInArrow(_score(model), "doc_id long, text_key long, score double")
+    return in_batches(docs).select(*_columns(docs)).mapInArrow(_score(model), "doc_id long, text_key long, score double")
 
 
 def _locate(model: Model, least: float) -> Callable:
@@ -277,6 +277,6 @@ def _locate(model: Model, least: float) -> Callable:
 
 def locate(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """The offending sentences: their place in the text (bytes, first to last word), score and words."""
-    return docs.select(*_columns(docs)).mapInArrow(
+    return in_batches(docs).select(*_columns(docs)).mapInArrow(
         _locate(model, least), "doc_id long, start_byte long, end_byte long, score double, sentence string"
     )
