@@ -6,6 +6,7 @@ removes what was landed inside the ``with`` block.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -70,6 +71,15 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         remove(spark, folder)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more.
+
+    The cleaner learns of them by garbage collection, which a driver with much free memory puts off.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def put(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the run folder; the table read back, and its path."""
     path = new_path(df.sparkSession, name)
