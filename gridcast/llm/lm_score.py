@@ -1,315 +1,233 @@
 """Cross-entropy difference of matched n-gram models.
 
-Two bigram models of the same form over one vocabulary: the target model is counted on the
-target documents, the background model on all documents. A document's score is the mean,
-over its words, of the target model's loss minus the background model's: the lower, the more
-the text is like the target.
-
-The vocabulary is all words, and bigrams are all pairs of neighbours, so the models grow with
-the documents: counts of words and pairs are tables, and each document's distinct pairs are
-joined to the losses of the pairs. Losses of pairs that are frequent are known to every task
-and added up there, so no key of the join has many rows; the others are shuffled.
-
-A ``Form`` may bound both models instead: then words beyond the ``words`` most frequent ones are
-one unknown word, and bigrams are counted between the ``frequent`` most frequent ones and one
-class of the rest, within which words follow their own frequency.
+Two models of the same form over one vocabulary: the target model is counted on the target
+documents, the background model on all documents. A document's score is the mean, over its
+words, of the target model's loss minus the background model's: the lower, the more the text is
+like the target. No document scores itself: its own counts are taken out of both models first.
+
+A word's loss is the weighted mean of two, each with additive smoothing over the vocabulary: that
+of the word by itself, and that of the word after the one before it. So it is a sum of logarithms
+of three counts - of the word, of the pair, of the word before as such - and each of these needs
+one look-up. All words and all pairs count; the models are one table of counts by key. Of a key
+with one occurrence its document knows the count, and nothing is left without it, so only the
+others are in the table. Counts of keys that are frequent go to every task; the others meet the
+documents' distinct keys in one shuffled join, in which no key has many rows.
+
+Words, and what comes before and after, are compared by 64-bit hashes of their bytes (see
+:mod:`gridcast.llm.text`): of 10**9 different words and pairs two are mixed up with a chance of
+3 %, which moves the score of the documents that have them by their share of one word.
 
 Defined cases: a text without words, null included, has no losses and score 0; labels of
 unknown documents are ignored, and of several labels of a doc_id the highest counts; without
-target documents both losses are from smoothing alone; rows with equal doc_id are separate
-rows; an empty table gives an empty result; columns other than doc_id and text are ignored.
+target documents the target's losses are from smoothing alone; rows with equal doc_id are
+separate rows, also as targets; a text of any length is one row, whose arrays take some 30 times
+its bytes; an empty table gives an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridcast.llm import text as tx
-from gridcast.operators.sizing import attach, measure
+from gridcast.llm.rows import in_batches
+from gridcast.operators.sizing import attach
 from gridcast.params import LIMITS, Limits
-from gridcast.store import land
-
+from gridcast.store import land, settle
 
-# Pairs of one word from which its rows are spread in a shuffle.
-HOT_PAIRS = 50_000
-# Occurrences from which a pair's losses go to every task, and how many such pairs there may be.
-OFTEN, KNOWN_PAIRS = 64, 500_000
+SLICE_BYTES = 2 << 20
+# Occurrences from which a key's counts go to every task, and how many such keys there may be.
+OFTEN, KNOWN_KEYS = 64, 500_000
+# Distinct keys that a task gathers before it passes on their counts.
+GATHERED = 1_000_000
+# What a key stands for. The counts of words before others tell how often something follows.
+WORD, BEFORE, PAIR = 0, 1, 2
 
 
 @dataclass(frozen=True)
 class Form:
-    """``words``: size of the vocabulary; ``frequent``: words with bigrams of their own. None: all."""
+    """``bigram``: weight of the loss after the word before; ``added``: what every count is raised by."""
 
-    words: int | None = None
-    frequent: int | None = None
-    # Weight of the bigram against the single word, and what every count is raised by.
-    bigram: float = 0.7
+    bigram: float = 0.5
     added: float = 0.1
+    added_pair: float = 0.001
 
 
-def _hashes(part: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
-    raw, offsets = tx.flat(part.column(column))
+def _keys(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key and kind of every word, word before and pair of the texts, their text, and words per text."""
+    raw, offsets = tx.flat(col)
     data = tx.LOWER[raw]
     starts, ends, firsts = tx.words(data, offsets)
-    return tx.hash_runs(data, starts, ends), firsts
-
-
-def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in tx.slices(batches, "text"):
-        hashes, firsts = _hashes(part, 1)
-        target = np.repeat(part.column(2).to_numpy(zero_copy_only=False), np.diff(firsts))
-        known, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-        in_target = np.bincount(inverse, target, minlength=len(known)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(known.view(np.int64)), pa.array(counts.astype(np.int64)), pa.array(in_target)],
-            ["word", "background", "target"],
-        )
-
-
-def word_counts(flagged: DataFrame) -> DataFrame:
-    """(word, background, target): counts of every word, by its 64-bit hash."""
-    return (
-        flagged.mapInArrow(_words, "word long, background long, target long")
-        .groupBy("word").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    )
-
-
-class Vocabulary:
-    """Words in order of frequency; number ``len`` is the unknown word."""
-
-    def __init__(self, hashes: np.ndarray, form: Form):
-        self.order = np.argsort(hashes.view(np.uint64))
-        self.sorted = hashes.view(np.uint64)[self.order]
-        self.size, self.classes = len(hashes), min(form.frequent or len(hashes), len(hashes))
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        if not self.size:
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.sorted, hashes), self.size - 1)
-        return np.where(self.sorted[at] == hashes, self.order[at], self.size)
-
-    def pairs(self, numbers: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-        """Class pair of each word with the one before it; a text's first follows the class of the rest."""
-        kind = np.minimum(numbers, self.classes)
-        before = np.empty_like(kind)
-        before[1:] = kind[:-1]
-        before[firsts[:-1][firsts[:-1] < len(kind)]] = self.classes
-        return before * (self.classes + 1) + kind
-
-
-def _pairs(vocabulary: Vocabulary) -> Callable:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = (vocabulary.classes + 1) ** 2
-        counts = np.zeros((2, size), np.int64)
-        for part in tx.slices(batches, "text"):
-            hashes, firsts = _hashes(part, 1)
-            pairs = vocabulary.pairs(vocabulary.numbers(hashes), firsts)
-            target = np.repeat(part.column(2).to_numpy(zero_copy_only=False), np.diff(firsts))
-            counts[0] += np.bincount(pairs, minlength=size)
-            counts[1] += np.bincount(pairs[target > 0], minlength=size)
-        seen = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(counts[0][seen]), pa.array(counts[1][seen])], ["pair", "background", "target"]
-        )
-
-    return run
-
-
-class Model:
-    """Natural logarithms of P(class | class before) and of P(word | class)."""
-
-    def __init__(self, words: np.ndarray, total: int, pairs: np.ndarray, classes: int, form: Form):
-        """``words``: counts in vocabulary order; ``pairs``: counts by (class before, class)."""
-        # The unknown word has what is left.
-        counts = np.append(words, total - words.sum()) + form.added
-        share = counts / counts.sum()
-        kinds = np.append(share[:classes], share[classes:].sum())
-        pairs = pairs.reshape(classes + 1, classes + 1)
-        rows = pairs.sum(axis=1, keepdims=True)
-        seen = np.divide(pairs, rows, out=np.tile(kinds, (classes + 1, 1)), where=rows > 0)
-        self.pair = np.log(form.bigram * seen + (1 - form.bigram) * kinds).astype(np.float32).ravel()
-        inside = np.ones(len(counts))
-        inside[classes:] = share[classes:] / share[classes:].sum()
-        self.word = np.log(inside).astype(np.float32)
-
-
-def _score(vocabulary: Vocabulary, models: tuple[Model, Model]) -> Callable:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "text"):
-            hashes, firsts = _hashes(part, 1)
-            numbers = vocabulary.numbers(hashes)
-            pairs = vocabulary.pairs(numbers, firsts)
-            n = np.diff(firsts)
-            of = np.repeat(np.arange(part.num_rows), n)
-            losses = [
-                -np.bincount(of, m.pair[pairs].astype(np.float64) + m.word[numbers], minlength=part.num_rows) / np.maximum(n, 1)
-                for m in models
-            ]
-            target, background = losses[0] + 0.0, losses[1] + 0.0
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n.astype(np.int64)), pa.array(target), pa.array(background), pa.array(target - background)],
-                ["doc_id", "n_words", "target_loss", "background_loss", "score"],
-            )
-
-    return run
+    words = tx.hash_runs(data, starts, ends)
+    counts = np.diff(firsts).astype(np.int64)
+    before = np.zeros_like(words)
+    before[1:] = words[:-1]
+    # The start of a text comes before its first word.
+    before[firsts[:-1][counts > 0]] = 0
+    of = np.repeat(np.arange(len(counts)), counts)
+    keys = np.concatenate([words, tx.mix(before ^ np.uint64(0x5851F42D4C957F2D)), tx.mix(before + tx.mix(words + np.uint64(1)))])
+    kinds = np.repeat(np.array([WORD, BEFORE, PAIR], np.int8), len(words))
+    return keys, kinds, np.concatenate([of, of, of]), counts
 
 
 def flag_targets(docs: DataFrame, targets: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """(doc_id, text, target): 1 for documents whose doc_id is in ``targets``."""
     listed = targets.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    texts = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     marked = attach(texts, listed.withColumn("target", F.lit(1)), ["doc_id"], "left", limits)
     return marked.withColumn("target", F.coalesce("target", F.lit(0)))
 
 
-def _neighbours(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each word, 0 before a text's first, and a key of both."""
-    before = np.zeros_like(hashes)
-    before[1:] = hashes[:-1]
-    before[firsts[:-1][firsts[:-1] < len(hashes)]] = 0
-    return before, _pair_key(before, hashes)
-
+def _added_up(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Distinct keys of several parts with their kind and summed counts."""
+    keys, kinds, background, target = (np.concatenate(x) for x in zip(*parts))
+    out, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    sums = [np.bincount(inverse, x, minlength=len(out)).astype(np.int64) for x in (background, target)]
+    return out, kinds[at], *sums
 
-def _pair_key(before: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return tx.mix(before + tx.mix(words + np.uint64(1)))
 
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, ...]] = []
 
-def _pair_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in tx.slices(batches, "text"):
-        hashes, firsts = _hashes(part, 1)
-        target = np.repeat(part.column(2).to_numpy(zero_copy_only=False), np.diff(firsts))
-        before, keys = _neighbours(hashes, firsts)
-        _, at, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        in_target = np.bincount(inverse, target, minlength=len(at)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(before[at].view(np.int64)), pa.array(hashes[at].view(np.int64)), pa.array(counts.astype(np.int64)), pa.array(in_target)],
-            ["before", "word", "background", "target"],
+    def shown() -> pa.RecordBatch:
+        keys, kinds, background, target = _added_up(held)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(kinds), pa.array(background), pa.array(target)],
+            ["key", "kind", "background", "target"],
         )
 
+    for part in tx.slices(batches, "text", SLICE_BYTES):
+        keys, kinds, of, _ = _keys(part.column(1))
+        target = part.column(2).to_numpy(zero_copy_only=False)[of]
+        held.append(_added_up([(keys, kinds, np.ones(len(keys), np.int64), target)]))
+        if sum(len(x[0]) for x in held) > 2 * GATHERED:
+            held = [_added_up(held)]
+            if len(held[0][0]) > GATHERED:
+                yield shown()
+                held = []
+    if held:
+        yield shown()
 
-def pair_losses(flagged: DataFrame, form: Form, limits: Limits = LIMITS) -> DataFrame:
-    """(before, word, n, target_loss, background_loss) of every pair of neighbours in the documents."""
-    pairs = land(
-        flagged.mapInArrow(_pair_counts, "before long, word long, background long, target long")
-        .groupBy("before", "word").agg(F.sum("background").alias("background"), F.sum("target").alias("target")),
-        "pair-counts",
-    )
 
-    def totals(key: str):
-        sums = [F.sum(c).alias(f"{key}_{c}") for c in ("background", "target")]
-        return measure(pairs.groupBy(key).agg(*sums, F.count(F.lit(1)).alias("n_pairs")), f"{key}-counts")
+@dataclass(frozen=True)
+class Models:
+    """Counts of all keys with several occurrences, and the totals of both models."""
+
+    counts: DataFrame
+    vocabulary: int
+    background_words: int
+    target_words: int
 
-    words, befores = totals("word"), totals("before")
-    whole = words.df.agg(F.sum("word_background").alias("background"), F.sum("word_target").alias("target")).first()
-    # A word is in as many pairs as it has different neighbours: thousands of rows are a hot key here.
-    spread = replace(limits, hot_rows=min(limits.hot_rows, HOT_PAIRS))
-    both = attach(pairs, words.df, ["word"], "inner", spread, at_most=words.bytes, rows="n_pairs")
-    both = attach(both, befores.df, ["before"], "inner", spread, at_most=befores.bytes, rows="n_pairs")
 
-    def loss(name: str):
-        every = (whole[name] or 0) + form.added * (words.rows + 1)
-        share = (F.col(f"word_{name}") + form.added) / F.lit(every)
-        seen = F.when(F.col(f"before_{name}") > 0, F.col(name) / F.col(f"before_{name}")).otherwise(share)
-        return (-F.log(form.bigram * seen + (1 - form.bigram) * share)).alias(f"{name}_loss")
+def models(flagged: DataFrame) -> Models:
+    """Both models from :func:`flag_targets`."""
+    every = (
+        flagged.mapInArrow(_counted, "key long, kind byte, background long, target long")
+        .groupBy("key").agg(F.first("kind").alias("kind"), F.sum("background").alias("background"), F.sum("target").alias("target"))
+    )
+    # Keys that occur once are counted, but are not in the table.
+    is_word, seen = F.col("kind") == WORD, Observation()
+    sums = [F.coalesce(F.sum(F.when(is_word, F.col(c))), F.lit(0)).alias(c) for c in ("background", "target")]
+    counted = every.observe(seen, F.count_if(is_word).alias("vocabulary"), *sums)
+    counts = land(counted.filter("background > 1").select("key", "background", "target"), "counts")
+    settle(flagged.sparkSession)
+    found = seen.get
+    return Models(counts, *[found[c] or 0 for c in ("vocabulary", "background", "target")])
 
-    return land(both.select("before", "word", F.col("background").alias("n"), loss("target"), loss("background")), "pair-losses")
 
+def _terms(form: Form, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weight of a count's logarithm in the loss, and what the count is raised by, for each kind of key."""
+    weights = np.array([form.bigram - 1, form.bigram, -form.bigram])
+    return weights, np.array([form.added, form.added_pair * max(1, vocabulary), form.added_pair])
 
-def _document_pairs(keys: np.ndarray, losses: list[np.ndarray]) -> Callable:
-    """Distinct pairs of each document, but for those in ``keys``, whose ``losses`` are summed into a row per document."""
+
+def _document_keys(known: tuple[np.ndarray, ...], weights: np.ndarray, raised: np.ndarray) -> Callable:
+    """Distinct keys of each document, but for the ``known`` ones, whose terms are summed in a row per document."""
+    keys_known, counts = known[0], known[1:]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "text"):
-            hashes, firsts = _hashes(part, 2)
-            docs, n_words = part.num_rows, np.diff(firsts).astype(np.int64)
-            of = np.repeat(np.arange(docs), n_words)
-            before, pair = _neighbours(hashes, firsts)
-            at = np.minimum(np.searchsorted(keys, pair), max(0, len(keys) - 1))
-            known = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
-            sums = [np.bincount(of[known], x[at[known]], minlength=docs) for x in losses]
-            rest = np.flatnonzero(~known)
-            _, first, counts = np.unique(tx.mix(pair[rest] + tx.mix(of[rest].astype(np.uint64))), return_index=True, return_counts=True)
-            rest = rest[first]
+        for part in tx.slices(batches, "text", SLICE_BYTES):
+            keys, kinds, of, n_words = _keys(part.column(2))
+            docs = part.num_rows
+            _, first, own = np.unique(tx.mix(keys + tx.mix(of.astype(np.uint64))), return_index=True, return_counts=True)
+            keys, kinds, of = keys[first], kinds[first], of[first]
+            at = np.minimum(np.searchsorted(keys_known, keys), max(0, len(keys_known) - 1))
+            here = keys_known[at] == keys if len(keys_known) else np.zeros(len(keys), bool)
+            target = part.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
+            at, n, kind = at[here], own[here], kinds[here]
+            sums = []
+            for total, out in zip(counts, (n, n * target[of[here]])):
+                term = n * weights[kind] * np.log(total[at] - out + raised[kind])
+                sums.append(np.bincount(of[here], term, minlength=docs).astype(np.float64))
+            rest = ~here
             uid = part.column(0).to_numpy(zero_copy_only=False)
-            # The row per document has a pair of its own that no text has, so that these rows spread.
-            none = pa.nulls(len(rest), pa.int64())
+            flag = part.column(3).to_numpy(zero_copy_only=False).astype(np.int8)
+            none = pa.nulls(int(rest.sum()), pa.int64())
+            # The row per document has a key of its own that no text has, so that these rows spread.
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([uid, uid[of[rest]]])),
                     pa.concat_arrays([part.column(1), none]),
-                    pa.array(np.concatenate([np.zeros(docs, np.int64), before[rest].view(np.int64)])),
-                    pa.array(np.concatenate([tx.mix(uid.astype(np.uint64)), hashes[rest]]).view(np.int64)),
-                    pa.array(np.concatenate([np.zeros(docs, np.int64), counts.astype(np.int64)])),
+                    pa.array(np.concatenate([tx.mix(uid.astype(np.uint64)), keys[rest]]).view(np.int64)),
+                    pa.array(np.concatenate([np.full(docs, -1, np.int8), kinds[rest]])),
+                    pa.array(np.concatenate([np.zeros(docs, np.int32), own[rest].astype(np.int32)])),
+                    pa.array(np.concatenate([flag, flag[of[rest]]])),
                     pa.concat_arrays([pa.array(n_words), none]),
-                    *[pa.concat_arrays([pa.array(x.astype(np.float64)), none.cast(pa.float64())]) for x in sums],
+                    *[pa.concat_arrays([pa.array(x), none.cast(pa.float64())]) for x in sums],
                 ],
-                ["uid", "doc_id", "before", "word", "n", "n_words", "target_sum", "background_sum"],
-            )
+                ["uid", "doc_id", "key", "kind", "n", "target", "n_words", "background_sum", "target_sum"],
+            )
 
     return run
 
 
-def _scores(docs: DataFrame, losses: DataFrame) -> DataFrame:
-    """Mean losses of each document from those of its pairs."""
-    words = losses.agg(F.sum("n")).first()[0] or 0
-    # Pairs that occur this often are known to every task; there are at most ``KNOWN_PAIRS`` of them.
-    often = max(OFTEN, -(-words // KNOWN_PAIRS))
-    top = losses.filter(F.col("n") >= often).toArrow()
-    keys = _pair_key(*[top[c].to_numpy().view(np.uint64) for c in ("before", "word")])
-    order = np.argsort(keys)
-    known = [top[c].to_numpy()[order] for c in ("target_loss", "background_loss")]
-    pair = F.xxhash64("before", "word").alias("pair")
-    rows = (
-        docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-        .mapInArrow(
-            _document_pairs(keys[order], known),
-            "uid long, doc_id long, before long, word long, n long, n_words long, target_sum double, background_sum double",
-        )
-        .select("uid", "doc_id", pair, "n", "n_words", "target_sum", "background_sum")
-    )
-    rest = losses.filter(F.col("n") < often).select(pair, "target_loss", "background_loss")
-
-    def mean(name: str):
-        of_pairs = F.coalesce(F.sum(F.col("n") * F.col(f"{name}_loss")), F.lit(0.0))
-        return ((F.sum(f"{name}_sum") + of_pairs) / F.greatest(F.sum("n_words"), F.lit(1))).alias(f"{name}_loss")
-
-    return (
-        rows.join(rest, "pair", "left").groupBy("uid")
-        .agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), mean("target"), mean("background"))
-        .select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
-    )
-
-
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, form: Form | None = None, limits: Limits = LIMITS) -> DataFrame:
     """One row per document: doc_id, n_words, target_loss, background_loss, score (nats per word)."""
     form = form or Form()
     flagged = flag_targets(docs, targets, limits)
-    if form.words is None and form.frequent is None:
-        return _scores(docs, pair_losses(flagged, form, limits))
-    counted = land(word_counts(flagged), "word-counts")
-    totals = counted.agg(F.sum("background"), F.sum("target")).first()
-    ranked = counted.orderBy(F.desc("background"), "word")
-    # At most ``form.words`` rows.
-    top = (ranked if form.words is None else ranked.limit(form.words)).toArrow()
-    vocabulary = Vocabulary(top["word"].to_numpy(), form)
-    pairs = (
-        flagged.mapInArrow(_pairs(vocabulary), "pair long, background long, target long")
-        .groupBy("pair").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    )
-    # At most one row per pair of classes.
-    pairs = pairs.toArrow()
-    models = []
-    for name, total in (("target", totals[1] or 0), ("background", totals[0] or 0)):
-        matrix = np.zeros((vocabulary.classes + 1) ** 2)
-        matrix[pairs["pair"].to_numpy()] = pairs[name].to_numpy()
-        models.append(Model(top[name].to_numpy().astype(np.float64), total, matrix, vocabulary.classes, form))
-    return flagged.select("doc_id", "text").mapInArrow(
-        _score(vocabulary, tuple(models)),
-        "doc_id long, n_words long, target_loss double, background_loss double, score double",
+    both = models(flagged)
+    weights, raised = _terms(form, both.vocabulary)
+    # Every word is three keys. There are at most ``KNOWN_KEYS`` keys that occur this often.
+    often = max(OFTEN, -(-3 * both.background_words // KNOWN_KEYS))
+    top = both.counts.filter(F.col("background") >= often).toArrow()
+    order = np.argsort(top["key"].to_numpy().view(np.uint64))
+    known = (top["key"].to_numpy().view(np.uint64)[order], *[top[c].to_numpy()[order] for c in ("background", "target")])
+    rows = flagged.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "target").mapInArrow(
+        _document_keys(known, weights, raised),
+        "uid long, doc_id long, key long, kind byte, n int, target byte, n_words long, background_sum double, target_sum double",
+    )
+    rest = both.counts.filter(F.col("background") < often).select(
+        F.col("key").alias("_key"), F.col("background").alias("all_n"), F.col("target").alias("target_n")
     )
+    met = rows.join(rest, F.col("key") == F.col("_key"), "left")
+
+    def of_kind(values: np.ndarray):
+        return F.get(F.array(*[F.lit(float(x)) for x in values]), F.col("kind").cast("int"))
+
+    def summed(total: str, own, name: str):
+        # Without an entry the document has the only occurrence.
+        left = F.when(F.col(total).isNull(), F.lit(0)).otherwise(F.col(total) - own)
+        term = F.when(F.col("kind") >= 0, F.col("n") * of_kind(weights) * F.log(left + of_kind(raised)))
+        return (F.coalesce(F.sum(term), F.lit(0.0)) + F.sum(f"{name}_sum")).alias(f"_{name}")
+
+    per_doc = met.groupBy("uid").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"),
+        # The flag is the same on all rows of a document.
+        F.max("target").cast("long").alias("_in"),
+        summed("all_n", F.col("n"), "background"), summed("target_n", F.col("n") * F.col("target"), "target"),
+    )
+
+    def loss(name: str, words: int, own):
+        total = F.lit(words) - own + form.added * max(1, both.vocabulary)
+        mean = F.col(f"_{name}") / F.col("n_words") + (1 - form.bigram) * F.log(total)
+        return F.when(F.col("n_words") > 0, mean).otherwise(F.lit(0.0)).alias(f"{name}_loss")
+
+    return per_doc.select(
+        "doc_id", "n_words", loss("target", both.target_words, F.col("n_words") * F.col("_in")),
+        loss("background", both.background_words, F.col("n_words")),
+    ).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -4,6 +4,8 @@ import math
 import re
 from collections import Counter
 
+import pytest
+
 from gridcast.llm import lm_score
 from tests.llm.conftest import ODD
 
@@ -12,75 +14,71 @@ LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def brute(docs, targets, form):
-    """The two models with dictionaries; only for vocabularies without ties at their edges."""
+    """Both models with dictionaries, counted anew for every document without that document."""
     split = [(d, WORD.findall((t or "").translate(LOW))) for d, t in docs]
-    every = Counter(w for _, ws in split for w in ws)
-    top = [w for w, _ in every.most_common(form.words)]
-    frequent = set(top[: form.frequent])
-    kind = lambda w: w if w in frequent else None
-
-    def model(own):
-        words = Counter(w for ws in own for w in ws)
-        total = sum(words.values())
-        counts = {w: words[w] + form.added for w in top} | {"": total - sum(words[w] for w in top) + form.added}
-        all_ = sum(counts.values())
-        share = {w: c / all_ for w, c in counts.items()}
-        kinds = Counter()
-        for w, s in share.items():
-            kinds[kind(w)] += s
-        pairs, rows = Counter(), Counter()
-        for ws in own:
-            for a, b in zip([None, *map(kind, ws)], map(kind, ws)):
-                pairs[a, b] += 1
-                rows[a] += 1
-
-        def loss(ws):
-            out = 0.0
-            for a, w in zip([None, *map(kind, ws)], ws):
-                b = kind(w)
-                seen = pairs[a, b] / rows[a] if rows[a] else kinds[b]
-                inside = 1.0 if b is not None else share[w if w in share else ""] / kinds[None]
-                out -= math.log((form.bigram * seen + (1 - form.bigram) * kinds[b]) * inside)
-            return out / len(ws) if ws else 0.0
-
-        return loss
-
-    target = model([ws for d, ws in split if d in targets])
-    background = model([ws for _, ws in split])
-    return sorted((str(d), len(ws), round(target(ws), 3), round(background(ws), 3)) for d, ws in split)
+
+    def counted(ws):
+        pairs = list(zip([None, *ws], ws))
+        return Counter(ws), Counter(a for a, _ in pairs), Counter(pairs)
+
+    own = [counted(ws) for _, ws in split]
+    vocabulary = len({w for _, ws in split for w in ws})
+    out = []
+    for i, (d, ws) in enumerate(split):
+        losses = []
+        for of_target in (True, False):
+            words, befores, pairs = Counter(), Counter(), Counter()
+            for j, (e, _) in enumerate(split):
+                if j != i and (not of_target or e in targets):
+                    for total, part in zip((words, befores, pairs), own[j]):
+                        total.update(part)
+            every = sum(words.values()) + form.added * vocabulary
+            loss = 0.0
+            for a, w in zip([None, *ws], ws):
+                alone = (words[w] + form.added) / every
+                after = (pairs[a, w] + form.added_pair) / (befores[a] + form.added_pair * vocabulary)
+                loss -= (1 - form.bigram) * math.log(alone) + form.bigram * math.log(after)
+            losses.append(loss / len(ws) if ws else 0.0)
+        out.append((str(d), len(ws), *losses))
+    return sorted(out)
 
 
 def result(df):
     got = df.collect()
     assert all(abs(r.score - (r.target_loss - r.background_loss)) < 1e-12 for r in got)
-    return sorted((str(r.doc_id), r.n_words, round(r.target_loss, 3), round(r.background_loss, 3)) for r in got)
+    return sorted((str(r.doc_id), r.n_words, r.target_loss, r.background_loss) for r in got)
 
 
 def same(got, want):
     assert len(got) == len(want)
     for a, b in zip(got, want):
-        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 0.003 and abs(a[3] - b[3]) < 0.003
-
-
-def test_matches_brute_force(spark):
-    # Word k occurs more often than word k + 1, so that the vocabulary has no ties.
-    docs = [(i, " ".join(f"W{k}" for k in range(30) for _ in range(1 + (i % 5 == 0)) if i % (k + 1) == 0)) for i in range(1, 300)]
-    targets = [d for d, _ in docs if d % 3 == 0]
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-9)
+
+
+@pytest.mark.parametrize("often,known,gathered", [(64, 500_000, 1_000_000), (2, 500_000, 50), (10**9, 1, 1_000_000)])
+def test_matches_brute_force_without_the_document_itself(spark, monkeypatch, often, known, gathered):
+    """Counts known to every task or joined, gathered or passed on, give the same scores."""
+    for name, value in (("OFTEN", often), ("KNOWN_KEYS", known), ("GATHERED", gathered)):
+        monkeypatch.setattr(lm_score, name, value)
+    docs = [(i, " ".join(f"W{k}" for k in range(30) for _ in range(1 + (i % 5 == 0)) if i % (k + 1) == 0)) for i in range(1, 80)]
+    docs += [(100 + i, " ".join(f"w{(i * 37 + k * k) % 4000}" for k in range(i))) for i in range(60)]
+    docs += [(300 + i, "of the rare pair of words that often comes") for i in range(20)]
+    docs += [(300, "of the same number"), (None, "of the"), (7, None), (8, "")]
+    targets = {d for d, _ in docs if d is not None and d % 3 == 0}
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     chosen = spark.createDataFrame([(t,) for t in targets] * 2, "doc_id long")
-    form = lm_score.Form(words=12, frequent=5)
-    same(result(lm_score.cross_entropy_difference(df, chosen, form)), brute(docs, set(targets), form))
+    want = brute(docs, targets, lm_score.Form())
+    same(result(lm_score.cross_entropy_difference(df, chosen)), want)
 
 
-def test_all_words_and_pairs_count(spark):
-    # More words than any bound had, and bigrams of words that are not frequent.
-    docs = [(i, " ".join(f"w{(i * 37 + k * k) % 40_000}" for k in range(i % 400))) for i in range(400)]
-    docs += [(1000 + i, "of the rare pair of words that often comes") for i in range(100)]
-    targets = [d for d, _ in docs if d % 3 == 0]
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    chosen = spark.createDataFrame([(t,) for t in targets], "doc_id long")
-    want = brute(docs, set(targets), lm_score.Form(words=10**9, frequent=10**9))
-    same(result(lm_score.cross_entropy_difference(df, chosen)), want)
+def test_no_document_scores_itself(spark):
+    """Being listed as a target does not make a text unlike all targets any better."""
+    docs = [(i, " ".join(f"a{(i * 7 + k * k) % 90}" for k in range(60))) for i in range(60)]
+    docs += [(100 + i, " ".join(f"b{i}x{k}" for k in range(60))) for i in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    listed = spark.createDataFrame([(i,) for i in [*range(30), 100]], "doc_id long")
+    got = {r.doc_id: r.score for r in lm_score.cross_entropy_difference(df, listed).collect()}
+    assert abs(got[100] - got[101]) < 0.2
 
 
 def test_target_like_texts_score_lower(spark):

@@ -35,7 +35,7 @@ def test_twins_are_two_words_in_every_operator(spark, n):
     shingles, _, _ = superminhash.shingle_sets(col, 5)
     assert len(set(shingles.tolist())) == 2
     assert len(set(line_quality.profile_texts(col)["line_hash"].tolist())) == 2
-    assert len(set(lm_score._hashes(pa.RecordBatch.from_arrays([col], ["text"]), 0)[0].tolist())) == 2
+    assert len(set(lm_score._keys(col)[0][:2].tolist())) == 2
     both = toxicity.features(col)
     assert len(set(both["feature"].tolist())) > len(set(toxicity.features(col[:1])["feature"].tolist()))
     df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
