@@ -25,14 +25,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(paths(path))
 
 
+# Splits up to which a scan is dealt out to more tasks.
+FEW_SPLITS = 8
+
+
 def spread(df: DataFrame, *row_id: str) -> DataFrame:
-    """A scan of one split, dealt out to all cores; any larger table is not shuffled.
+    """A scan of a few splits, dealt out to all cores; any larger table is not shuffled.
 
-    So at most ``spark.sql.files.maxPartitionBytes``, or one row group, is ever moved.
+    So at most ``FEW_SPLITS`` times ``spark.sql.files.maxPartitionBytes`` are ever moved.
     ``row_id`` should tell rows apart.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > 1 else df.repartition(cores, *row_id)
+    splits = df.rdd.getNumPartitions()
+    return df if splits >= min(cores, FEW_SPLITS) else df.repartition(cores, *row_id)
 
 
 def read_laps(

@@ -87,3 +87,31 @@ def test_reports_on_an_empty_event(spark):
 def test_top_n_is_a_total_order(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 0.5), ("d", 9.0)], "k string, v double")
     assert [r.k for r in explore.top_n(df, [F.col("v"), F.col("k")], 3).collect()] == ["c", "a", "b"]
+
+
+def test_states_of_rounds_merge_to_the_summary(spark):
+    rng = random.Random(3)
+    rows = [(k % 4, rng.gauss(80, 2), None if k % 3 else rng.random()) for k in range(4000)] + [(9, None, None)]
+    df = spark.createDataFrame(rows, "round int, a double, b double")
+    states = explore.summary_state(df, ["round"], ["a", "b"])
+    assert states.count() == 10
+    merged = explore.summary_of_states(states)
+    exact = {r.feature: r for r in explore.feature_summary(df, ["a", "b"], exact=True).collect()}
+    for r in merged.collect():
+        want = exact[r.feature]
+        assert (r.n, r.min, r.max) == (want.n, want.min, want.max)
+        assert (r.mean, r.stddev) == pytest.approx((want.mean, want.stddev))
+    for r in explore.rank_errors(df, merged, ["a", "b"]).collect():
+        assert max(r.p25_off, r.p75_off) <= explore.RANK_ERROR
+    # In any grouping: of two rounds merged first, and of a round alone.
+    half = explore.summary_of_states(states.withColumn("half", F.col("round") % 2), ["half"]).count()
+    assert half == 4
+    alone = {r.feature: r for r in explore.summary_of_states(states.filter("round = 9")).collect()}
+    assert (alone["a"].n, alone["a"].mean, alone["a"].stddev, alone["a"].p25) == (0, None, None, None)
+
+
+def test_rank_errors_see_a_wrong_quartile(spark):
+    df = spark.createDataFrame([(float(k),) for k in range(100)], "a double")
+    wrong = spark.createDataFrame([("a", 40.0, 74.0)], "feature string, p25 double, p75 double")
+    got = explore.rank_errors(df, wrong, ["a"]).first()
+    assert got.p25_off == pytest.approx(0.15) and got.p75_off == 0.0

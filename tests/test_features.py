@@ -159,3 +159,33 @@ def test_invariants(laps):
     assert gold.filter("lap_time_delta < 0 or pace_vs_teammate < 0 or tyre_deg_rate < 0").isEmpty()
     best = gold.groupBy("event", "session_type", "team").agg(F.min("pace_vs_teammate").alias("m"))
     assert {r.m for r in best.collect()} == {0.0}
+
+
+def test_trend_from_states_is_the_trend(spark, tmp_path):
+    import random
+
+    from gridcast.schemas import PACE
+    from gridcast.sinks import tables
+    from gridcast.sources import readers
+
+    rng = random.Random(8)
+    rows = [
+        (2026, r, d, s, None if rng.random() < 0.1 else rng.random())
+        for r in range(1, 10) for d in "ABCDE" if (r, d) not in ((5, "A"), (6, "A"), (1, "B")) for s in "RRQ" for _ in range(4)
+    ]
+    gold = spark.createDataFrame(rows, "season int, round_number int, driver string, session_type string, lap_time_delta double")
+    path = str(tmp_path / "pace")
+    for r in range(1, 10):
+        state = features.pace_state(gold.filter(F.col("round_number") == r))
+        tables.replace_partitions(state, path, {"season": 2026, "round_number": r})
+    states = readers.read_table(spark, path, PACE)
+    for r in range(1, 11):
+        want = {x.driver: x.pace_trend for x in features.pace_trend(gold, 2026, r).collect()}
+        trend = features.trend_from_state(states, 2026, r)
+        got = {x.driver: x.pace_trend for x in trend.collect()}
+        assert got.keys() == want.keys()
+        assert all(got[d] == (pytest.approx(want[d]) if want[d] is not None else None) for d in got)
+    text = features.trend_from_state(states, 2026, 7)._jdf.queryExecution().executedPlan().toString()
+    # Six folders of states are all that is read.
+    assert text.count("FileScan") == 1 and "pace" in text
+    assert "round_number" in text.split("PartitionFilters: [")[1].split("]")[0]

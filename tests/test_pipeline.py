@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from gridcast.params import Params
 from gridcast.plans import pipeline
 from gridcast.plans.pipeline import Paths
-from gridcast.schemas import GOLD, PREDICTIONS
+from gridcast.schemas import GOLD, PACE, PREDICTIONS
+from gridcast.sinks import tables
 
 LAP_SCHEMA = (
     "Driver string, DriverNumber string, Team string, LapNumber double, LapTime string, "
@@ -94,6 +95,43 @@ def test_models_are_kept_per_version(paths):
     assert {"base_r01", "base_r02", "qualifying_r03", "lr_baseline_r03"} <= names
 
 
+def test_a_run_reports_every_check(spark, paths, tmp_path):
+    run = pipeline.run(spark, raw_laps(spark, 1, ["Q", "R"]), raw_results(spark), params(1), Paths(str(tmp_path)))
+    report = run.report.collect()
+    assert {r.step for r in report} == {"silver", "gold"} and all(r.breaches == 0 for r in report)
+    assert {r.row_count for r in report} == {110}
+    assert len(report) == len(pipeline.silver_checks(params(1))) + len(pipeline.gold_checks()) + 2
+    assert {(r.session_type, r.status) for r in run.coverage.collect() if r.laps} == {("Q", "ingested"), ("R", "ingested")}
+    assert run.ranked.count() == 5 and run.training.evaluation.count() == 2
+
+
+def test_bad_gold_never_replaces_good_gold(spark, paths):
+    p, where = params(2), {"season": 2026, "event": "Grand Prix 2"}
+    stored = spark.read.schema(GOLD).parquet(paths.features)
+    good = stored.filter("event = 'Grand Prix 2'")
+    before = sorted(map(str, stored.collect()))
+    bad = good.withColumn("lap_time_delta", F.when(F.col("driver") == "D1", F.lit(-1.0)).otherwise(F.col("lap_time_delta")))
+    with pytest.raises(tables.BreachError) as e:
+        pipeline.write_gold(bad, paths.features, where)
+    broken = {r.check: r.breaches for r in e.value.report.collect() if r.breaches}
+    assert broken == {"no lap beats the driver's best": good.filter("driver = 'D1'").count()}
+    assert spark.read.parquet(e.value.aside).select("driver").distinct().collect()[0].driver == "D1"
+    assert sorted(map(str, spark.read.schema(GOLD).parquet(paths.features).collect())) == before
+    # A lap of another event is refused as well.
+    stray = good.withColumn("event", F.lit("Grand Prix 9"))
+    with pytest.raises(tables.BreachError, match="outside"):
+        pipeline.write_gold(good.unionByName(stray), paths.features, where)
+    assert p.round_number == 2
+
+
+def test_states_are_rebuilt_from_gold(spark, paths):
+    stored = spark.read.schema(PACE).parquet(paths.pace)
+    before = sorted(map(str, stored.filter("round_number < 3").collect()))
+    assert before
+    pipeline.rebuild_pace(spark, paths)
+    assert sorted(map(str, spark.read.schema(PACE).parquet(paths.pace).collect())) == before
+
+
 def test_a_step_can_run_again(spark, paths):
     p = params(3)
     before = sorted(map(str, spark.read.parquet(paths.features).collect()))

@@ -129,9 +129,11 @@ def test_optional_table(spark, tmp_path):
 
 
 def test_spread_leaves_wide_scans_alone(spark):
-    narrow, wide = spark.range(100, numPartitions=1), spark.range(100, numPartitions=2)
-    assert readers.spread(narrow).rdd.getNumPartitions() == 8
-    assert readers.spread(wide) is wide
+    for splits in (1, 2, 7):
+        assert readers.spread(spark.range(100, numPartitions=splits)).rdd.getNumPartitions() == 8
+    for splits in (8, 9, 100):
+        wide = spark.range(100, numPartitions=splits)
+        assert readers.spread(wide) is wide
 
 
 def test_partition_value_wins_over_file_value(spark, tmp_path):
