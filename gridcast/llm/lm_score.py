@@ -55,7 +55,7 @@ class Form:
 
     bigram: float = 0.5
     added: float = 0.1
-    added_pair: float = 0.001
+    added_pair: float = 0.1
 
 
 def _keys(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
