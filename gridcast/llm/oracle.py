@@ -22,7 +22,124 @@ def _leaf(text: str) -> str:
     return f"sha256({' || '.join(fields)})"
 
 
+# What separates words.
+_SPACE = r"\x20\x09-\x0D"
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _components(percent: int) -> str:
+    """CTEs up to ``groups`` (doc_id, n_shingles, component_id) of documents linked from that similarity on."""
+    return rf"""
+        split as (select doc_id, regexp_extract_all({_LOW}, '[^{_SPACE}]+') as ws from documents),
+        spread as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as i from split),
+        windows5 as (
+            select doc_id, word, {", ".join(f"lead(word, {k}) over w as w{k}" for k in range(1, 5))}
+            from spread window w as (partition by doc_id order by i)
+        ),
+        shingles as materialized (
+            select distinct doc_id, concat_ws(' ', word, w1, w2, w3, w4) as one from windows5 where w4 is not null
+            union all
+            select doc_id, array_to_string(ws, ' ') from split where len(ws) between 1 and 4
+        ),
+        sized as materialized (
+            select d.doc_id, count(one) as n from documents d left join shingles s on s.doc_id = d.doc_id group by d.doc_id
+        ),
+        common as (
+            select a.doc_id as a, b.doc_id as b, count(*) as i
+            from shingles a join shingles b on a.one = b.one and a.doc_id <> b.doc_id group by all
+        ),
+        links as materialized (
+            select c.a, c.b from common c join sized x on x.doc_id = c.a join sized y on y.doc_id = c.b
+            where 100 * i >= {percent} * (x.n + y.n - i)
+        ),
+        reach(doc_id, other) as (
+            select doc_id, doc_id from documents
+            union
+            select r.doc_id, l.b from reach r join links l on l.a = r.other
+        ),
+        groups as materialized (
+            select r.doc_id, any_value(z.n) as n_shingles, min(other) as component_id
+            from reach r join sized z on z.doc_id = r.doc_id group by r.doc_id
+        )"""
+
+
 ORACLE = {
+    # Full sets of all documents, compared by their common shingles.
+    "op4_superminhash": f"""
+        with recursive {_components(85)}
+        select doc_id, n_shingles, component_id, doc_id = component_id as kept from groups
+    """,
+    # Documents that have a line, copies from 90 % on once.
+    "op7_line_frequency": rf"""
+        with recursive {_components(90)},
+        texts as (select doc_id, source, coalesce(text, '') as text from documents),
+        words as materialized (
+            select doc_id, unnest(ws) as word, unnest(range(len(ws))) as i
+            from (select doc_id, regexp_extract_all(text, '[^{_SPACE}]+') as ws from texts)
+        ),
+        grams as (
+            select doc_id, i, word || ' ' || lead(word) over w || ' ' || lead(word, 2) over w as gram
+            from words window w as (partition by doc_id order by i)
+        ),
+        again as (
+            select doc_id, i from (select *, count(*) over (partition by doc_id, gram) as k from grams where gram is not null)
+            where k > 1
+        ),
+        repeated as materialized (
+            select doc_id, count(distinct i + d) as n_repeat_words from again, (select unnest([0, 1, 2]) as d) group by doc_id
+        ),
+        lines as (
+            select doc_id, source, line,
+                array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{_SPACE}]+'), ' ') as norm,
+                len(regexp_extract_all(line, '[^{_SPACE}]+')) as k
+            from (select doc_id, source, unnest(string_split(text, chr(10))) as line from texts)
+        ),
+        full_lines as materialized (select * from lines where k > 0),
+        dup as materialized (select doc_id, count(*) - count(distinct line) as n_dup_lines from full_lines group by doc_id),
+        base as materialized (
+            select t.doc_id, t.source, count(w.word) as n_words, coalesce(sum(length(w.word)), 0)::bigint as word_chars, n_symbols
+            from (select doc_id, source, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols from texts) t
+            left join words w on w.doc_id = t.doc_id group by t.doc_id, t.source, n_symbols
+        ),
+        told as materialized (
+            select b.doc_id, b.source, case when n_words > 0 then component_id end as one from base b join groups g on g.doc_id = b.doc_id
+        ),
+        hosts as (select source, count(distinct coalesce(one, -1)) as host_docs from told group by source),
+        frequent as (
+            select l.source, norm from full_lines l join told t on t.doc_id = l.doc_id join hosts h on h.source is not distinct from l.source
+            group by l.source, norm having count(distinct one) > greatest(20, 0.02 * any_value(host_docs))
+        ),
+        removed as materialized (
+            select doc_id, sum(k)::bigint as n_removed_words from full_lines l
+            join frequent f on f.source is not distinct from l.source and f.norm = l.norm group by doc_id
+        ),
+        verdicts as (
+            select b.doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+                coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_removed_words, 0) as n_removed_words
+            from base b left join dup using (doc_id) left join repeated using (doc_id) left join removed using (doc_id)
+        )
+        select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+            not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_words - n_removed_words >= 0.5 * n_words as kept
+        from verdicts
+    """,
+    # Windows by their words, and the words that a window found in an earlier document covers.
+    "op13_doubled_windows": rf"""
+        with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+') as ws from documents),
+        windows as (
+            select doc_id, i, array_to_string(ws[i : i + 49], ' ') as w
+            from (select doc_id, ws, unnest(range(1, greatest(1, len(ws) - 48))) as i from texts)
+        ),
+        owned as (select doc_id, i, min(doc_id) over (partition by w) as first from windows),
+        gone as (select distinct doc_id, i + k as i from owned, (select unnest(range(50)) as k) where first < doc_id),
+        words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from texts),
+        left_over as (
+            select w.doc_id, count(*) filter (g.i is not null) as n_removed,
+                string_agg(word, ' ' order by w.i) filter (g.i is null) as kept
+            from words w left join gone g on g.doc_id = w.doc_id and g.i = w.i group by w.doc_id
+        )
+        select t.doc_id, len(ws) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from texts t left join left_over using (doc_id)
+    """,
     # Levels from the leaves up, then the siblings of every leaf, then each proof folded.
     "op11_merkle_manifest": f"""
         with recursive docs as (

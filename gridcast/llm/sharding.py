@@ -5,8 +5,8 @@ bucket within a task's memory. Pass two shuffles each bucket (Fisher-Yates, seed
 bucket) and writes it. The buckets one after the other are a random permutation of all rows;
 shards are equal runs of it, so that their row counts are at most one apart.
 
-Rows with the same doc_id and text are scattered by their place in the scan as well, so that
-many copies of one row do not meet in one bucket.
+The order depends on the seed and the rows alone, not on files, splits or tasks. Rows with the same
+doc_id and text are counted and told apart by a number, so that they do not meet in one bucket.
 
 Defined cases: a null text has size 8 and the checksum of no bytes; a null doc_id is a value
 like others; an empty table gives an empty result; columns other than doc_id and text are
@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.sizing import measure
+from gridcast.params import LIMITS
 from gridcast.store import land
 
 BUCKET_BYTES = 8 << 20
@@ -43,6 +45,30 @@ def _fisher_yates(seed: int) -> Callable[[tuple, pa.Table], pa.Table]:
     return shuffle
 
 
+# Equal rows that one task writes.
+COPIES_A_TASK = 10_000
+
+
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_order``, a hash of their content in ``_key``, and for equal rows of their number as well.
+
+    Equal rows are the same in all columns here, so they are made anew from one of them and their count.
+    """
+    twice = measure(rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key"), "repeated")
+    if not twice.rows:
+        return rows.withColumnRenamed("_key", "_order")
+    side = F.broadcast(twice.df) if twice.bytes <= LIMITS.broadcast_bytes else twice.df
+    counted = rows.join(side, "_key", "left_semi").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES_A_TASK).cast("long"))
+    parts = counted.withColumn("_from", F.explode(starts)).repartition("_key", "_from")
+    last = F.least(F.col("_from") + COPIES_A_TASK, F.col("_n")) - 1
+    copies = parts.withColumn("_copy", F.explode(F.sequence("_from", last)))
+    order = F.xxhash64("_key", "_copy").alias("_order")
+    columns = [c for c in rows.columns if c != "_key"]
+    once = rows.join(side, "_key", "left_anti").select(*columns, F.col("_key").alias("_order"))
+    return once.unionByName(copies.select(*columns, order))
+
+
 def scatter(docs: DataFrame, seed: int, bucket_bytes: int, least_buckets: int) -> DataFrame:
     """Pass one: rows with their size and bucket."""
     sized = docs.select(
@@ -53,8 +79,10 @@ def scatter(docs: DataFrame, seed: int, bucket_bytes: int, least_buckets: int) -
     )
     total = sized.agg(F.sum("size")).first()[0] or 0
     buckets = max(least_buckets, -(-total // bucket_bytes))
-    order = F.xxhash64(F.lit(seed), "doc_id", "text_crc32", F.monotonically_increasing_id())
-    return sized.withColumn("_order", order).withColumn("bucket", F.pmod(F.col("_order"), F.lit(buckets)).cast("int"))
+    # Nulls are skipped by the hash: whether there is one is part of it.
+    key = F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    told = _told_apart(sized.withColumn("_key", key))
+    return told.withColumn("bucket", F.pmod(F.col("_order"), F.lit(buckets)).cast("int"))
 
 
 def shuffled_shards(

@@ -4,7 +4,9 @@ import re
 from collections import Counter, defaultdict
 
 from gridcast.llm import line_quality
+from gridcast.llm.oracle import ORACLE
 from gridcast.llm.queries import QUERIES
+from tests.compare import differences, duck
 from tests.llm.conftest import ODD, SF
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -116,3 +118,7 @@ def test_odd_rows(spark, odd, nothing):
     assert len({r.uid for r in got}) == len(ODD)
     assert line_quality.line_rules(nothing).collect() == []
     assert len(line_quality.cleaned_texts(odd).collect()) == len(ODD)
+
+
+def test_query_matches_sql(spark):
+    assert differences(QUERIES["op7_line_frequency"](spark, SF), duck(SF), ORACLE["op7_line_frequency"]) == ""

@@ -40,6 +40,23 @@ def test_same_seed_same_order_other_seed_other_order(spark, documents):
     assert order(1) == order(1) != order(2)
 
 
+def test_order_does_not_depend_on_files_or_tasks(spark, monkeypatch):
+    """Also of equal rows, some of them more than a task writes."""
+    monkeypatch.setattr(sharding, "COPIES_A_TASK", 7)
+    rows = [(i, f"text {i}") for i in range(300)] + [(5, "again")] * 50 + [(None, None)] * 3 + [(None, "")] * 2 + [(6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def order(part):
+        got = sharding.shuffled_shards(part, 6, bucket_bytes=900)
+        return sorted(map(str, got.select("doc_id", "text", "shard", "slot").collect()))
+
+    first = order(df.coalesce(1))
+    check(sharding.shuffled_shards(df, 6, bucket_bytes=900).collect(), rows, 6)
+    assert order(df.repartition(4)) == order(df.repartition(9, "text")) == first
+    # Equal rows are spread over the shards.
+    assert len({r.split("shard=")[1][0] for r in first if "again" in r}) == 6
+
+
 @pytest.mark.parametrize("shards", [1, 5, 24])
 def test_odd_rows(spark, odd, nothing, shards):
     check(sharding.shuffled_shards(odd, shards).collect(), [(d, t) for d, t, _ in ODD], shards)

@@ -10,8 +10,10 @@ from hypothesis import strategies as st
 
 from gridcast.llm import substring
 from gridcast.llm import text as tx
+from gridcast.llm.oracle import ORACLE
 from gridcast.llm.queries import QUERIES
 from gridcast.params import Limits
+from tests.compare import differences, duck
 from tests.llm.conftest import ODD, SF
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -98,3 +100,7 @@ def test_names_tell_windows_apart(codes, width):
     assert len(set(zip(windows, got.tolist()))) == len(set(windows))
     if len(got) >= 3:
         assert substring._least(got, 3).tolist() == [min(got[i : i + 3].tolist()) for i in range(len(got) - 2)]
+
+
+def test_query_matches_sql(spark):
+    assert differences(QUERIES["op13_doubled_windows"](spark, SF), duck(SF), ORACLE["op13_doubled_windows"]) == ""

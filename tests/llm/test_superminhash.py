@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 
 from gridcast.llm import components, superminhash
+from gridcast.llm.oracle import ORACLE
 from gridcast.llm.queries import QUERIES
+from tests.compare import differences, duck
 from tests.llm.conftest import ODD, SF
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -156,3 +158,7 @@ def test_components_of_long_paths_and_stars(spark, task_edges):
     for a, b in edges:
         found.union(a, b)
     assert got == {x: found.find(x) for e in edges for x in e if found.find(x) != x}
+
+
+def test_query_matches_sql(spark):
+    assert differences(QUERIES["op4_superminhash"](spark, SF), duck(SF), ORACLE["op4_superminhash"]) == ""
