@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType
 
 from gridcast.functions.columns import version_label
 from gridcast.operators.weights import sample_weight
-from gridcast.params import Params
+from gridcast.params import LIMITS, Limits, Params
 from gridcast.schemas import FEATURES
 from gridcast.sources.readers import file_system
 
@@ -107,6 +107,26 @@ def index_labels(train: DataFrame) -> StringIndexerModel:
     return StringIndexer(inputCol="position", outputCol="label", handleInvalid="error").fit(train)
 
 
+def in_slices(train: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Training rows dealt evenly to tasks of ``limits.fit_rows`` rows; up to that many stay as they are.
+
+    What a learner keeps of a row is many times the row's size in its file, so the tasks of a scan,
+    which are cut by bytes, would grow with the table.
+    """
+    rows = train.count()
+    if rows <= limits.fit_rows:
+        return train
+    return train.repartition(max(-(-rows // limits.fit_rows), train.sparkSession.sparkContext.defaultParallelism))
+
+
+def _learn(pipeline: Pipeline, rows: DataFrame, limits: Limits) -> PipelineModel:
+    """``pipeline`` fitted; only the columns that the learner reads are dealt out."""
+    indexer, assembler, learner = pipeline.getStages()
+    compounds = indexer.fit(rows)
+    read = compounds.transform(rows).select(*INPUTS, learner.getLabelCol(), learner.getWeightCol())
+    return PipelineModel([compounds, assembler, learner.fit(assembler.transform(in_slices(read, limits)))])
+
+
 @dataclass(frozen=True)
 class Fitted:
     """A pipeline model with its class order and how it was evaluated."""
@@ -124,6 +144,7 @@ def fit(
     refit: bool = True,
     leak_below: int = 0,
     evaluate: bool = True,
+    limits: Limits = LIMITS,
 ) -> Fitted:
     """Fit on the earlier rounds, score the latest one, then refit on everything.
 
@@ -138,15 +159,15 @@ def fit(
     pipeline = build_pipeline(kind, p)
     labels = tuple(indexer.labels)
     if not evaluate:
-        return Fitted(pipeline.fit(indexed), labels)
+        return Fitted(_learn(pipeline, indexed, limits), labels)
     sizes = {r["split"]: r["n"] for r in train.groupBy("split").agg(F.count("*").alias("n")).collect()}
     earlier = sizes.get("fit", 0)
     leaked = earlier < leak_below
     if not earlier and not leaked:
-        return Fitted(pipeline.fit(indexed), labels)
-    evaluated = pipeline.fit(indexed if leaked else indexed.filter(F.col("split") == "fit"))
+        return Fitted(_learn(pipeline, indexed, limits), labels)
+    evaluated = _learn(pipeline, indexed if leaked else indexed.filter(F.col("split") == "fit"), limits)
     holdout = score(evaluated, indexed.filter(F.col("split") == "holdout"), labels)
-    final = pipeline.fit(indexed) if refit and not leaked else evaluated
+    final = _learn(pipeline, indexed, limits) if refit and not leaked else evaluated
     return Fitted(final, labels, holdout, leaked)
 
 

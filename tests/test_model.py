@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridcast.operators import model
-from gridcast.params import Params
+from gridcast.params import Limits, Params
 from gridcast.schemas import FEATURES
 
 P = Params(2026, "GP3", 3, trees=5, depth=3)
@@ -129,3 +129,15 @@ def test_accuracies(spark):
     df = spark.createDataFrame([(1, 1), (2, 4), (9, 1), (None, 1)], "p int, a int")
     assert model.exact_accuracy(df, "p", "a").first()[0] == pytest.approx(1 / 3)
     assert model.within_k_accuracy(df, "p", "a", 2).first()[0] == pytest.approx(2 / 3)
+
+
+def test_a_fit_deals_its_rows_out(gold, monkeypatch):
+    """A task of a fit gets so many rows, however few tasks the scan has."""
+    train = model.training_frame(gold.coalesce(1), P).select("round_number", "driver")
+    per_task = model.in_slices(train, Limits(fit_rows=50)).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 300 and max(r["count"] for r in per_task) <= 60
+    assert model.in_slices(train, Limits(fit_rows=300)) is train
+    dealt = []
+    monkeypatch.setattr(model, "in_slices", lambda df, limits: dealt.append(df.columns) or df)
+    model.fit(model.training_frame(gold, P), P)
+    assert dealt == [[*model.INPUTS, "label", "sample_weight"]] * 2
