@@ -282,10 +282,10 @@ def scan_csv_mixed(spark, sf_dir):
     early, late = laps.filter(F.col("round_number") <= 3), laps.filter(F.col("round_number") > 3)
     early.filter(~broken).select(one).write.option("header", True).csv(f"{path}/one")
     late.filter(~broken).select(other).write.option("header", True).csv(f"{path}/other")
-    # Records of their first and last field alone, under a header of their own file.
-    ends = laps.filter(broken).select(F.concat_ws(",", "Driver", "row_key").alias("value"))
-    header = spark.createDataFrame([(",".join(one),)], "value string")
-    header.unionByName(ends).coalesce(1).write.text(f"{path}/cut")
+    # Records of their first and last field alone. Every task writes a file under the whole header,
+    # which is one name to a writer that separates by tabs.
+    ends = laps.filter(broken).select(F.concat_ws(",", "Driver", "row_key").alias(",".join(one)))
+    ends.write.option("header", True).option("sep", "\t").csv(f"{path}/cut")
     schema = T.StructType([*LAPS.fields, T.StructField("row_key", T.LongType())])
     landed = mixed_csv.read_csv_layouts(spark, [f"{path}/one", f"{path}/other", f"{path}/cut"], schema)
     rows = landed.rows.select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast.params import SESSION_TYPES, Params
+from gridcast.plans import queries
 from gridcast.schemas import LAPS, RESULTS
 from gridcast.sources import conform, fixture, mixed_csv, readers
 
@@ -217,3 +218,15 @@ def test_another_table_prunes_folders(spark, tmp_path):
     assert {r.n for r in readers.read_chosen(spark, path, schema, calendar.filter("round >= 7")).collect()} == {7, 8}
     with pytest.raises(Exception):
         readers.read_chosen(spark, path, schema, calendar.filter("round >= 6")).collect()
+
+
+def test_cut_records_are_written_by_every_task(spark, monkeypatch):
+    """No task reads all laps: each writes a file of its own under the whole header."""
+    paths = []
+    read = mixed_csv.read_csv_layouts
+    monkeypatch.setattr(mixed_csv, "read_csv_layouts", lambda s, p, *a: paths.extend(p) or read(s, p, *a))
+    queries.QUERIES["scan_csv_mixed"](spark, "/root/testdata/sf0.01")
+    cut = mixed_csv.lines(spark, paths[-1]).collect()
+    headers = [r for r in cut if r.line == 1]
+    assert len(headers) > 1 and {r.value for r in headers} == {"Driver,Team,LapNumber,LapTime,session_type,season,event,session,row_key"}
+    assert all(r.value.count(",") == 1 for r in cut if r.line > 1) and len(cut) > len(headers)
