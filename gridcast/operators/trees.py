@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,24 +127,44 @@ def cut_points(frame: DataFrame, inputs: Sequence[str], bins: int = 32, limits:
     }
 
 
+def binned(frame: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """``frame`` with the array ``bins``: the bin of each input in ``cuts``; bin k is up to cut k.
+
+    The library's bucketizer looks a value up among its cuts, so the code compiled for a row is short
+    however many cuts there are. Its buckets include their lower end: it is given negated values.
+    """
+    names = {c: f"_bin_{k}" for k, c in enumerate(cuts) if cuts[c]}
+    down = {c: [-float("inf"), *sorted({0.0 - t for t in cuts[c]}), float("inf")] for c in names}
+    out = frame.withColumns({n: F.nanvl(F.lit(0.0) - F.col(c), F.lit(-float("inf"))) for c, n in names.items()})
+    if names:
+        out = Bucketizer(
+            splitsArray=list(down.values()), inputCols=list(names.values()),
+            outputCols=[f"{n}_of" for n in names.values()], handleInvalid="keep",
+        ).transform(out)
+    bins = [len(down[c]) - 2 - F.col(f"{names[c]}_of").cast("int") if c in names else F.lit(0) for c in cuts]
+    return out.select(*frame.columns, F.array(*bins).alias("bins"))
+
+
 def histogram(
     frame: DataFrame, cuts: dict[str, list[float]], label: str, weight: str, by: Sequence[str] = ("node",)
 ) -> DataFrame:
-    """(by, feature, bin, label, w): weight per node, input, bin and class; bin k is up to cut k.
+    """(by, feature, bin, label, w): weight per node, input, bin and class; bin k is up to cut k."""
+    return _weights(binned(frame, cuts), label, weight, by)
+
+
+def _weights(rows: DataFrame, label: str = "label", weight: str = "w", by: Sequence[str] = ("node",)) -> DataFrame:
+    """The histogram of rows with ``bins``.
 
     Map-side sums: what is shuffled has nodes x inputs x bins x classes rows a task at most.
     """
-    bins = [
-        reduce(lambda a, t, c=c: a + (F.col(c) > F.lit(t)).cast("int"), cuts[c], F.lit(0)) for c in cuts
-    ]
     return (
-        frame.select(*by, F.col(label).alias("label"), F.col(weight).alias("w"), F.posexplode(F.array(*bins)).alias("feature", "bin"))
+        rows.select(*by, F.col(label).alias("label"), F.col(weight).alias("w"), F.posexplode("bins").alias("feature", "bin"))
         .groupBy(*by, "feature", "bin", "label").agg(F.sum("w").alias("w"))
     )
 
 
 def best_splits(hist: DataFrame, cuts: dict[str, list[float]], by: Sequence[str] = ("node",)) -> DataFrame:
-    """The split of each node with the best Gini gain: (by, feature, threshold, gain).
+    """The split of each node with the best Gini gain: (by, feature, cut, threshold, gain).
 
     Prefix sums over the bins of one input and class are arrays of at most the number of bins.
     Gains are compared to nine digits; of equal ones the first input's least threshold is taken.
@@ -173,7 +194,7 @@ def best_splits(hist: DataFrame, cuts: dict[str, list[float]], by: Sequence[str]
     r = F.col("t") - F.col("l")
     gain = (F.try_divide("ll", "l") + F.try_divide("rr", r) - F.try_divide("tt", "t")) / F.col("t")
     gained = nudged_round(gain, 9)
-    best = F.max_by(F.struct("feature", F.get(points, F.col("cut")).alias("threshold"), gained.alias("gain")),
+    best = F.max_by(F.struct("feature", "cut", F.get(points, F.col("cut")).alias("threshold"), gained.alias("gain")),
                     F.struct(gained, -F.col("feature"), -F.col("cut")))
     return (
         sides.filter((F.col("l") > 1e-9) & (r > 1e-9)).groupBy(*by).agg(best.alias("b"))
@@ -193,28 +214,32 @@ def grow(
 ) -> DataFrame:
     """Node table of one tree, grown level by level; ``label`` is the number of the class.
 
-    Each level is one pass over the rows: weights per node, input, bin and class. ``frame`` is
-    read once a level: land it first. Inputs are compared as six-digit numbers.
+    Rows are landed with the bins of their inputs, and each level is one pass over these: weights per
+    node, input, bin and class. From them come the splits, the nodes' own class weights and, below the
+    last splits, those of the leaves. ``frame`` is read twice: land it first. Inputs are compared as
+    six-digit numbers.
     """
-    at = frame.select(*[nudged_round(F.col(c), 6).alias(c) for c in inputs], F.col(label).cast("int").alias("label"), F.col(weight).alias("w"))
-    cuts = cut_points(at, inputs, bins, limits)
-    at = at.withColumn("node", F.lit(0))
-    values, parts = F.array(*[F.col(c) for c in inputs]), []
+    six = frame.select(*[nudged_round(F.col(c), 6).alias(c) for c in inputs], F.col(label).cast("int").alias("label"), F.col(weight).alias("w"))
+    cuts = cut_points(six, inputs, bins, limits)
+    at = land(binned(six, cuts).select("label", "w", "bins"), "bins").withColumn("node", F.lit(0))
+    leaves, parts = at, []
+    child = 2 * F.col("node") + F.when(F.col("bin") <= F.col("cut"), 1).otherwise(2)
 
     def stats(rows: DataFrame) -> DataFrame:
         sums = [F.coalesce(F.sum(F.when(F.col("label") == k, F.col("w"))), F.lit(0.0)) for k in range(classes)]
         return rows.groupBy("node").agg(F.array(*sums).alias("stats"))
 
-    for level in range(depth + 1):
-        own = stats(at)
-        if level == depth:
-            parts.append(own.selectExpr("node", "cast(null as int) feature", "cast(null as double) threshold", "cast(null as double) gain", "stats"))
-            break
-        splits = land(best_splits(histogram(at, cuts, "label", "w"), cuts), "splits")
-        parts.append(attach(own, splits, ["node"], "left", limits).select("node", "feature", "threshold", "gain", "stats"))
-        met = attach(at, splits.drop("gain"), ["node"], "inner", limits)
-        down = 2 * F.col("node") + F.when(F.get(values, F.col("feature")) <= F.col("threshold"), 1).otherwise(2)
-        at = met.withColumn("node", down).drop("feature", "threshold")
+    for _ in range(depth):
+        found = land(_weights(at), "histogram")
+        splits = land(best_splits(found, cuts), "splits")
+        # Each row is in the bins of every input once.
+        own = stats(found.filter("feature = 0"))
+        parts.append(attach(own, splits.drop("cut"), ["node"], "left", limits).select("node", "feature", "threshold", "gain", "stats"))
+        chosen = splits.select("node", "feature", "cut")
+        leaves = attach(found, chosen, ["node", "feature"], "inner", limits).select(child.alias("node"), "label", "w")
+        met = attach(at, chosen, ["node"], "inner", limits).withColumn("bin", F.get("bins", F.col("feature")))
+        at = met.withColumn("node", child).drop("feature", "cut", "bin")
+    parts.append(stats(leaves).selectExpr("node", "cast(null as int) feature", "cast(null as double) threshold", "cast(null as double) gain", "stats"))
     nodes = reduce(DataFrame.unionByName, parts)
     inner = F.col("feature").isNotNull()
     return land(

@@ -982,7 +982,8 @@ def season(spark: SparkSession, sf_dir: str) -> Season:
     # Two laps may have the same row key.
     laps = gold_laps(spark, sf_dir, row_key=True, field=True).withColumn("lap", F.monotonically_increasing_id())
     gold_df = land(laps, "gold")
-    train = land(model.training_frame(gold_df, P), "train")
+    # The numbers are learned from two columns; only the frame that has them is landed.
+    train = model.training_frame(gold_df, P)
     indexer = model.index_labels(train)
     compounds = model.feature_stages()[0].fit(train)
     numbered = land(compounds.transform(indexer.transform(train)), "numbered")

@@ -98,6 +98,32 @@ def test_a_grown_tree_is_a_node_table(spark):
     assert per_leaf == pytest.approx({r.node: sum(r.stats) for r in nodes.filter("feature is null").collect()})
 
 
+def test_bins_count_the_cuts_passed(spark):
+    """At cuts, between them and at odd values."""
+    cuts = {"a": [-1.0, 0.0, 2.5], "b": [], "c": [k / 4 for k in range(31)]}
+    odd = [-0.0, 0.0, -1.0, 2.5, 2.500001, float("inf"), -float("inf"), float("nan"), 1e-9]
+    rows = [(k, x, x, x) for k, x in enumerate(odd)]
+    got = trees.binned(spark.createDataFrame(rows, "k int, a double, b double, c double"), cuts).collect()
+    for r in got:
+        assert r.bins == [sum(r.a != r.a or r.a > t for t in cuts[c]) for c in cuts]
+
+
+def test_growing_reads_the_rows_twice(spark):
+    """Once for the cuts and once for the bins, however many levels there are."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = _few_values(spark)
+    counted = df.mapInArrow(seen, df.schema)
+    nodes = trees.grow(counted, ["a", "b"], 3, 3, weight="w").collect()
+    assert max(r.node for r in nodes) > 6
+    assert read.value <= 2 * 400
+
+
 def test_trees_that_cannot_split(spark):
     df = spark.createDataFrame([(k, 1.0, float(k % 2), 1.0) for k in range(6)], "row_key int, a double, label double, w double")
     nodes = trees.grow(df, ["a"], 2, 3, weight="w").collect()
