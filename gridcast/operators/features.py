@@ -219,7 +219,9 @@ def _roll_up(stats: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     These windows run over one row per team and compound of a driver-session,
     however many laps it has.
     """
-    session, stint = Window.partitionBy(*DRIVER_SESSION), Window.partitionBy(*STINT)
+    # Sorted by driver first: the season and event are the same in most rows.
+    session = Window.partitionBy("driver", *(k for k in DRIVER_SESSION if k != "driver"))
+    stint = Window.partitionBy("driver", *(k for k in STINT if k != "driver"))
     out = stats.withColumn("_best", F.min("_fastest").over(session))
     if "consistency_score" in features:
         laps, mean = F.sum("_laps").over(session), F.col("_session_mean")

@@ -54,17 +54,30 @@ def measure(df: DataFrame, name: str = "kept") -> Measured:
     return Measured(kept, found["rows"] or 0, found["bytes"] or 0)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def _null_safe_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, shuffled: bool = False
+) -> DataFrame:
+    """A ``shuffled`` join has the hash of its keys as first key, by which both sides are sorted.
+
+    The keys themselves would be compared from the first one on, which is often the same in most
+    rows, and each as two, its value and whether it is NULL.
+    """
     renamed = {k: f"_on_{k}" for k in on}
+    hashed = shuffled and _kinds(left, on) == _kinds(right, on)
+    if hashed:
+        left, right = (df.withColumn(h, F.xxhash64(*on)) for df, h in ((left, "_hash"), (right, "_on_hash")))
     # Right-hand keys get names of their own, so that by-name conditions are unambiguous.
     right = right.select(
         *[F.col(k).alias(renamed[k]) for k in on],
         *[c for c in right.columns if c.lower() not in {k.lower() for k in on}],
     )
-    same = reduce(
-        lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(renamed[k])) for k in on)
-    )
-    return left.join(right, same, how).drop(*renamed.values())
+    each = [F.col(k).eqNullSafe(F.col(renamed[k])) for k in on]
+    same = reduce(lambda a, b: a & b, [F.col("_hash") == F.col("_on_hash"), *each] if hashed else each)
+    return left.join(right, same, how).drop("_hash", "_on_hash", *renamed.values())
+
+
+def _kinds(df: DataFrame, on: Sequence[str]) -> list[T.DataType]:
+    return [f.dataType for f in df.select(*on).schema.fields]
 
 
 def attach(
@@ -118,7 +131,7 @@ def _spread_join(
     """
     counted = measure(counts.filter(F.col("_rows") >= limits.hot_rows), "hot-keys")
     if counted.rows == 0:
-        return _null_safe_join(df, side, on, how)
+        return _null_safe_join(df, side, on, how, shuffled=True)
     hot, bar, size = counted.df, limits.hot_rows, counted
     while size.rows > 0 and size.bytes > max(limits.broadcast_bytes, 1 << 20):
         bar *= 10
@@ -138,7 +151,7 @@ def _spread_join(
     right = _null_safe_join(side, hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), last))
     )
-    return _null_safe_join(left.drop("_hot"), right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    return _null_safe_join(left.drop("_hot"), right.drop("_hot"), [*on, "_salt"], how, shuffled=True).drop("_salt")
 
 
 def running_total(

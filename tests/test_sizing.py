@@ -167,3 +167,25 @@ def test_gold_and_rank_do_not_depend_on_the_limits(spark):
         )
 
     assert result(LIMITS) == result(TINY)
+
+
+def test_shuffled_joins_sort_by_a_hash_first(spark):
+    """All rows have the same first key, as laps have a season; NULL keys match still."""
+    df = spark.createDataFrame([(1, k, i) for k in ("a", "b", None) for i in range(3)], "s int, k string, i int")
+    side = spark.createDataFrame([(1, "a", 10), (1, None, 30)], "s int, k string, v int")
+    for hot in (5_000_000, 2):
+        limits = Limits(broadcast_bytes=0, hot_rows=hot, salts=2)
+        out = attach(df, side, ["s", "k"], "left", limits)
+        assert sorted(((r.k, r.i, r.v) for r in out.collect()), key=repr) == sorted(
+            ((k, i, {"a": 10, None: 30}.get(k)) for k in ("a", "b", None) for i in range(3)), key=repr
+        )
+        assert out.columns == ["s", "k", "i", "v"]
+        assert "Join [_hash#" in out._jdf.queryExecution().executedPlan().toString()
+    assert "_hash" not in attach(df, side, ["s", "k"])._jdf.queryExecution().toString()
+
+
+def test_keys_of_two_kinds_are_not_hashed(spark):
+    df = spark.range(3).withColumn("k", F.col("id").cast("int"))
+    side = spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    out = attach(df, side, ["k"], "left", Limits(broadcast_bytes=0))
+    assert {(r.id, r.v) for r in out.collect()} == {(0, 0), (1, 2), (2, 4)}
