@@ -66,12 +66,12 @@ def temporal_split(df: DataFrame) -> DataFrame:
     return df.withColumn("split", F.when(F.col("round_number") < latest, "fit").otherwise("holdout"))
 
 
-def training_frame(gold: DataFrame, p: Params) -> DataFrame:
+def training_frame(gold: DataFrame, p: Params, features: Sequence[str] = FEATURES) -> DataFrame:
     """Labelled rows with weights, imputed features, label text and split."""
     return (
         labelled(gold)
         .transform(sample_weight, p, p.unknown_session)
-        .transform(impute_numeric)
+        .transform(impute_numeric, features)
         .transform(temporal_split)
         .withColumn("position", F.col("race_position").cast("string"))
     )

@@ -945,7 +945,7 @@ def export_document_entries(spark, sf_dir):
 @query
 def compound_index(spark, sf_dir):
     """The number each compound gets, by frequency and then name."""
-    gold_df = landed_gold(spark, sf_dir)
+    gold_df = landed_gold(spark, sf_dir, "lap_time_delta", label=False)
     stage = model.feature_stages()[0].fit(gold_df)
     found = stage.transform(gold_df).groupBy("compound", "compound_idx")
     return found.agg(F.count(F.lit(1)).alias("laps"))
@@ -954,7 +954,9 @@ def compound_index(spark, sf_dir):
 @query
 def label_index(spark, sf_dir):
     """The class each finishing position gets, by frequency and then as text."""
-    train = land(model.training_frame(landed_gold(spark, sf_dir), P), "train")
+    # Which laps are labelled, and how, hangs on no feature.
+    only = ("lap_time_delta",)
+    train = model.training_frame(landed_gold(spark, sf_dir, *only), P, only)
     found = model.index_labels(train).transform(train).groupBy("position", "label")
     return found.agg(F.count(F.lit(1)).alias("laps"))
 

@@ -122,3 +122,13 @@ def test_no_python_and_no_cross_products(spark, name):
 def test_document_query_gathers_no_drivers(spark):
     text = plan(Q.QUERIES["export_document"](spark, SF))
     assert "collect_list" not in text and "partial_count" in text
+
+
+def test_numbers_of_compounds_and_labels_need_no_feature(spark, monkeypatch):
+    """Neither the sectors nor the tyre life that other features are made of are landed."""
+    seen = []
+    bronze = Q.bronze
+    monkeypatch.setattr(Q, "bronze", lambda spark, sf_dir, columns: seen.append(columns) or bronze(spark, sf_dir, columns))
+    for name in ("compound_index", "label_index"):
+        assert Q.QUERIES[name](spark, SF).count()
+    assert len(seen) == 2 and not {"TyreLife", "Sector1Time"} & {c for columns in seen for c in columns}
