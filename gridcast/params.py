@@ -66,7 +66,7 @@ class Limits:
     ``salts``: over how many tasks a hot key is spread at least; a key with more than ``salts``
     times ``hot_rows`` rows is spread over one task per ``hot_rows``.
     ``fit_rows``: training rows a task of a fit gets at most on average. A forest keeps each row
-    with a count per tree, some 600 bytes for a hundred trees, and reads them once a level.
+    with a count per tree, some 530 bytes for a hundred trees, and reads them once a level.
     """
 
     broadcast_bytes: int = 64 << 20
