@@ -8,10 +8,13 @@ like the target. No document scores itself: its own counts are taken out of both
 A word's loss is the weighted mean of two, each with additive smoothing over the vocabulary: that
 of the word by itself, and that of the word after the one before it. So it is a sum of logarithms
 of three counts - of the word, of the pair, of the word before as such - and each of these needs
-one look-up. All words and all pairs count; the models are one table of counts by key. Of a key
-with one occurrence its document knows the count, and nothing is left without it, so only the
-others are in the table. Counts of keys that are frequent go to every task; the others meet the
-documents' distinct keys in one shuffled join, in which no key has many rows.
+one look-up. All words and all pairs count.
+
+Documents are gathered in chunks by a hash of their content, and what is counted is asked for by
+chunk: it shows each bucket of keys its distinct ones, in order, with its counts, as one row. The
+bucket adds up and answers every chunk with the sums in the order of its question, so that an answer
+needs neither keys nor the names of documents and packs to almost nothing. No plan shuffles a row
+per key: a key is some six bytes once a chunk, and the texts are shuffled by their chunk.
 
 Words, and what comes before and after, are compared by 64-bit hashes of their bytes (see
 :mod:`gridcast.llm.text`): of 10**9 different words and pairs two are mixed up with a chance of
@@ -20,13 +23,13 @@ Words, and what comes before and after, are compared by 64-bit hashes of their b
 Defined cases: a text without words, null included, has no losses and score 0; labels of
 unknown documents are ignored, and of several labels of a doc_id the highest counts; without
 target documents the target's losses are from smoothing alone; rows with equal doc_id are
-separate rows, also as targets; a text of any length is one row, whose arrays take some 30 times
-its bytes; an empty table gives an empty result; columns other than doc_id and text are ignored.
+separate rows, also as targets, and such with equal text are in one chunk; a text of any length is one
+row, whose arrays take some 30 times its bytes; an empty table gives an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,13 +41,14 @@ from gridcast.llm import text as tx
 from gridcast.llm.rows import in_batches
 from gridcast.operators.sizing import attach
 from gridcast.params import LIMITS, Limits
-from gridcast.store import land, settle
-
-SLICE_BYTES = 2 << 20
-# Occurrences from which a key's counts go to every task, and how many such keys there may be.
-OFTEN, KNOWN_KEYS = 64, 500_000
-# Distinct keys that a task gathers before it passes on their counts.
-GATHERED = 1_000_000
+from gridcast.store import land, tidy
+
+# Words of a chunk and keys of a bucket, on average.
+GATHERED, KNOWN_KEYS = 1_000_000, 1_000_000
+# How often a row from chunk to bucket is used, at least, on average: there are no more buckets than that.
+OFTEN = 64
+# Bytes of a word with the space behind it, to guess the number of words.
+WORD_BYTES = 6
 # What a key stands for. The counts of words before others tell how often something follows.
 WORD, BEFORE, PAIR = 0, 1, 2
 
@@ -83,41 +87,125 @@ def flag_targets(docs: DataFrame, targets: DataFrame, limits: Limits = LIMITS) -
     return marked.withColumn("target", F.coalesce("target", F.lit(0)))
 
 
-def _added_up(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Distinct keys of several parts with their kind and summed counts."""
-    keys, kinds, background, target = (np.concatenate(x) for x in zip(*parts))
-    out, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    sums = [np.bincount(inverse, x, minlength=len(out)).astype(np.int64) for x in (background, target)]
-    return out, kinds[at], *sums
+def _ordered(keys: np.ndarray, kinds: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct keys of each kind in order, and the place of every key among those of all kinds."""
+    found, place, before = [], np.empty(len(keys), np.int64), 0
+    for kind in (WORD, BEFORE, PAIR):
+        here = kinds == kind
+        distinct, inverse = np.unique(keys[here], return_inverse=True)
+        place[here] = before + inverse
+        before += len(distinct)
+        found.append(distinct)
+    return found, place
+
+
+def _ends(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's part of ordered keys ends: a bucket is a range of keys."""
+    last = [((b + 1) << 64) // buckets - 1 for b in range(buckets)]
+    return np.searchsorted(keys, np.array(last, np.uint64), side="right")
+
+
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+
+
+def _flattened(col: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *[x.flatten().to_numpy(zero_copy_only=False) for x in col.chunks]])
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Ordered keys as their gaps, all first bytes, then all second ones and so on: the last are nearly all zero."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    return gaps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(packed: pa.Scalar) -> np.ndarray:
+    planes = np.frombuffer(packed.as_buffer(), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64)[:, 0], dtype=np.uint64)
+
+
+# Counts from here on are not one byte in a row.
+MANY = 255
+
 
+def _bytes(name: str, counts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
+    """Counts of each row as a byte each, the large ones among them in a list of their own."""
+    small = np.minimum(counts, MANY).astype(np.uint8)
+    many = np.flatnonzero(small == MANY)
+    held = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(small)]
+    return {
+        name: pa.Array.from_buffers(pa.binary(), len(ends) - 1, held),
+        f"{name}_many": _lists(counts[many], np.searchsorted(many, ends)),
+    }
 
-def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, ...]] = []
 
-    def shown() -> pa.RecordBatch:
-        keys, kinds, background, target = _added_up(held)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys.view(np.int64)), pa.array(kinds), pa.array(background), pa.array(target)],
-            ["key", "kind", "background", "target"],
+def _counts(table: pa.Table, name: str) -> np.ndarray:
+    small = np.concatenate([np.zeros(0, np.uint8), *[tx.flat(x)[0] for x in table[name].chunks]])
+    out = small.astype(np.int64)
+    out[small == MANY] = _flattened(table[f"{name}_many"])
+    return out
+
+
+COUNTS = "background binary, background_many array<long>, target binary, target_many array<long>"
+
+
+def _asked(buckets: int) -> Callable:
+    """The distinct keys of a chunk's documents with their counts there: a row per kind and bucket."""
+
+    def run(chunk: pa.Table) -> pa.Table:
+        keys, kinds, of, _ = _keys(chunk["text"].combine_chunks())
+        target = chunk["target"].to_numpy().astype(np.int64)[of]
+        distinct, place = _ordered(keys, kinds)
+        size = sum(map(len, distinct))
+        background, of_target = np.bincount(place, minlength=size), np.bincount(place, target, minlength=size).astype(np.int64)
+        before = np.cumsum([0, *map(len, distinct)])
+        ends = np.concatenate([[0], *[start + _ends(own, buckets) for start, own in zip(before, distinct)]])
+        every, bucket = np.concatenate(distinct), np.arange(3 * buckets, dtype=np.int32)
+        rows = pa.table(
+            {
+                "bucket": bucket,
+                "chunk": np.full(len(bucket), chunk["chunk"][0].as_py() if len(chunk) else 0, np.int32),
+                "keys": pa.array([_packed(every[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+                **_bytes("background", background, ends),
+                **_bytes("target", of_target, ends),
+            }
         )
+        return rows.filter(pa.array(np.diff(ends) > 0))
+
+    return run
 
-    for part in tx.slices(batches, "text", SLICE_BYTES):
-        keys, kinds, of, _ = _keys(part.column(1))
-        target = part.column(2).to_numpy(zero_copy_only=False)[of]
-        held.append(_added_up([(keys, kinds, np.ones(len(keys), np.int64), target)]))
-        if sum(len(x[0]) for x in held) > 2 * GATHERED:
-            held = [_added_up(held)]
-            if len(held[0][0]) > GATHERED:
-                yield shown()
-                held = []
-    if held:
-        yield shown()
+
+def _answered(bucket: pa.Table) -> pa.Table:
+    """The sums of a bucket's keys over all chunks, in the order in which each chunk has them."""
+    keys = [_unpacked(x) for x in bucket["keys"]]
+    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    distinct = int(inverse.max()) + 1
+    counts = [_counts(bucket, c) for c in ("background", "target")]
+    # Sums of whole numbers below 2**53 are exact.
+    sums = [np.bincount(inverse, c, minlength=distinct).astype(np.int64) for c in counts]
+    ends = np.cumsum([0, *map(len, keys)])
+    words = bucket["kind"][0].as_py() == WORD
+
+    def first(value: int) -> np.ndarray:
+        # What is said once for the bucket stands in its first row.
+        out = np.zeros(len(bucket), np.int64)
+        out[0] = value if words else 0
+        return out
+
+    return pa.table(
+        {
+            "chunk": bucket["chunk"], "bucket": bucket["bucket"],
+            **_bytes("background", sums[0][inverse], ends), **_bytes("target", sums[1][inverse], ends),
+            "vocabulary": first(distinct), "background_words": first(int(sums[0].sum())), "target_words": first(int(sums[1].sum())),
+        }
+    )
 
 
 @dataclass(frozen=True)
 class Models:
-    """Counts of all keys with several occurrences, and the totals of both models."""
+    """The documents with their chunks, the counts that each chunk asked for, and the totals of both models."""
 
+    chunks: DataFrame
     counts: DataFrame
     vocabulary: int
     background_words: int
@@ -126,18 +214,23 @@ class Models:
 
 def models(flagged: DataFrame) -> Models:
     """Both models from :func:`flag_targets`."""
-    every = (
-        flagged.mapInArrow(_counted, "key long, kind byte, background long, target long")
-        .groupBy("key").agg(F.first("kind").alias("kind"), F.sum("background").alias("background"), F.sum("target").alias("target"))
-    )
-    # Keys that occur once are counted, but are not in the table.
-    is_word, seen = F.col("kind") == WORD, Observation()
-    sums = [F.coalesce(F.sum(F.when(is_word, F.col(c))), F.lit(0)).alias(c) for c in ("background", "target")]
-    counted = every.observe(seen, F.count_if(is_word).alias("vocabulary"), *sums)
-    counts = land(counted.filter("background > 1").select("key", "background", "target"), "counts")
-    settle(flagged.sparkSession)
+    words = -(-(flagged.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // WORD_BYTES)
+    chunks = max(1, -(-words // GATHERED))
+    buckets = max(1, min(-(-words // KNOWN_KEYS), min(words, GATHERED) // OFTEN))
+    # By content: whichever task reads a document, it is in the same chunk every time.
+    dealt = flagged.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    asked = dealt.groupBy("chunk").applyInArrow(
+        _asked(buckets), f"bucket int, chunk int, keys binary, {COUNTS}"
+    )
+    answered = asked.withColumn("kind", (F.col("bucket") / buckets).cast("int")).groupBy("bucket").applyInArrow(
+        _answered, f"chunk int, bucket int, {COUNTS}, vocabulary long, background_words long, target_words long"
+    )
+    totals, seen = ("vocabulary", "background_words", "target_words"), Observation()
+    counted = answered.observe(seen, *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals])
+    with tidy(flagged.sparkSession):
+        counts = land(counted, "counts").drop(*totals)
     found = seen.get
-    return Models(counts, *[found[c] or 0 for c in ("vocabulary", "background", "target")])
+    return Models(dealt, counts, *[found[c] or 0 for c in totals])
 
 
 def _terms(form: Form, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,42 +239,24 @@ def _terms(form: Form, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     return weights, np.array([form.added, form.added_pair * max(1, vocabulary), form.added_pair])
 
 
-def _document_keys(known: tuple[np.ndarray, ...], weights: np.ndarray, raised: np.ndarray) -> Callable:
-    """Distinct keys of each document, but for the ``known`` ones, whose terms are summed in a row per document."""
-    keys_known, counts = known[0], known[1:]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "text", SLICE_BYTES):
-            keys, kinds, of, n_words = _keys(part.column(2))
-            docs = part.num_rows
-            _, first, own = np.unique(tx.mix(keys + tx.mix(of.astype(np.uint64))), return_index=True, return_counts=True)
-            keys, kinds, of = keys[first], kinds[first], of[first]
-            at = np.minimum(np.searchsorted(keys_known, keys), max(0, len(keys_known) - 1))
-            here = keys_known[at] == keys if len(keys_known) else np.zeros(len(keys), bool)
-            target = part.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
-            at, n, kind = at[here], own[here], kinds[here]
-            sums = []
-            for total, out in zip(counts, (n, n * target[of[here]])):
-                term = n * weights[kind] * np.log(total[at] - out + raised[kind])
-                sums.append(np.bincount(of[here], term, minlength=docs).astype(np.float64))
-            rest = ~here
-            uid = part.column(0).to_numpy(zero_copy_only=False)
-            flag = part.column(3).to_numpy(zero_copy_only=False).astype(np.int8)
-            none = pa.nulls(int(rest.sum()), pa.int64())
-            # The row per document has a key of its own that no text has, so that these rows spread.
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([uid, uid[of[rest]]])),
-                    pa.concat_arrays([part.column(1), none]),
-                    pa.array(np.concatenate([tx.mix(uid.astype(np.uint64)), keys[rest]]).view(np.int64)),
-                    pa.array(np.concatenate([np.full(docs, -1, np.int8), kinds[rest]])),
-                    pa.array(np.concatenate([np.zeros(docs, np.int32), own[rest].astype(np.int32)])),
-                    pa.array(np.concatenate([flag, flag[of[rest]]])),
-                    pa.concat_arrays([pa.array(n_words), none]),
-                    *[pa.concat_arrays([pa.array(x), none.cast(pa.float64())]) for x in sums],
-                ],
-                ["uid", "doc_id", "key", "kind", "n", "target", "n_words", "background_sum", "target_sum"],
-            )
+def _summed(weights: np.ndarray, raised: np.ndarray) -> Callable:
+    """The terms of each document of a chunk, added up, from the counts that the chunk asked for."""
+
+    def run(chunk: pa.Table, counts: pa.Table) -> pa.Table:
+        docs = len(chunk)
+        keys, kinds, of, n_words = _keys(chunk["text"].combine_chunks())
+        _, place = _ordered(keys, kinds)
+        counts = counts.sort_by("bucket")
+        target = chunk["target"].to_numpy().astype(np.int64)
+        _, first, n = np.unique(tx.mix(keys + tx.mix(of.astype(np.uint64))), return_index=True, return_counts=True)
+        place, kind, of = place[first], kinds[first], of[first]
+        sums = []
+        for name, own in (("background", n), ("target", n * target[of])):
+            term = n * weights[kind] * np.log(_counts(counts, name)[place] - own + raised[kind])
+            sums.append(np.bincount(of, term, minlength=docs).astype(np.float64))
+        return pa.table(
+            {"doc_id": chunk["doc_id"], "n_words": n_words, "_in": target, "_background": sums[0], "_target": sums[1]}
+        )
 
     return run
 
@@ -192,35 +267,9 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, form: Form | N
     flagged = flag_targets(docs, targets, limits)
     both = models(flagged)
     weights, raised = _terms(form, both.vocabulary)
-    # Every word is three keys. There are at most ``KNOWN_KEYS`` keys that occur this often.
-    often = max(OFTEN, -(-3 * both.background_words // KNOWN_KEYS))
-    top = both.counts.filter(F.col("background") >= often).toArrow()
-    order = np.argsort(top["key"].to_numpy().view(np.uint64))
-    known = (top["key"].to_numpy().view(np.uint64)[order], *[top[c].to_numpy()[order] for c in ("background", "target")])
-    rows = flagged.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "target").mapInArrow(
-        _document_keys(known, weights, raised),
-        "uid long, doc_id long, key long, kind byte, n int, target byte, n_words long, background_sum double, target_sum double",
-    )
-    rest = both.counts.filter(F.col("background") < often).select(
-        F.col("key").alias("_key"), F.col("background").alias("all_n"), F.col("target").alias("target_n")
+    per_doc = both.chunks.groupBy("chunk").cogroup(both.counts.groupBy("chunk")).applyInArrow(
+        _summed(weights, raised), "doc_id long, n_words long, _in long, _background double, _target double"
     )
-    met = rows.join(rest, F.col("key") == F.col("_key"), "left")
-
-    def of_kind(values: np.ndarray):
-        return F.get(F.array(*[F.lit(float(x)) for x in values]), F.col("kind").cast("int"))
-
-    def summed(total: str, own, name: str):
-        # Without an entry the document has the only occurrence.
-        left = F.when(F.col(total).isNull(), F.lit(0)).otherwise(F.col(total) - own)
-        term = F.when(F.col("kind") >= 0, F.col("n") * of_kind(weights) * F.log(left + of_kind(raised)))
-        return (F.coalesce(F.sum(term), F.lit(0.0)) + F.sum(f"{name}_sum")).alias(f"_{name}")
-
-    per_doc = met.groupBy("uid").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"),
-        # The flag is the same on all rows of a document.
-        F.max("target").cast("long").alias("_in"),
-        summed("all_n", F.col("n"), "background"), summed("target_n", F.col("n") * F.col("target"), "target"),
-    )
 
     def loss(name: str, words: int, own):
         total = F.lit(words) - own + form.added * max(1, both.vocabulary)

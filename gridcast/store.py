@@ -6,7 +6,6 @@ removes what was landed inside the ``with`` block.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -71,13 +70,18 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         remove(spark, folder)
 
 
-def settle(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    The cleaner learns of them by garbage collection, which a driver with much free memory puts off.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of every query run inside the block are removed as soon as that query has ended."""
+    before = spark.conf.get(_TIDY)
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_TIDY, before)
 
 
 def put(df: DataFrame, name: str) -> tuple[DataFrame, str]:

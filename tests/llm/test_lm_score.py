@@ -95,3 +95,16 @@ def test_odd_rows(spark, odd, nothing):
     assert len(got) == len(ODD)
     assert all(r.score == 0 for r in got if r.n_words == 0)
     assert lm_score.cross_entropy_difference(nothing, some).collect() == []
+
+
+def test_no_row_per_key_is_shuffled(spark, monkeypatch):
+    """Chunks ask and are answered by rows per bucket; small chunks and buckets give the same scores."""
+    docs = [(i, " ".join(f"w{(i * 37 + k * k) % 500}" for k in range(i))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    chosen = spark.createDataFrame([(t,) for t in range(0, 60, 4)], "doc_id long")
+    both = lm_score.models(lm_score.flag_targets(df, chosen))
+    assert both.counts.count() <= 3
+    for name, value in (("OFTEN", 1), ("KNOWN_KEYS", 100), ("GATHERED", 200)):
+        monkeypatch.setattr(lm_score, name, value)
+    want = brute(docs, set(range(0, 60, 4)), lm_score.Form())
+    same(result(lm_score.cross_entropy_difference(df, chosen)), want)
