@@ -81,9 +81,12 @@ def gold_laps(
     wanted = wanted or FEATURES
     extra = [c for f in wanted for c in SOURCES.get(f, ())]
     columns = (*fixture.LAP_COLUMNS, *extra, *(["row_key"] if row_key else []))
-    laps = bronze(spark, sf_dir, columns)
     if field:
-        laps = fixture.in_field(laps)
+        # The field's cars have teams of their own: those of the tables are not looked up.
+        own = fixture.laps(spark, sf_dir, [c for c in columns if c != "Team"])
+        laps = land(fixture.in_field(own).select(*columns), "bronze")
+    else:
+        laps = bronze(spark, sf_dir, columns)
     positions = readers.result_positions(fixture.results(laps)) if label else None
     return features.gold(clean.silver(laps, P), P, positions, features=wanted)
 
@@ -980,6 +983,10 @@ class Season:
         return self.gold.filter(F.col("event") == P.event)
 
 
+# What fits, trees and reports read of a training row.
+TRAINED = ("lap", "row_key", "driver", "compound", "position", "split", "sample_weight", "label", *model.INPUTS)
+
+
 def season(spark: SparkSession, sf_dir: str) -> Season:
     # Two laps may have the same row key.
     laps = gold_laps(spark, sf_dir, row_key=True, field=True).withColumn("lap", F.monotonically_increasing_id())
@@ -988,7 +995,7 @@ def season(spark: SparkSession, sf_dir: str) -> Season:
     train = model.training_frame(gold_df, P)
     indexer = model.index_labels(train)
     compounds = model.feature_stages()[0].fit(train)
-    numbered = land(compounds.transform(indexer.transform(train)), "numbered")
+    numbered = land(compounds.transform(indexer.transform(train)).select(*TRAINED), "numbered")
     return Season(gold_df, numbered, tuple(indexer.labels), compounds)
 
 

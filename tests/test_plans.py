@@ -132,3 +132,11 @@ def test_numbers_of_compounds_and_labels_need_no_feature(spark, monkeypatch):
     for name in ("compound_index", "label_index"):
         assert Q.QUERIES[name](spark, SF).count()
     assert len(seen) == 2 and not {"TyreLife", "Sector1Time"} & {c for columns in seen for c in columns}
+
+
+def test_a_field_looks_up_no_teams_and_lands_what_fits_read(spark, monkeypatch):
+    asked, real = [], fixture.laps
+    monkeypatch.setattr(fixture, "laps", lambda s, d, columns: asked.append(set(columns)) or real(s, d, columns))
+    train = Q.season(spark, SF).train
+    assert asked and all("Team" not in columns for columns in asked)
+    assert set(train.columns) == set(Q.TRAINED)
