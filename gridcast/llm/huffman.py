@@ -7,8 +7,8 @@ bit first), and the bit offset of every ``CHECKPOINT``-th id, from which decodin
 Blocks are rows of Parquet, so that Spark's commit protocol covers lost executors and any
 store can hold them.
 
-Decoding looks up ``limit`` bits at a time in a table; all runs between checkpoints of a batch
-are decoded side by side.
+Decoding looks up ``limit`` bits at a time in a table; all runs between checkpoints of several
+blocks are decoded side by side.
 
 Defined cases: a null text is a document of the end id alone; null doc_ids come first, equal
 ones are ordered by their ids; an empty table gives empty files and an empty result; columns
@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ from gridcast.store import land, new_path
 BLOCK_IDS = 1 << 16
 CHECKPOINT = 256
 LIMIT = 16
+# Blocks are decoded side by side up to this many ids.
+TOGETHER_IDS = 1 << 20
 
 _BLOCKS = (
     "part int, block int, first long, n_ids long, doc_ids array<long>, doc_lens array<long>, "
@@ -107,20 +110,18 @@ class Code:
 
     def decode(self, bits: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Ids of runs of ``sizes`` ids that begin at the bit offsets ``at``, one after the other."""
-        padded = np.concatenate([bits, np.zeros(8, np.uint8)]).astype(np.uint64)
-        wide = np.zeros(len(padded) - 4, np.uint64)
-        for k in range(5):
-            wide |= padded[k : k + len(wide)] << np.uint64(32 - 8 * k)
+        view = tx.lanes_view(bits)
         begins = np.cumsum(sizes) - sizes
         out = np.zeros(int(sizes.sum()), np.uint32)
-        at, shift, mask = at.astype(np.int64).copy(), 40 - self.top, np.uint64((1 << self.top) - 1)
+        at, shift, mask = at.astype(np.int64).copy(), 64 - self.top, np.uint64((1 << self.top) - 1)
         # Longest runs first, so that those still going on are a prefix.
         order = np.argsort(-sizes, kind="stable")
         at, begins, sizes = at[order], begins[order], sizes[order]
         for step in range(int(sizes.max(initial=0))):
             going = int(np.searchsorted(-sizes, -step, side="left"))
             here = at[:going]
-            index = (wide[here >> 3] >> (shift - (here & 7)).astype(np.uint64)) & mask
+            # Eight bytes with the first bit in their first one, which is the highest.
+            index = (view[here >> 3].byteswap() >> (shift - (here & 7)).astype(np.uint64)) & mask
             out[begins[:going] + step] = self.table_id[index]
             at[:going] += self.table_length[index]
         return out
@@ -240,26 +241,35 @@ def write_ids(ids: DataFrame, path: str, limit: int = LIMIT, block_ids: int = BL
     )
 
 
-def _read(code: Code, every: int) -> Callable:
+def _read(code: Code, every: int, together: int = TOGETHER_IDS) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                part, first, n_ids, bits = (row.column(i)[0].as_py() for i in (0, 1, 2, 5))
-                lens = row.column(4).values.to_numpy()[row.column(4).offsets[0].as_py() : row.column(4).offsets[1].as_py()]
-                docs = row.column(3).flatten()
-                marks = row.column(6).flatten().to_numpy()
-                sizes = np.full(len(marks), every, np.int64)
-                sizes[-1] = n_ids - every * (len(marks) - 1)
-                ids = code.decode(np.frombuffer(bits, np.uint8), marks, sizes)
-                stops = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
-                raw = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(lens), [None, pa.py_buffer(stops * 4), pa.py_buffer(ids)]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [docs, pa.array(np.full(len(lens), part, np.int32)), pa.array(stops[:-1] + first), pa.array(lens), raw.cast(pa.binary())],
-                    ["doc_id", "part", "first", "n_tokens", "ids"],
-                )
+            ends, start = np.cumsum(batch.column(2).to_numpy()), 0
+            while start < batch.num_rows:
+                # As many blocks as have ``together`` ids, one at least.
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + together, side="right")))
+                yield blocks(batch.slice(start, stop - start))
+                start = stop
+
+    def blocks(rows: pa.RecordBatch) -> pa.RecordBatch:
+        part, first, n_ids = (rows.column(i).to_numpy() for i in range(3))
+        docs, lens, marks = (rows.column(i).flatten() for i in (3, 4, 6))
+        n_docs, n_marks = (pc.list_value_length(rows.column(i)).to_numpy() for i in (3, 6))
+        bits, offsets = tx.flat(rows.column(5))
+        sizes = np.full(len(marks), every, np.int64)
+        sizes[np.cumsum(n_marks) - 1] = n_ids - every * (n_marks - 1)
+        ids = code.decode(bits, marks.to_numpy() + np.repeat(8 * offsets[:-1], n_marks), sizes)
+        stops = np.concatenate([[0], np.cumsum(lens.to_numpy())]).astype(np.int64)
+        # A document's place in its part: that of its block, and its place among the block's ids.
+        place = stops[:-1] + np.repeat(first - (np.cumsum(n_ids) - n_ids), n_docs)
+        raw = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(lens), [None, pa.py_buffer(stops * 4), pa.py_buffer(ids)]
+        )
+        return pa.RecordBatch.from_arrays(
+            [docs, pa.array(np.repeat(part, n_docs)), pa.array(place), lens, raw.cast(pa.binary())],
+            ["doc_id", "part", "first", "n_tokens", "ids"],
+        )
 
     return run
 

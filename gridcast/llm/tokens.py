@@ -9,7 +9,8 @@ letters like ASCII ones: composed already, and lower-cased one by one.
 
 from __future__ import annotations
 
-from itertools import chain
+from collections.abc import Iterable
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,9 @@ from gridcast.llm.bpe import byte_letters
 
 SLICE_BYTES = 4 << 20
 # Distinct pieces a task remembers between slices; beyond that it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
+# New pieces that go to the model in one call.
+TOGETHER = 1_000
 
 _LETTER, _DIGIT, _OTHER, _WHOLE = 1, 2, 3, 4
 _KIND = np.full(256, _OTHER, np.uint8)
@@ -56,15 +59,40 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        # By the bytes of a piece: parts that the model encodes, chunks for the whole tokenizer.
-        self.known: dict[bytes, tuple[int, ...]] = {}
-        self.known_whole: dict[bytes, tuple[int, ...]] = {}
-        self.letter = {b: c for c, b in byte_letters().items()}
+        # The model without normaliser and pattern, for parts that are cut and spelled already.
+        self.plain = Tokenizer(self.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
+        letter = {b: c for c, b in byte_letters().items()}
+        self.letters = np.array([ord(letter[b]) for b in range(256)], "<u4")
+        self.letters[0x20] = 0x20
+        self.closes = self._closing(letter.values())
+        self._forget()
+
+    def _closing(self, letters: Iterable[str]) -> np.ndarray | None:
+        """Which ids end a part; None where the file doesn't mark them.
+
+        Only a part's last letter carries the suffix, and no part has the "<" it begins with.
+        """
+        suffix = self.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        if not suffix or suffix[0] != "<" or any(c + suffix not in vocabulary for c in letters):
+            return None
+        closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return closes
+
+    def _forget(self) -> None:
+        # Slots by the bytes of a piece: parts that the model encodes, chunks for the whole tokenizer.
+        self.known: dict[bytes, int] = {}
+        self.known_whole: dict[bytes, int] = {}
+        # The ids of slot k are those from begins[k] to begins[k + 1].
+        self.ids, self.begins = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the offsets of the texts among them."""
@@ -73,12 +101,10 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         first, inverse = tx.distinct_runs(shown, starts, ends, whole)
-        ids = self._distinct(shown, starts[first], ends[first], whole[first])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat_ids = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        begins = np.cumsum(sizes) - sizes
-        each = sizes[inverse]
-        out = flat_ids[tx.ragged(begins[inverse], each)]
+        slots = self._slots(shown, starts[first], ends[first], whole[first])
+        begins = self.begins[slots]
+        each = (self.begins[slots + 1] - begins)[inverse]
+        out = self.ids[tx.ragged(begins[inverse], each)]
         total = np.concatenate([[0], np.cumsum(each)])
         return out, total[np.searchsorted(starts, offsets)]
 
@@ -111,25 +137,53 @@ class Encoder:
         finish = np.flatnonzero((kind > 0) & stop) + 1
         return begins, finish, kind[begins] == _WHOLE, shown
 
-    def _distinct(self, shown, starts, ends, whole) -> list[tuple[int, ...]]:
+    def _slots(self, shown, starts, ends, whole) -> np.ndarray:
+        """Where ``begins`` has each of these different pieces; new ones are encoded and added."""
         if len(self.known) + len(self.known_whole) > REMEMBERED:
-            self.known.clear()
-            self.known_whole.clear()
+            self._forget()
         raw = shown.tobytes()
         pieces = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        known, known_whole = self.known, self.known_whole
-        tables = [known_whole if w else known for w in whole.tolist()]
-        rest = []
-        for piece, table in zip(pieces, tables, strict=True):
-            if piece in table:
-                continue
-            if table is known_whole:
-                rest.append(piece)
+        out = np.empty(len(pieces), np.int64)
+        for table, encode, mine in ((self.known, self._parts, ~whole), (self.known_whole, self._chunks, whole)):
+            at = np.flatnonzero(mine)
+            if not len(at):
                 continue
+            asked = pieces if len(at) == len(pieces) else [pieces[i] for i in at.tolist()]
+            slots = np.fromiter(map(table.get, asked, repeat(-1)), np.int64, len(asked))
+            missing = np.flatnonzero(slots < 0)
+            if len(missing):
+                new, next_slot = [asked[i] for i in missing.tolist()], len(self.begins) - 1
+                ids, sizes = encode(new)
+                self.ids = np.concatenate([self.ids, ids])
+                self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
+                table.update(zip(new, range(next_slot, next_slot + len(new)), strict=True))
+                slots[missing] = np.arange(next_slot, next_slot + len(new))
+            out[at] = slots
+        return out
+
+    def _parts(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts one after the other, and how many each has; many go to the model at once."""
+        ids, sizes = [], []
+        for k in range(0, len(pieces), TOGETHER):
+            joined = np.frombuffer(b" ".join(pieces[k : k + TOGETHER]), np.uint8)
             # The model sees a letter for each byte.
-            shape = piece.decode() if piece.isascii() else "".join(map(self.letter.__getitem__, piece))
-            known[piece] = tuple(t.id for t in self.model.tokenize(shape))
-        texts = [piece.decode("utf-8", "replace") for piece in rest]
-        for piece, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            known_whole[piece] = tuple(e.ids)
-        return [table[piece] for piece, table in zip(pieces, tables, strict=True)]
+            text = self.letters[joined].tobytes().decode("utf-32-le")
+            if self.closes is None:
+                found, counts = _lists(self.plain.encode_batch_fast(text.split(" "), add_special_tokens=False))
+            else:
+                found = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                counts = np.diff(np.flatnonzero(self.closes[found]), prepend=-1)
+            ids.append(found)
+            sizes.append(counts)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _chunks(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_parts`, for chunks that the whole tokenizer must see."""
+        texts = [piece.decode("utf-8", "replace") for piece in pieces]
+        return _lists(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+
+def _lists(encoded: list) -> tuple[np.ndarray, np.ndarray]:
+    ids = [e.ids for e in encoded]
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes

@@ -4,6 +4,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -104,3 +105,78 @@ def test_special_tokens_and_contractions(text):
 
     ids, _ = tokens.encoder(PATH).encode(pa.array([text]))
     assert ids.tolist() == library_ids([text])[0]
+
+
+def made_up(n, seed):
+    """Different words of ASCII and Latin-1 letters, some of them with a digit or a sign."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzäéïöüß"))
+    words = {"".join(rng.choice(letters, k)) for k in rng.integers(3, 14, n)}
+    return [w + str(i) * (i % 9 == 0) + ">!" * (i % 7 == 0) for i, w in enumerate(sorted(words))]
+
+
+class Counting:
+    """Passes calls on and counts them."""
+
+    def __init__(self, inner, calls):
+        self.inner, self.calls = inner, calls
+
+    def __getattr__(self, name):
+        self.calls.append(name)
+        return getattr(self.inner, name)
+
+
+def test_new_pieces_go_to_the_library_many_at_once():
+    encoder, calls = tokens.Encoder(PATH), []
+    texts = [" ".join(made_up(2500, 1)), "don't <b> x"]
+    for name in ("model", "plain", "tokenizer"):
+        if hasattr(encoder, name):
+            setattr(encoder, name, Counting(getattr(encoder, name), calls))
+    ids, offsets = encoder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == library_ids(texts)
+    assert len(calls) < 10
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_pieces_with_and_without_marked_ends_and_after_forgetting(monkeypatch, marked):
+    encoder = tokens.Encoder(PATH)
+    assert encoder.closes is not None
+    if not marked:
+        encoder.closes = None
+    monkeypatch.setattr(tokens, "REMEMBERED", 1500)
+    for seed in (1, 2, 1, 1):
+        texts = [" ".join(made_up(1200, seed)), None, "x" * 5000 + " it's <|endoftext|> 3x", " ".join(made_up(700, seed + 1))]
+        ids, offsets = encoder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == library_ids(texts)
+        assert len(encoder.begins) == len(encoder.known) + len(encoder.known_whole) + 1
+
+
+def test_blocks_are_decoded_side_by_side(monkeypatch):
+    rng, every = np.random.default_rng(3), 8
+    lens = [[5, 1, 40], [64], [1], [3, 3], [200, 7]]
+    held = [rng.zipf(1.4, sum(block)).clip(1, 5000) for block in lens]
+    known, counts = np.unique(np.concatenate(held), return_counts=True)
+    code = huffman.Code(known, huffman.code_lengths(counts))
+    rows, first, doc = [], 0, 0
+    for block, ids in zip(lens, held):
+        bits, marks = code.encode(ids, every)
+        rows.append({
+            "part": 4, "first": first, "n_ids": len(ids), "doc_ids": list(range(doc, doc + len(block))), "doc_lens": block,
+            "bits": bits, "checkpoints": marks,
+        })
+        first, doc = first + len(ids), doc + len(block)
+    names = list(rows[0])
+    schema = pa.schema([huffman._BLOCK_ARROW.field(name) for name in names])
+    # The first row is cut off, so that no column of the batch begins at 0.
+    batch = pa.RecordBatch.from_pylist([rows[0], *rows], schema).slice(1)
+    calls, decode = [], huffman.Code.decode
+    monkeypatch.setattr(huffman.Code, "decode", lambda *args: calls.append(1) or decode(*args))
+    for more, expected in (((), 1), ((100,), 3), ((1,), 5)):
+        calls.clear()
+        out = pa.Table.from_batches(huffman._read(code, every, *more)(iter([batch])))
+        flat_lens = [n for block in lens for n in block]
+        assert out["doc_id"].to_pylist() == list(range(doc)) and set(out["part"].to_pylist()) == {4}
+        assert out["n_tokens"].to_pylist() == flat_lens
+        assert out["first"].to_pylist() == list(np.cumsum([0, *flat_lens])[:-1])
+        assert np.frombuffer(b"".join(out["ids"].to_pylist()), "<u4").tolist() == np.concatenate(held).tolist()
+        assert len(calls) == expected
